@@ -9,6 +9,7 @@ uses it. A docid has one posting per field and term, so no docid is heavy.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
@@ -23,15 +24,15 @@ from termloom.functions.bm25f import (
     saturation,
 )
 from termloom.operators.build import Index
-from termloom.operators.tokens import analyze
+from termloom.operators.tokens import tokenize
 from termloom.scratch import scratch_path
 from termloom.sources.store import shard_of
 
 # Up to this many terms are written into the scan as a filter.
 MAX_FILTER_TERMS = 500
-# The query side is broadcast only if it was measured to be within both.
-MAX_BROADCAST_QUERY_ROWS = 1_000_000
-MAX_BROADCAST_QUERY_BYTES = 64 * 1024 * 1024
+# A table is broadcast only if it was measured to be within both.
+MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 # --- queries ----------------------------------------------------------------
@@ -41,20 +42,23 @@ MAX_BROADCAST_QUERY_BYTES = 64 * 1024 * 1024
 class QueryTerms:
     """``rows(query_id, term, qtf)``: the bag of terms of each query.
 
-    ``small`` says that the rows were measured and may be broadcast.
-    ``terms`` lists the distinct terms if they are few and already known.
+    ``few_rows`` and ``few_terms`` say that the rows, or their distinct terms,
+    were measured and may be broadcast. Otherwise they are joined by shuffles.
+    ``terms`` lists the distinct terms if they are known and fit in a filter.
     """
 
     rows: DataFrame
-    small: bool
+    few_rows: bool
+    few_terms: bool
     terms: tuple[str, ...] | None = None
 
-    def hinted(self, df: DataFrame) -> DataFrame:
-        """``df``, which has at most one row per row of this table, ready to join."""
-        return F.broadcast(df) if self.small else df
+    def per_row(self, df: DataFrame) -> DataFrame:
+        """``df``, with at most one row per row of this table, ready to join."""
+        return F.broadcast(df) if self.few_rows else df
 
-    def distinct_terms(self) -> DataFrame:
-        return self.hinted(self.rows.select("term").distinct())
+    def per_term(self, df: DataFrame) -> DataFrame:
+        """``df``, with at most one row per distinct term, ready to join."""
+        return F.broadcast(df) if self.few_terms else df
 
 
 def query_terms(queries: DataFrame) -> QueryTerms:
@@ -68,11 +72,24 @@ def query_terms(queries: DataFrame) -> QueryTerms:
     path = scratch_path(spark, "query-terms")
     bags.write.parquet(path)
     rows = spark.read.schema(bags.schema).parquet(path)
-    size = rows.agg(
-        F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("term")), F.lit(0)).alias("b")
-    ).first()
-    small = size["n"] <= MAX_BROADCAST_QUERY_ROWS and size["b"] <= MAX_BROADCAST_QUERY_BYTES
-    return QueryTerms(rows, small)
+    size = (
+        rows.groupBy("term")
+        .agg(F.count("*").alias("n"), F.sum(F.octet_length("query_id")).alias("id_bytes"))
+        .agg(
+            F.count("*").alias("terms"),
+            F.coalesce(F.sum(F.octet_length("term")), F.lit(0)).alias("term_bytes"),
+            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+            F.coalesce(
+                F.sum(F.col("n") * F.octet_length("term") + F.col("id_bytes")), F.lit(0)
+            ).alias("row_bytes"),
+        )
+        .first()
+    )
+    return QueryTerms(
+        rows,
+        few_rows=_may_broadcast(size["rows"], size["row_bytes"]),
+        few_terms=_may_broadcast(size["terms"], size["term_bytes"]),
+    )
 
 
 def query_terms_from_texts(queries: DataFrame, query_id: str, text: str) -> QueryTerms:
@@ -80,25 +97,24 @@ def query_terms_from_texts(queries: DataFrame, query_id: str, text: str) -> Quer
     texts = queries.select(
         F.col(query_id).alias("docid"), F.lit("").alias("field"), F.col(text).alias("text")
     )
-    terms = analyze(texts).select(
-        F.col("docid").alias("query_id"), F.explode("terms").alias("term")
-    )
-    return query_terms(terms)
+    return query_terms(tokenize(texts).select(F.col("docid").alias("query_id"), "term"))
 
 
 def query_terms_from_tokens(index: Index, tokens: Iterable[str]) -> QueryTerms:
     """One query, given as a list of tokens. They are looked up as they are."""
-    tokens = list(tokens)
-    spark = index.postings.sparkSession
-    rows = spark.createDataFrame([(token,) for token in tokens], "term string")
-    rows = rows.groupBy("term").agg(F.count("*").alias("qtf"))
-    distinct = tuple(sorted(set(tokens)))
-    n_bytes = sum(len(token.encode()) for token in distinct)
-    return QueryTerms(
-        rows.select(F.lit(0).alias("query_id"), "term", "qtf"),
-        small=len(distinct) <= MAX_BROADCAST_QUERY_ROWS and n_bytes <= MAX_BROADCAST_QUERY_BYTES,
-        terms=distinct if len(distinct) <= MAX_FILTER_TERMS else None,
+    bag = Counter(tokens)
+    n_bytes = sum(len(token.encode()) for token in bag)
+    few = _may_broadcast(len(bag), n_bytes)
+    rows = index.postings.sparkSession.createDataFrame(
+        [(0, term, qtf) for term, qtf in sorted(bag.items())],
+        "query_id int, term string, qtf bigint",
     )
+    terms = tuple(sorted(bag)) if len(bag) <= MAX_FILTER_TERMS else None
+    return QueryTerms(rows, few_rows=few, few_terms=few, terms=terms)
+
+
+def _may_broadcast(rows: int, n_bytes: int) -> bool:
+    return rows <= MAX_BROADCAST_ROWS and n_bytes <= MAX_BROADCAST_BYTES
 
 
 # --- lookup -----------------------------------------------------------------
@@ -113,15 +129,8 @@ def lookup(index: Index, query: QueryTerms, fields: Iterable[str]) -> DataFrame:
             folders = [shard_of(F.lit(term), index.shards) for term in query.terms]
             postings = postings.where(F.col("shard").isin(folders))
     else:
-        terms = query.distinct_terms()
-        if index.shards is not None:
-            # With the folder in the join key, folders of no query term are pruned.
-            terms = query.hinted(
-                terms.withColumn("shard", shard_of(F.col("term"), index.shards))
-            )
-            postings = postings.join(terms, ["shard", "term"], "left_semi")
-        else:
-            postings = postings.join(terms, "term", "left_semi")
+        terms = query.per_term(query.rows.select("term").distinct())
+        postings = postings.join(terms, "term", "left_semi")
     return postings.select("field", "term", "docid", "tf", "len")
 
 
@@ -225,11 +234,11 @@ def score_batch(
         F.count_if(F.col("saturation") > 0).alias("df")
     )
     idf = term_idf(index, frequencies)
-    weights = query.rows.join(query.hinted(idf), "term").select(
+    weights = query.rows.join(query.per_term(idf), "term").select(
         "query_id", "term", (F.col("qtf") * F.col("idf")).alias("term_weight")
     )
     return (
-        saturations.join(query.hinted(weights), "term")
+        saturations.join(query.per_row(weights), "term")
         .groupBy("query_id", "docid")
         .agg(F.sum(F.col("term_weight") * F.col("saturation")).alias("score"))
     )

@@ -19,7 +19,7 @@ FIELD_STATS_SCHEMA = "field string, n_field_docs bigint, total_len bigint, avg_l
 CORPUS_STATS_SCHEMA = "n_docs bigint, shards int"
 
 TOKENS_PER_SHARD = 50_000_000
-MAX_SHARDS = 4096
+MAX_SHARDS = 16_384
 
 
 def shard_of(term: Column, shards: int) -> Column:

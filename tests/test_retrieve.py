@@ -74,7 +74,7 @@ def test_batch_equals_single_queries(spark, golden):
     bags = {str(i): tokens for i, (tokens, _, _) in enumerate(SCORES)}
     rows = [(q, t) for q, tokens in bags.items() for t in tokens]
     query = query_terms(spark.createDataFrame(rows, "query_id string, term string"))
-    assert query.small
+    assert query.few_rows and query.few_terms
     got = search_batch(golden, query, PARAMS, k=2, decimals=6).collect()
     want = [
         (str(i), docid, score, rank)
@@ -88,12 +88,14 @@ def test_large_query_tables_take_shuffled_joins(spark, golden, monkeypatch):
     rows = [(str(i), t) for i, (tokens, _, _) in enumerate(SCORES) for t in tokens]
     queries = spark.createDataFrame(rows, "query_id string, term string")
     small = rank_all(score_batch(golden, query_terms(queries), PARAMS)).collect()
-    monkeypatch.setattr("termloom.operators.retrieve.MAX_BROADCAST_QUERY_ROWS", 0)
-    query = query_terms(queries)
-    assert not query.small
-    large = rank_all(score_batch(golden, query, PARAMS)).collect()
-    assert [r[:2] for r in large] == [r[:2] for r in small]
-    assert [r[2] for r in large] == pytest.approx([r[2] for r in small])
+    distinct = len({term for _, term in rows})
+    for limit, few_terms in ((distinct, True), (0, False)):
+        monkeypatch.setattr("termloom.operators.retrieve.MAX_BROADCAST_ROWS", limit)
+        query = query_terms(queries)
+        assert (query.few_rows, query.few_terms) == (False, few_terms)
+        large = rank_all(score_batch(golden, query, PARAMS)).collect()
+        assert [r[:2] for r in large] == [r[:2] for r in small]
+        assert [r[2] for r in large] == pytest.approx([r[2] for r in small])
 
 
 def test_many_tokens_take_a_join(golden, monkeypatch):
