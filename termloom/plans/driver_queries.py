@@ -280,6 +280,15 @@ def search_batch_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search_batch(index, query, DOCUMENT_PARAMS, k=5, decimals=DECIMALS)
 
 
+def search_saved_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship on an index that was saved in shards and opened again."""
+    index, query = _benchmark_search(spark, sf_dir)
+    path = scratch_path(spark, "index")
+    save_index(index, path, shards=4)
+    loaded = load_index(spark, path, sorted(DOCUMENT_PARAMS))
+    return search_batch(loaded, query, DOCUMENT_PARAMS, k=5, decimals=DECIMALS)
+
+
 def search_batch_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every hit of every benchmark item, best first."""
     index, query = _benchmark_search(spark, sf_dir)
@@ -314,5 +323,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_ties": search_ties,
     "search_pages": search_pages,
     "search_batch_topk": search_batch_topk,
+    "search_saved_topk": search_saved_topk,
     "search_batch_all": search_batch_all,
 }

@@ -229,6 +229,7 @@ FROM documents WHERE {ACCEPTED}""",
     ),
     "search_pages": _search(PAGES, PAGE_PARAMS, _tokens(["div", "the", "about"])),
     "search_batch_topk": _search(DOCUMENTS, DOCUMENT_PARAMS, BENCHMARK, BEST_OF_EACH),
+    "search_saved_topk": _search(DOCUMENTS, DOCUMENT_PARAMS, BENCHMARK, BEST_OF_EACH),
     "search_batch_all": _search(
         DOCUMENTS, DOCUMENT_PARAMS, BENCHMARK, "SELECT query_id, docid, score FROM hits"
     ),

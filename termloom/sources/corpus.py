@@ -19,8 +19,8 @@ DOCID_KEY = "docid"
 MAX_DOCID_BYTES = 32
 
 # Why a record is refused, in the order in which it is tested.
-BAD_UTF8 = "bad_utf8"
 TOO_LARGE = "too_large"
+BAD_UTF8 = "bad_utf8"
 BAD_JSON = "bad_json"
 DOCID_MISSING = "docid_missing"
 DOCID_NOT_STRING = "docid_not_string"
@@ -61,11 +61,19 @@ class Corpus:
 
 
 def read_json_directory(spark: SparkSession, directory: str) -> DataFrame:
-    """``records(path, content)``: the files ``*.json`` directly in a directory."""
+    """``records(path, content, n_bytes)``: the files ``*.json`` directly in a directory.
+
+    A file that is too large to be parsed is not read; its content is null.
+    """
     files = (
         spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(directory)
     )
-    return files.select("path", "content")
+    fits = F.col("length") <= MAX_RECORD_BYTES
+    read = files.where(fits).select("path", "content", F.col("length").alias("n_bytes"))
+    unread = files.where(~fits).select(
+        "path", F.lit(None).cast("binary").alias("content"), F.col("length").alias("n_bytes")
+    )
+    return read.unionByName(unread)
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -77,7 +85,7 @@ def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_records(records: DataFrame, aliases: Mapping[str, str]) -> DataFrame:
-    """``records(path, content)`` to ``parsed(path, docid, fields, reason)``.
+    """``records(path, content[, n_bytes])`` to ``parsed(path, docid, fields, reason)``.
 
     ``content`` is UTF-8 JSON, binary or string. ``aliases`` maps the source
     keys to keep to index field names; other keys are ignored and an absent
@@ -86,16 +94,18 @@ def parse_records(records: DataFrame, aliases: Mapping[str, str]) -> DataFrame:
     """
     _check_aliases(aliases)
     records.sparkSession.conf.set(_DUPLICATE_KEYS, "true")
+    has_size = "n_bytes" in records.columns
     text = records.select(
         "path",
-        F.octet_length("content").alias("n_bytes"),
+        (F.col("n_bytes") if has_size else F.octet_length("content")).alias("n_bytes"),
+        F.col("content").isNotNull().alias("is_read"),
         F.try_validate_utf8(F.col("content").cast("string")).alias("text"),
     )
     # Every step is a projection of its own, so that nothing is parsed twice.
     listed = text.select(
         "path",
         "n_bytes",
-        F.col("text").isNotNull().alias("is_utf8"),
+        (F.col("text").isNotNull() | ~F.col("is_read")).alias("is_utf8"),
         F.from_json(_wrapped("[", "text", "]"), "variant", _STRICT_JSON).alias("listed"),
         _ends_with_its_value("text").alias("whole"),
     )
@@ -131,8 +141,8 @@ def parse_records(records: DataFrame, aliases: Mapping[str, str]) -> DataFrame:
     docid = _trimmed_docid(F.col("k0.text"))
     names = list(aliases.values())
     reason = (
-        F.when(~F.col("is_utf8"), BAD_UTF8)
-        .when(~F.col("is_json") & (F.col("n_bytes") > MAX_RECORD_BYTES), TOO_LARGE)
+        F.when(~F.col("is_json") & (F.col("n_bytes") > MAX_RECORD_BYTES), TOO_LARGE)
+        .when(~F.col("is_utf8"), BAD_UTF8)
         .when(~F.col("is_json"), BAD_JSON)
         .when(~F.col("k0.present"), DOCID_MISSING)
         .when(~F.col("k0.is_string"), DOCID_NOT_STRING)

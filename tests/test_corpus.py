@@ -112,6 +112,17 @@ def test_directory(spark, tmp_path):
         read_corpus(spark, str(tmp_path), ALIASES, mode="strict")
 
 
+def test_files_beyond_the_limit_are_refused_unread(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.json").write_text('{"docid":"a"}')
+    (tmp_path / "b.json").write_text('{"docid":"b","title":"long"}')
+    monkeypatch.setattr("termloom.sources.corpus.MAX_RECORD_BYTES", 20)
+    parsed = parse_records(read_json_directory(spark, str(tmp_path)), ALIASES).collect()
+    assert sorted((r["path"][-6:], r["docid"], r["reason"]) for r in parsed) == [
+        ("a.json", "a", None),
+        ("b.json", None, "too_large"),
+    ]
+
+
 def test_json_is_parsed_once_when_staged(spark, tmp_path):
     (tmp_path / "x.jsonl").write_text('{"docid":"a"}\n{"docid":1}\n')
     parsed = stage_records(parse_records(read_json_lines(spark, str(tmp_path)), {"f": "f"}))
