@@ -80,7 +80,7 @@ def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
     """``records(path, content)``: one record per line, the form for large corpora."""
     lines = spark.read.text(path)
     return lines.select(
-        F.col("_metadata.file_path").alias("path"), F.encode("value", "utf-8").alias("content")
+        F.col("_metadata.file_path").alias("path"), F.col("value").cast("binary").alias("content")
     )
 
 

@@ -132,6 +132,15 @@ def test_json_is_parsed_once_when_staged(spark, tmp_path):
     assert docs.count() == 1 and [r["reason"] for r in refused.collect()] == ["docid_not_string"]
 
 
+def test_lines_keep_their_bytes(spark, tmp_path):
+    (tmp_path / "x.jsonl").write_bytes(b'{"docid":"a\xff"}\n{"docid":"\xc3\xa9"}\n')
+    parsed = parse_records(read_json_lines(spark, str(tmp_path)), {"f": "f"}).collect()
+    assert sorted((r["docid"] or "", r["reason"] or "") for r in parsed) == [
+        ("", "bad_utf8"),
+        ("é", ""),
+    ]
+
+
 def test_columns(spark):
     rows = [("a", "x", None), ("b", None, None), (None, "x", "y"), ("c" * 33, "x", "y")]
     df = spark.createDataFrame(rows, "id string, t string, b string")
