@@ -28,6 +28,9 @@ class Index:
     ``field_stats(field, n_field_docs, total_len, avg_len)``,
     ``corpus_stats(n_docs)``.
 
+    ``entries`` are the postings and, as rows without ``term`` and ``tf``, the
+    lengths: what one pass over the texts gives, and what is saved.
+
     A loaded index has ``shards``: postings then also have the column
     ``shard``, see :func:`termloom.sources.store.shard_of`.
     """
@@ -36,6 +39,7 @@ class Index:
     lengths: DataFrame
     field_stats: DataFrame
     corpus_stats: DataFrame
+    entries: DataFrame
     shards: int | None = None
 
 
@@ -90,12 +94,19 @@ def build_index(corpus: Corpus, duplicates: str = "merge") -> Index:
     if duplicates == "error":
         _refuse(repeated)
     once, again = _split(corpus.texts, repeated)
-    postings, lengths = _direct_postings(once), text_lengths(once)
+    entries, lengths = _direct_entries(once), text_lengths(once)
     if again is not None:
         more_lengths = _summed_lengths(text_lengths(again))
-        postings = postings.unionByName(_with_length(term_frequencies(again), more_lengths))
+        more = _with_length(term_frequencies(again), more_lengths)
+        entries = entries.unionByName(_entries(more, more_lengths))
         lengths = lengths.unionByName(more_lengths)
-    return Index(postings, lengths, field_statistics(lengths), corpus_statistics(corpus.records))
+    return Index(
+        entries.where(F.col("term").isNotNull()),
+        lengths,
+        field_statistics(lengths),
+        corpus_statistics(corpus.records),
+        entries,
+    )
 
 
 def merge_indexes(a: Index, b: Index, duplicates: str = "merge") -> Index:
@@ -122,6 +133,7 @@ def merge_indexes(a: Index, b: Index, duplicates: str = "merge") -> Index:
         lengths_once,
         field_statistics(lengths_once),
         n_docs.agg(F.sum("n_docs").alias("n_docs")),
+        _entries(once, lengths_once),
     )
 
 
@@ -169,14 +181,19 @@ def _refuse(repeated: RepeatedDocids) -> None:
         raise ValueError(f"{repeated.count} docids come more than once, such as {some}")
 
 
-def _direct_postings(texts: DataFrame) -> DataFrame:
-    """Postings of texts with one row per docid and field."""
-    return (
+def _direct_entries(texts: DataFrame) -> DataFrame:
+    """Entries of texts with one row per docid and field."""
+    counted = (
         tokenize_with_length(texts)
         .groupBy("field", "term", "docid", "len")
-        .agg(F.count("*").alias("tf"))
-        .select("field", "term", "docid", "tf", "len")
+        .agg(F.count("*").alias("n"))
     )
+    tf = F.when(F.col("term").isNotNull(), F.col("n"))
+    return counted.select("field", "term", "docid", tf.alias("tf"), "len")
+
+
+def _entries(postings: DataFrame, lengths: DataFrame) -> DataFrame:
+    return postings.unionByName(lengths, allowMissingColumns=True)
 
 
 def _with_length(frequencies: DataFrame, lengths: DataFrame) -> DataFrame:

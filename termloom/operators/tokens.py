@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termloom.functions.analyzer import chunk_count, has_chunk, terms_of_nonblank
+from termloom.functions.analyzer import (
+    analyzed_terms,
+    chunk_count,
+    has_chunk,
+    terms_of_nonblank,
+)
 
 
 def analyze(texts: DataFrame) -> DataFrame:
@@ -24,9 +29,16 @@ def tokenize(texts: DataFrame) -> DataFrame:
 
 
 def tokenize_with_length(texts: DataFrame) -> DataFrame:
-    """``tokens(docid, field, len, term)``, ``len`` being the row's own length."""
-    sized = analyze(texts).select(
-        "docid", "field", F.size("terms").cast("bigint").alias("len"), "terms"
+    """``(docid, field, len, term)``: the tokens of each text and, before them,
+    one row without a term, which an empty text has as well. ``len`` is the
+    length of the text."""
+    analyzed = texts.select("docid", "field", analyzed_terms(F.col("text")).alias("terms"))
+    no_term = F.array(F.lit(None).cast("string"))
+    sized = analyzed.select(
+        "docid",
+        "field",
+        F.size("terms").cast("bigint").alias("len"),
+        F.concat(no_term, F.col("terms")).alias("terms"),
     )
     return sized.select("docid", "field", "len", _each_term())
 

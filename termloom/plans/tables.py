@@ -26,8 +26,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str])
     """The given columns of a table, spread over the cores.
 
     A file of one row group is read by one task, however many cores wait. A
-    table that cannot give every core a full split is therefore redistributed
-    by its first column; a larger one is read where it lies.
+    table that cannot give every core a full split is therefore dealt out evenly
+    (by row, not by key, since a key may hold a third of them); a larger one is
+    read where it lies.
     """
     path = f"{sf_dir}/{name}.parquet"
     table = spark.read.parquet(path).select(*columns)
@@ -35,7 +36,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str])
     n_bytes = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
     cores = spark.sparkContext.defaultParallelism
     if n_bytes < cores * FULL_SPLIT_BYTES:
-        return table.repartition(cores, columns[0])
+        return table.repartition(cores)
     return table
 
 

@@ -1,9 +1,9 @@
 """The index as Parquet tables: save, load, and where a term is stored.
 
-Postings lie in folders ``field=.../shard=...`` and are sorted by term and
+Entries lie in folders ``field=.../shard=...`` and are sorted by term and
 docid within each file. A search for a few terms opens the folders of its
 fields and of its terms' shards, and within them the row groups whose range
-and bloom filter admit a term.
+and Bloom filter admit a term. The lengths have a folder of their own.
 """
 
 from __future__ import annotations
@@ -13,13 +13,14 @@ from pyspark.sql import functions as F
 
 from termloom.operators.build import Index, field_statistics
 
-POSTINGS_SCHEMA = "term string, docid string, tf bigint, len bigint, field string, shard int"
-LENGTHS_SCHEMA = "docid string, len bigint, field string"
+ENTRIES_SCHEMA = "term string, docid string, tf bigint, len bigint, field string, shard int"
 FIELD_STATS_SCHEMA = "field string, n_field_docs bigint, total_len bigint, avg_len double"
 CORPUS_STATS_SCHEMA = "n_docs bigint, shards int"
 
 TOKENS_PER_SHARD = 50_000_000
 MAX_SHARDS = 16_384
+LENGTHS_SHARD = -1
+SIZING_ROWS = 1000
 
 
 def shard_of(term: Column, shards: int) -> Column:
@@ -31,38 +32,51 @@ def shard_of(term: Column, shards: int) -> Column:
 def save_index(index: Index, path: str, shards: int | None = None) -> None:
     """Write an index; ``path`` must not hold one yet.
 
-    ``shards`` defaults to one per 50 million tokens. The corpus statistics
-    are written last and mark the index as complete.
+    ``shards`` defaults to about one per 50 million tokens. The corpus
+    statistics are written last and mark the index as complete.
     """
-    spark = index.lengths.sparkSession
-    lengths = index.lengths.select("docid", "len", "field")
-    # Even pieces of the target size, instead of a small file per task and field.
-    lengths.hint("rebalance").write.partitionBy("field").parquet(f"{path}/lengths")
-    saved_lengths = spark.read.schema(LENGTHS_SCHEMA).parquet(f"{path}/lengths")
-    field_statistics(saved_lengths).coalesce(1).write.parquet(f"{path}/field_stats")
+    spark = index.entries.sparkSession
     if shards is None:
-        stats = spark.read.schema(FIELD_STATS_SCHEMA).parquet(f"{path}/field_stats")
-        tokens = stats.agg(F.coalesce(F.sum("total_len"), F.lit(0)).alias("n")).first()["n"]
-        shards = min(MAX_SHARDS, max(1, tokens // TOKENS_PER_SHARD))
-    _write_postings(index.postings, path, shards)
+        shards = _suggested_shards(index)
+    _write_entries(index.entries, f"{path}/entries", shards)
+    lengths = _lengths(_read_entries(spark, path))
+    field_statistics(lengths).coalesce(1).write.parquet(f"{path}/field_stats")
     index.corpus_stats.select(
         "n_docs", F.lit(shards).cast("int").alias("shards")
     ).coalesce(1).write.parquet(f"{path}/corpus_stats")
 
 
-def _write_postings(postings: DataFrame, path: str, shards: int) -> None:
+def _suggested_shards(index: Index) -> int:
+    """From the number of documents and the mean length of the first texts.
+
+    Only the layout depends on it, so an estimate will do; the exact number of
+    tokens would take a pass over all texts.
+    """
+    first = index.lengths.limit(SIZING_ROWS).agg(
+        F.sum("len").alias("tokens"), F.count_distinct("docid").alias("docs")
+    )
+    sample = first.first()
+    if not sample["docs"]:
+        return 1
+    n_docs = index.corpus_stats.first()["n_docs"]
+    tokens = n_docs * sample["tokens"] // sample["docs"]
+    return min(MAX_SHARDS, max(1, tokens // TOKENS_PER_SHARD))
+
+
+def _write_entries(entries: DataFrame, path: str, shards: int) -> None:
     """One shuffle to the shards. ``rebalance`` lets the adaptive planner cut a
     shard that outgrows the target partition size (a frequent term lies in
     one shard) and join small ones, which a fixed hash could not."""
-    placed = postings.select(
-        "term", "docid", "tf", "len", "field", shard_of(F.col("term"), shards).alias("shard")
+    shard = F.when(F.col("term").isNull(), LENGTHS_SHARD).otherwise(
+        shard_of(F.col("term"), shards)
     )
+    placed = entries.select("term", "docid", "tf", "len", "field", shard.alias("shard"))
     (
         placed.hint("rebalance", "field", "shard")
         .sortWithinPartitions("field", "shard", "term", "docid")
         .write.partitionBy("field", "shard")
         .option("parquet.bloom.filter.enabled#term", "true")
-        .parquet(f"{path}/postings")
+        .parquet(path)
     )
 
 
@@ -71,15 +85,25 @@ def load_index(spark: SparkSession, path: str, fields: list[str] | None = None)
 
     The number of documents stays that of the whole corpus.
     """
-    stats = spark.read.schema(CORPUS_STATS_SCHEMA).parquet(f"{path}/corpus_stats")
-    tables = [
-        spark.read.schema(schema).parquet(f"{path}/{name}")
-        for name, schema in (
-            ("postings", POSTINGS_SCHEMA),
-            ("lengths", LENGTHS_SCHEMA),
-            ("field_stats", FIELD_STATS_SCHEMA),
-        )
-    ]
+    corpus_stats = spark.read.schema(CORPUS_STATS_SCHEMA).parquet(f"{path}/corpus_stats")
+    field_stats = spark.read.schema(FIELD_STATS_SCHEMA).parquet(f"{path}/field_stats")
+    entries = _read_entries(spark, path)
     if fields is not None:
-        tables = [table.where(F.col("field").isin(list(fields))) for table in tables]
-    return Index(*tables, stats.select("n_docs"), shards=stats.first()["shards"])
+        chosen = F.col("field").isin(list(fields))
+        entries, field_stats = entries.where(chosen), field_stats.where(chosen)
+    return Index(
+        postings=entries.where(F.col("shard") != LENGTHS_SHARD),
+        lengths=_lengths(entries),
+        field_stats=field_stats,
+        corpus_stats=corpus_stats.select("n_docs"),
+        entries=entries.drop("shard"),
+        shards=corpus_stats.first()["shards"],
+    )
+
+
+def _read_entries(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(ENTRIES_SCHEMA).parquet(f"{path}/entries")
+
+
+def _lengths(entries: DataFrame) -> DataFrame:
+    return entries.where(F.col("shard") == LENGTHS_SHARD).select("field", "docid", "len")

@@ -73,6 +73,19 @@ def test_unsaved_lookup_filters_before_counting(spark):
     assert re.search(r"Aggregate[^\n]*\n[^\n]*(Project[^\n]*\n[^\n]*)?Filter \([^\n]*term#\d+ = fox", text)
 
 
+def test_saving_analyses_a_text_once(spark):
+    docs = spark.createDataFrame([("a", "red fox")], "id string, t string")
+    index = build_index(corpus_from_columns(docs, "id", {"t": "b"}))
+    text = index.entries._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("regexp_replace") == 2
+
+
+def test_lengths_have_their_own_folder(saved):
+    text = plan(saved.lengths)
+    assert re.search(r"PartitionFilters: \[.*shard#\d+ = -1", text)
+    assert "ReadSchema: struct<docid:string,len:bigint>" in text
+
+
 def test_duplicate_check_does_not_read_texts(spark, tmp_path):
     path = str(tmp_path / "docs")
     spark.range(3).select(F.col("id"), F.lit("some text").alias("t")).write.parquet(path)
