@@ -64,10 +64,13 @@ class QueryTerms:
 def query_terms(queries: DataFrame) -> QueryTerms:
     """The bags of ``queries(query_id, term)``, where a repeated term counts.
 
+    A row without a term asks for nothing.
+
     They are written out, since a search reads them twice, and measured, to
     choose the kind of joins.
     """
-    bags = queries.groupBy("query_id", "term").agg(F.count("*").alias("qtf"))
+    asked = queries.where(F.col("term").isNotNull())
+    bags = asked.groupBy("query_id", "term").agg(F.count("*").alias("qtf"))
     spark = queries.sparkSession
     path = scratch_path(spark, "query-terms")
     bags.write.parquet(path)
@@ -85,10 +88,13 @@ def query_terms(queries: DataFrame) -> QueryTerms:
         )
         .first()
     )
+    few_terms = _may_broadcast(size["terms"], size["term_bytes"])
+    terms = None
+    if few_terms and size["terms"] <= MAX_FILTER_TERMS:
+        listed = rows.select("term").distinct().limit(MAX_FILTER_TERMS).collect()
+        terms = tuple(sorted(row["term"] for row in listed))
     return QueryTerms(
-        rows,
-        few_rows=_may_broadcast(size["rows"], size["row_bytes"]),
-        few_terms=_may_broadcast(size["terms"], size["term_bytes"]),
+        rows, _may_broadcast(size["rows"], size["row_bytes"]), few_terms, terms
     )
 
 
@@ -129,11 +135,19 @@ def lookup(index: Index, query: QueryTerms, fields: Iterable[str]) -> DataFrame:
             folders = [shard_of(F.lit(term), index.shards) for term in query.terms]
             postings = postings.where(F.col("shard").isin(folders))
     else:
+        if index.shards is not None and query.few_terms:
+            postings = postings.where(F.col("shard").isin(_shards_hit(query, index.shards)))
         terms = query.per_term(query.rows.select("term").distinct())
         postings = postings.join(terms, "term", "left_semi")
     return postings.select("field", "term", "docid", "tf", "len")
 
 
+def _shards_hit(query: QueryTerms, shards: int) -> list[int]:
+    """The folders of the query terms, at most ``shards`` numbers."""
+    hit = query.rows.select(shard_of(F.col("term"), shards).alias("shard")).distinct()
+    return [row["shard"] for row in hit.collect()]
+
+
 # --- scoring ----------------------------------------------------------------
 
 
