@@ -8,10 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from termloom.llm.language import op10_language
 from termloom.llm.shards import op3_shards
+from termloom.llm.topk import OP8_SQL, op8_topk
+from termloom.llm.toxicity import op9_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_shards": op3_shards,
+    "op8_topk": op8_topk,
+    "op9_toxicity": op9_toxicity,
     "op10_language": op10_language,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op8_topk": OP8_SQL}
