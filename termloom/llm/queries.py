@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from termloom.llm.fingerprint import op5_fingerprint
 from termloom.llm.language import op10_language
 from termloom.llm.shards import op3_shards
 from termloom.llm.topk import OP8_SQL, op8_topk
@@ -13,6 +14,7 @@ from termloom.llm.toxicity import op9_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_shards": op3_shards,
+    "op5_fingerprint": op5_fingerprint,
     "op8_topk": op8_topk,
     "op9_toxicity": op9_toxicity,
     "op10_language": op10_language,

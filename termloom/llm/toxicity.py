@@ -33,7 +33,7 @@ MAX_ENTRIES, MAX_EXCEPTIONS = 5_000, 5_000
 #: An entry occurs in so many toxic texts at least ...
 MIN_TOXIC = 4
 #: ... and its log odds, less twice their standard error, are at least this.
-MIN_LOG_ODDS = 1.0
+MIN_LOG_ODDS = 1.5
 #: Lengths of word starts that may be entries.
 STARTS = range(4, 9)
 THRESHOLD = 0.3
@@ -146,7 +146,8 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED)
 
     Their ids and labels (12 bytes a row, so their size is bounded) are sent to
     the tasks that scan the documents. A document with several labels has the
-    largest; rows without id, label or text are left out.
+    largest; rows without id, label or text are left out. Of equal texts with the
+    same label one is kept, so that a copied text does not make entries.
     """
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     known = known.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
@@ -154,8 +155,9 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED)
     chosen = chosen.orderBy(F.xxhash64("doc_id", F.lit("labelled")), "doc_id").limit(most)
     texts = ids_and_texts(docs).where(F.col("text").isNotNull())
     joined = texts.join(F.broadcast(chosen), "doc_id")
-    half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)).cast("int")
-    return shared_table(joined.select("text", "toxic", half.alias("half")), "labelled")
+    half = F.pmod(F.xxhash64("text", F.lit("half")), F.lit(2)).cast("int")
+    distinct = joined.select("text", "toxic").distinct()
+    return shared_table(distinct.select("text", "toxic", half.alias("half")), "labelled")
 
 
 def _partial_counts(sample: DataFrame, items) -> DataFrame:
