@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from termloom.llm.fingerprint import op5_fingerprint
 from termloom.llm.language import op10_language
+from termloom.llm.packing import op7_packing
 from termloom.llm.shards import op3_shards
 from termloom.llm.topk import OP8_SQL, op8_topk
 from termloom.llm.toxicity import op9_toxicity
@@ -15,6 +16,7 @@ from termloom.llm.toxicity import op9_toxicity
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_shards": op3_shards,
     "op5_fingerprint": op5_fingerprint,
+    "op7_packing": op7_packing,
     "op8_topk": op8_topk,
     "op9_toxicity": op9_toxicity,
     "op10_language": op10_language,
