@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from termloom.llm.fingerprint import op5_fingerprint
 from termloom.llm.language import op10_language
+from termloom.llm.minhash import op4_minhash
 from termloom.llm.packing import op7_packing
 from termloom.llm.sampling import op6_sampling
 from termloom.llm.shards import op3_shards
@@ -16,6 +17,7 @@ from termloom.llm.toxicity import op9_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_shards": op3_shards,
+    "op4_minhash": op4_minhash,
     "op5_fingerprint": op5_fingerprint,
     "op6_sampling": op6_sampling,
     "op7_packing": op7_packing,
