@@ -10,12 +10,14 @@ from termloom.llm.fingerprint import op5_fingerprint
 from termloom.llm.language import op10_language
 from termloom.llm.minhash import op4_minhash
 from termloom.llm.packing import op7_packing
+from termloom.llm.repeats import op2_repeats
 from termloom.llm.sampling import op6_sampling
 from termloom.llm.shards import op3_shards
 from termloom.llm.topk import OP8_SQL, op8_topk
 from termloom.llm.toxicity import op9_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_repeats": op2_repeats,
     "op3_shards": op3_shards,
     "op4_minhash": op4_minhash,
     "op5_fingerprint": op5_fingerprint,
