@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from termloom.llm.fingerprint import op5_fingerprint
 from termloom.llm.language import op10_language
+from termloom.llm.lm import op1_lm
 from termloom.llm.minhash import op4_minhash
 from termloom.llm.packing import op7_packing
 from termloom.llm.repeats import op2_repeats
@@ -17,6 +18,7 @@ from termloom.llm.topk import OP8_SQL, op8_topk
 from termloom.llm.toxicity import op9_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm": op1_lm,
     "op2_repeats": op2_repeats,
     "op3_shards": op3_shards,
     "op4_minhash": op4_minhash,
