@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from termloom.llm.common import column, documents, ids_and_texts, slices, tokenizer_path
 
@@ -348,7 +349,7 @@ def decode_pieces(sampled: DataFrame, model: str) -> DataFrame:
                     [*rows.columns, pa.array(texts, pa.binary()).cast(pa.string())], names=[*rows.schema.names, "decoded"]
                 )
 
-    return sampled.mapInArrow(run, sampled.schema.add("decoded", "string"))
+    return sampled.mapInArrow(run, StructType([*sampled.schema.fields, StructField("decoded", StringType())]))
 
 
 def op6_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
