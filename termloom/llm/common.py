@@ -23,6 +23,13 @@ def ids_and_texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def with_record(docs: DataFrame) -> DataFrame:
+    """``(record struct, text string)``: whole rows, so that no name can clash."""
+    text = F.col("text").cast("string")
+    # An operator that keeps rows moves their text within the record only.
+    return docs.select(F.struct(*[docs[f"`{name}`"] for name in docs.columns]).alias("record"), text.alias("text"))
+
+
 def shared_table(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it again; this cuts the lineage.
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from termloom.llm.common import column, crc_remainder, documents, ids_and_texts, slices
+from termloom.llm.common import column, crc_remainder, documents, slices, with_record
 
 PROFILE_SIZE = 400
 TEXT_PROFILE_SIZE = 400
@@ -189,8 +189,8 @@ def learn_languages(labelled: DataFrame, size: int = PROFILE_SIZE) -> Identifier
     return Identifier([(r["lang"], r["rank"], r["gram"]) for r in rows], size)
 
 
-def identify(docs: DataFrame, identifier: Identifier) -> DataFrame:
-    """``(doc_id, lang_pred, score)`` for every row of ``docs(doc_id, text)``."""
+def identify_rows(docs: DataFrame, identifier: Identifier) -> DataFrame:
+    """``(record struct, lang_pred, score)``: every row of ``docs``, whatever its columns."""
     shared = docs.sparkSession.sparkContext.broadcast(identifier)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,14 +199,22 @@ def identify(docs: DataFrame, identifier: Identifier) -> DataFrame:
             found = model.predict(column(batch, "text").to_pylist())
             yield pa.record_batch(
                 [
-                    column(batch, "doc_id"),
+                    column(batch, "record"),
                     pa.array([lang for lang, _ in found], pa.string()),
                     pa.array([score for _, score in found], pa.float64()),
                 ],
-                names=["doc_id", "lang_pred", "score"],
+                names=["record", "lang_pred", "score"],
             )
 
-    return ids_and_texts(docs).mapInArrow(predict, "doc_id bigint, lang_pred string, score double")
+    rows = with_record(docs)
+    schema = rows.select("record").schema.add("lang_pred", "string").add("score", "double")
+    return rows.mapInArrow(predict, schema)
+
+
+def identify(docs: DataFrame, identifier: Identifier) -> DataFrame:
+    """``(doc_id, lang_pred, score)`` for every row of ``docs(doc_id, text)``."""
+    found = identify_rows(docs.select("doc_id", "text"), identifier)
+    return found.select(F.col("record.doc_id").cast("bigint").alias("doc_id"), "lang_pred", "score")
 
 
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -76,8 +76,9 @@ def set_number(shingles: np.ndarray) -> int:
     return int(mixed(np.array([total], np.uint64) + np.uint64(len(shingles))).view(np.int64)[0])
 
 
-def _described(docs: DataFrame) -> DataFrame:
-    """``(doc_id, n, class, bands, marks)`` of every row; ``marks`` is a byte a coordinate."""
+def _described(docs: DataFrame, *more: str) -> DataFrame:
+    """``(doc_id, n, class, bands, marks)`` of every row; ``marks`` is a byte a
+    coordinate. Columns named in ``more`` (longs) come along."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 4 << 20):
@@ -90,12 +91,14 @@ def _described(docs: DataFrame) -> DataFrame:
                     pa.array([set_number(s) if len(s) else None for s in sets], pa.int64()),
                     pa.array([None if c is None else bands(c) for c in signatures], pa.list_(pa.int64())),
                     pa.array([None if c is None else _marks(c) for c in signatures], pa.binary()),
+                    *(column(batch, name) for name in more),
                 ],
-                names=["doc_id", "n", "class", "bands", "marks"],
+                names=["doc_id", "n", "class", "bands", "marks", *more],
             )
 
     schema = "doc_id bigint, n bigint, class bigint, bands array<bigint>, marks binary"
-    return ids_and_texts(docs).mapInArrow(describe, schema)
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
+    return rows.mapInArrow(describe, ", ".join([schema, *(f"{name} bigint" for name in more)]))
 
 
 def _marks(coordinates: np.ndarray) -> bytes:
@@ -238,17 +241,8 @@ def _pairs(left: tuple[np.ndarray, ...], right: tuple[np.ndarray, ...]) -> pa.Re
     return pa.record_batch([pa.array(a[i[agree]]), pa.array(b[j[agree]])], names=["a", "b"])
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, kept)`` of every row.
-
-    Linked are rows whose sets of five-word shingles have a Jaccard similarity
-    of ``THRESHOLD`` percent or more. ``component_id`` is the smallest id that
-    links reach. Null and empty texts, and texts of white space, have no shingle
-    and are their own component. Rows without an id take part like others but
-    give no id: ``component_id`` is null if no row of the component has one, and
-    ``kept`` is null. Repeated rows are linked as equal texts.
-    """
-    described = shared_table(_described(docs), "described")
+def _roots(docs: DataFrame, described: DataFrame) -> DataFrame:
+    """``(class, root)`` of the classes that are linked to others."""
     classes = described.where(F.col("class").isNotNull())
     keyed = classes.select("class", "bands").dropDuplicates(["class"])
     keyed = keyed.select(F.explode("bands").alias("band"), "class")
@@ -263,9 +257,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     one_each = classes.select("class", "marks", "n").dropDuplicates(["class"])
     apart = shared_table(_apart(one_each, star, links), "apart")
     links = links.unionByName(_linked(apart, texts))
+    return components(links).select(F.col("node").alias("class"), "root")
 
-    roots = components(links).select(F.col("node").alias("class"), "root")
-    rows = described.select("doc_id", "n", "class").join(roots, "class", "left")
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``(doc_id, n_shingles, component_id, kept)`` of every row.
+
+    Linked are rows whose sets of five-word shingles have a Jaccard similarity
+    of ``THRESHOLD`` percent or more. ``component_id`` is the smallest id that
+    links reach. Null and empty texts, and texts of white space, have no shingle
+    and are their own component. Rows without an id take part like others but
+    give no id: ``component_id`` is null if no row of the component has one, and
+    ``kept`` is null. Repeated rows are linked as equal texts.
+    """
+    described = shared_table(_described(docs), "described")
+    rows = described.select("doc_id", "n", "class").join(_roots(docs, described), "class", "left")
     rows = rows.select("doc_id", "n", F.coalesce("root", "class").alias("root"))
     with_set = rows.where(F.col("root").isNotNull())
     least = with_set.groupBy("root").agg(F.min("doc_id").alias("component_id"))
@@ -279,6 +285,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of each group of near duplicates, with the columns of ``docs``.
+
+    The row with the smallest id stays, of several with that id the one that
+    comes first in its table; a group without ids keeps its first row. Texts
+    without a word are in no group and all stay. ``docs`` is read twice and has
+    to give its rows in the same order, as a table does.
+    """
+    place = F.monotonically_increasing_id().alias("place")
+    rows = docs.select(F.struct(*[docs[f"`{name}`"] for name in docs.columns]).alias("record"), place)
+    placed = rows.select(F.col("record.doc_id").alias("doc_id"), F.col("record.text").alias("text"), "place")
+    described = shared_table(_described(placed, "place"), "described")
+    found = described.select("doc_id", "place", "class").join(_roots(docs, described), "class", "left")
+    root = F.coalesce("root", "class")
+    by_id = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "place")
+    first = found.where(root.isNotNull()).groupBy(root.alias("root")).agg(F.min(by_id).alias("first"))
+    kept = first.select("first.place").unionByName(found.where(root.isNull()).select("place"))
+    return rows.join(kept, "place").select("record.*")
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of near duplicates among all documents."""
     return near_duplicates(documents(spark, sf_dir))

@@ -368,6 +368,42 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 _REMOVED_NAMES = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
 
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with repeated passages taken out of ``text``, in whole characters.
+
+    Every row stays, with an empty text if nothing is left; a null text stays null.
+    ``n_chars``, if there is such a column, is counted anew for changed texts.
+    """
+    runs = repeated_places(docs).distinct().groupBy("ref").agg(F.collect_list(F.struct("first", "n")).alias("runs"))
+    rows = docs.select(
+        F.struct(*[docs[f"`{name}`"] for name in docs.columns]).alias("record"),
+        F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))).alias("ref"),
+    )
+    joined = rows.join(runs, "ref", "left").select("record", F.col("record.text").cast("string").alias("text"), "runs")
+
+    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 4 << 20):
+            kept = []
+            for text, own in zip(utf8(batch, "text"), column(batch, "runs").to_pylist()):
+                if text and own:
+                    text = kept_bytes(text, [(run["first"], run["n"]) for run in own], True)[0] or b""
+                    kept.append(text)
+                else:
+                    kept.append(None)
+            left = pa.array(kept, pa.binary()).cast(pa.string())
+            yield pa.record_batch([column(batch, "record"), left], names=["record", "left"])
+
+    # "left" is null where a text is as it was.
+    found = joined.mapInArrow(shorten, joined.select("record").schema.add("left", "string"))
+    changed = {"text": F.coalesce("left", "record.text")}
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        new = F.when(F.col("left").isNotNull(), F.char_length("left").cast(kind))
+        changed["n_chars"] = new.otherwise(F.col("record.n_chars"))
+    columns = [changed.get(name, F.col(f"record.`{name}`")).alias(name) for name in docs.columns]
+    return found.select(*columns)
+
+
 def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without repeated passages."""
     return remove_repeats(documents(spark, sf_dir))

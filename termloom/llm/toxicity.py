@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import ahocorasick
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm.common import column, crc_remainder, documents, ids_and_texts, shared_table, slices
+from termloom.llm.common import column, crc_remainder, documents, ids_and_texts, shared_table, slices, with_record
 
 #: Labelled texts to learn from, at most.
 MAX_LABELLED = 60_000
@@ -257,21 +257,24 @@ def _fit(bins: list[tuple[float, int, int]]) -> tuple[float, float]:
     return float(beta[0]), float(beta[1])
 
 
-def score_toxicity(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """``(doc_id, score)`` of every row; an empty or null text has no hit."""
+def score_rows(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """``(record struct, score)``: every row of ``docs``; a null or empty text has no hit."""
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in slices(batches, "text"):
-            scores = _scores(column(batch, "text").to_pylist(), model)
-            yield pa.record_batch([column(batch, "doc_id"), pa.array(scores, pa.float64())], names=["doc_id", "score"])
+            scores = [model.score(text) for text in column(batch, "text").to_pylist()]
+            yield pa.record_batch([column(batch, "record"), pa.array(scores, pa.float64())], names=["record", "score"])
 
-    return ids_and_texts(docs).mapInArrow(score, "doc_id bigint, score double")
+    rows = with_record(docs)
+    return rows.mapInArrow(score, rows.select("record").schema.add("score", "double"))
 
 
-def _scores(texts: Iterable[str | None], lexicon: Lexicon) -> list[float]:
-    return [lexicon.score(text) for text in texts]
+def score_toxicity(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """``(doc_id, score)`` of every row of ``docs(doc_id, text)``."""
+    found = score_rows(docs.select("doc_id", "text"), lexicon)
+    return found.select(F.col("record.doc_id").cast("bigint").alias("doc_id"), "score")
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
