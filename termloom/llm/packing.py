@@ -12,6 +12,7 @@ level, until one block holds them all.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -27,7 +28,7 @@ CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 #: Words whose ids a task remembers; the others are encoded when they come.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 1_000_000
 
 BLOCK_PIECES = 4096
 ISLANDS, EPOCHS, GENERATIONS, POPULATION = 3, 3, 12, 6
@@ -54,20 +55,22 @@ class WordEncoder:
 
         one_thread()
         self.tokenizer = Tokenizer.from_file(path)
+        n = self.tokenizer.get_vocab_size()
+        self.ends_word = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(n)])
         self.known: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         # Case does not matter to this vocabulary, except in its special tokens.
         split = [(t if b"<|" in t else t.lower()).split() if t else [] for t in texts]
-        get = self.known.get
-        missing = {word for words in split for word in words if word not in self.known}
+        missing = set().union(*split).difference(self.known)
         extra = self._encode_words(missing) if missing else {}
-        if extra:
-            get = _either(self.known, extra)
+        room = max(0, REMEMBERED_WORDS - len(self.known))
+        later = list(extra)[room:]
+        self.known.update(extra)
+        get = self.known.__getitem__
         found = [b"".join(map(get, words)) for words in split]
-        room = REMEMBERED_WORDS - len(self.known)
-        if extra and room > 0:
-            self.known.update(list(extra.items())[:room])
+        for word in later:
+            del self.known[word]
         return found
 
     def _encode_words(self, words: set[bytes]) -> dict[bytes, bytes]:
@@ -75,22 +78,33 @@ class WordEncoder:
         parts = {}
         for word in words:
             stem = word.rstrip(b".,!?;:")
-            if stem and stem != word and (stem.isalpha() or stem.decode().isalpha()):
-                parts[word] = (stem, word[len(stem) :])
-            else:
-                parts[word] = (word,)
-        single = list({part for own in parts.values() for part in own})
-        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in single], add_special_tokens=False)
-        ids = {word: _packed(e.ids) for word, e in zip(single, encoded)}
+            parts[word] = (stem, word[len(stem) :]) if stem and stem != word and _is_letters(stem) else (word,)
+        single = {part for own in parts.values() for part in own}
+        letters = [part for part in single if _is_letters(part)]
+        ids: dict[bytes, bytes] = {}
+        for start in range(0, len(letters), 20_000):
+            ids |= self._encode_letters(letters[start : start + 20_000])
+        rest = [part for part in single if part not in ids]
+        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)
+        ids |= {word: _packed(e.ids) for word, e in zip(rest, encoded)}
         return {word: b"".join(map(ids.__getitem__, own)) for word, own in parts.items()}
 
-
-def _either(known: dict[bytes, bytes], extra: dict[bytes, bytes]):
-    def get(word: bytes) -> bytes:
-        ids = known.get(word)
-        return extra[word] if ids is None else ids
-
-    return get
+    def _encode_letters(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Words of letters only, each of which ends with its only word end, in one text."""
+        ids = np.array(self.tokenizer.encode(b" ".join(words).decode(), add_special_tokens=False).ids, "<u4")
+        ends = (np.flatnonzero(self.ends_word[ids]) + 1).tolist()
+        if len(ends) != len(words):
+            return {}
+        packed = ids.tobytes()
+        return {word: packed[4 * start : 4 * end] for word, start, end in zip(words, [0, *ends], ends)}
+
+
+def _is_letters(word: bytes) -> bool:
+    """Whether lower-casing and composing leave one run of letters."""
+    if word.isalpha():
+        return True
+    text = word.decode().lower()
+    return text.isalpha() and unicodedata.is_normalized("NFC", text)
 
 
 def _packed(ids: list[int]) -> bytes:
