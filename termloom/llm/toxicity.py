@@ -70,11 +70,12 @@ _ODD = frozenset(map(chr, _WIDE))
 
 
 def fold(text: str) -> str:
-    """Lower case, look-alikes and digits as letters, a blank around every word."""
+    """Lower case, look-alikes and digits as letters, one blank around every word."""
     text = text.lower()
     if not text.isascii() and not _ODD.isdisjoint(text):
         text = text.translate(_WIDE)
-    return " " + text.encode("utf-8", "replace").translate(_ASCII).decode() + " "
+    words = text.encode("utf-8", "replace").translate(_ASCII).split()
+    return " " + b" ".join(words).decode() + " "
 
 
 def features(folded: str) -> set[str]:
@@ -135,7 +136,7 @@ class Lexicon:
         found = self.hits(folded)
         if not found:
             return 0.0
-        return sum(found.values()) / math.log2(2 + len(folded.split()))
+        return sum(found.values()) / math.log2(1 + folded.count(" "))
 
     def score(self, text: str | None) -> float:
         return 1.0 / (1.0 + math.exp(-(self.offset + self.slope * math.log1p(self.density(text)))))
