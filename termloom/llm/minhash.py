@@ -115,7 +115,7 @@ def _class_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             yield pa.record_batch([numbers, column(batch, "text")], names=["class", "text"])
 
     texts = ids_and_texts(docs).mapInArrow(number, "class bigint, text string").where(F.col("class").isNotNull())
-    return texts.join(wanted, "class").groupBy("class").agg(F.min("text").alias("text"))
+    return texts.join(wanted.hint("merge"), "class").groupBy("class").agg(F.min("text").alias("text"))
 
 
 def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
