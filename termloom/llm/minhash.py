@@ -8,8 +8,8 @@ smallest value at the places of a text's shingles.
 Texts with the same set of shingles form a class, and only classes go on.
 Classes that agree in a band are linked to the smallest of them and compared by
 their full sets; that joins most copies. What is still apart within a cluster of
-bands is compared signature by signature, in tiles of bounded size, and pairs
-that may reach the threshold again by their full sets. So every pair that shares
+bands is compared in tiles of bounded size: signature by signature, and pairs
+that may reach the threshold by their full sets. So every pair that shares
 a band and may be a link is decided exactly, no pairs are listed within a group
 of copies, and no group is gathered in one task.
 """
@@ -143,18 +143,16 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b, own in zip(column(batch, "a").to_pylist(), column(batch, "b").to_pylist(), sets):
             if b is None:
                 centre = own
-            elif 100 * min(len(own), len(centre)) >= THRESHOLD * max(len(own), len(centre)):
-                common = len(np.intersect1d(own, centre, assume_unique=True))
-                if 100 * common >= THRESHOLD * (len(own) + len(centre) - common):
-                    links.append((a, b))
+            elif _reach(own, centre):
+                links.append((a, b))
         yield pa.record_batch(
             [pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], names=["a", "b"]
         )
 
 
-def _apart(classes: DataFrame, star: DataFrame, links: DataFrame) -> DataFrame:
-    """``(a, b)``: pairs in one cluster of bands that the links leave apart and
-    whose signatures allow the threshold.
+def _links_apart(classes: DataFrame, texts: DataFrame, star: DataFrame, links: DataFrame) -> DataFrame:
+    """``(a, b)``: further links, between classes of one cluster of bands that
+    ``links`` leave apart.
 
     In a cluster, classes outside its largest component are compared with all
     others, tile by tile. Small clusters are one tile.
@@ -166,7 +164,7 @@ def _apart(classes: DataFrame, star: DataFrame, links: DataFrame) -> DataFrame:
     sizes = parts.groupBy("cluster").agg(
         F.max(F.struct("n", "part")).alias("largest"), F.sum("n").alias("n"), F.count("*").alias("n_parts")
     )
-    # Where every class but the centre was compared with it and joined, or a pair is apart, all is decided.
+    # The pair of a cluster of two was compared already.
     open_ones = sizes.where((F.col("n_parts") > 1) & (F.col("n") > 2)).select(
         "cluster",
         F.col("largest.part").alias("largest"),
@@ -174,10 +172,10 @@ def _apart(classes: DataFrame, star: DataFrame, links: DataFrame) -> DataFrame:
         F.ceil((F.col("n") - F.col("largest.n")) / F.lit(TILE_SIZE)).cast("bigint").alias("n_rest"),
     )
     marks = classes.select("class", "marks", F.col("n").alias("size"))
-    rows = placed.join(open_ones, "cluster").join(marks, "class")
+    rows = placed.join(open_ones, "cluster").join(marks, "class").join(texts, "class")
     is_rest = F.col("part") != F.col("largest")
     mixed_class = F.xxhash64("class")
-    item = F.struct("class", "part", "size", is_rest.alias("rest"), "marks").alias("item")
+    item = F.struct("class", "part", "size", is_rest.alias("rest"), "marks", "text").alias("item")
     every = rows.select(
         "cluster",
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_rest") - 1)).alias("left"),
@@ -194,20 +192,19 @@ def _apart(classes: DataFrame, star: DataFrame, links: DataFrame) -> DataFrame:
     )
     tiles = every.unionByName(rest).select("cluster", "left", "right", "side", "item.*")
     tiles = tiles.repartition("cluster", "left", "right").sortWithinPartitions("cluster", "left", "right", "side")
-    return tiles.mapInArrow(_agreeing, "a bigint, b bigint")
+    return tiles.mapInArrow(_tile_links, "a bigint, b bigint")
 
 
-def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a tile in different parts whose signatures agree enough."""
+def _tile_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of a tile between different parts: those whose signatures agree
+    enough are compared by their sets."""
     key: tuple | None = None
     rest: list[pa.RecordBatch] = []
-    table: tuple | None = None
-    for batch in batches:
+    table: _Tile | None = None
+    for batch in slices(batches, "text", 4 << 20):
         keys = np.stack([column(batch, c).to_numpy() for c in ("cluster", "left", "right", "side")], axis=1)
         cuts = [0, *(np.flatnonzero((np.diff(keys, axis=0) != 0).any(axis=1)) + 1).tolist(), len(keys)]
         for start, end in zip(cuts, cuts[1:]):
-            if start == end:
-                continue
             own, side = tuple(keys[start, :3].tolist()), keys[start, 3]
             if own != key:
                 key, rest, table = own, [], None
@@ -216,29 +213,45 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             if not rest:
                 continue
-            if table is None:
-                table = _tile(pa.Table.from_batches(rest))
-            for at in range(start, end, 64):
-                yield _pairs(table, _tile(pa.Table.from_batches([batch.slice(at, min(64, end - at))])))
-
-
-def _tile(rows: pa.Table) -> tuple[np.ndarray, ...]:
-    marks = np.frombuffer(b"".join(rows["marks"].to_pylist()), np.uint8).reshape(rows.num_rows, COORDINATES)
-    names = ("class", "part", "size", "rest")
-    return (*(rows[name].to_numpy() for name in names), marks)
-
-
-def _pairs(left: tuple[np.ndarray, ...], right: tuple[np.ndarray, ...]) -> pa.RecordBatch:
-    a, part_a, size_a, _, marks_a = left
-    b, part_b, size_b, rest_b, marks_b = right
-    may = part_a[:, None] != part_b
-    # A pair outside the largest part meets twice.
-    may &= ~rest_b | (a[:, None] < b)
-    small, large = np.minimum(size_a[:, None], size_b), np.maximum(size_a[:, None], size_b)
-    may &= 100 * small >= THRESHOLD * large
-    i, j = np.nonzero(may)
-    agree = (marks_a[i] == marks_b[j]).sum(axis=1) >= LEAST_AGREEING
-    return pa.record_batch([pa.array(a[i[agree]]), pa.array(b[j[agree]])], names=["a", "b"])
+            table = table or _Tile(pa.Table.from_batches(rest))
+            yield table.links(_Tile(pa.Table.from_batches([batch.slice(start, end - start)])))
+
+
+class _Tile:
+    """Classes of one side of a tile."""
+
+    def __init__(self, rows: pa.Table) -> None:
+        self.number, self.part, self.size, self.rest = (rows[c].to_numpy() for c in ("class", "part", "size", "rest"))
+        marks = np.frombuffer(b"".join(rows["marks"].to_pylist()), np.uint8)
+        self.marks = marks.reshape(rows.num_rows, COORDINATES)
+        self.texts = rows["text"]
+        self.sets: list[np.ndarray] | None = None
+
+    def set_of(self, i: int) -> np.ndarray:
+        if self.sets is None:
+            self.sets = shingle_sets(self.texts.cast(pa.binary()).to_pylist(), SHINGLE)
+        return self.sets[i]
+
+    def links(self, other: _Tile) -> pa.RecordBatch:
+        may = self.part[:, None] != other.part
+        # A pair outside the largest part meets twice.
+        may &= ~other.rest | (self.number[:, None] < other.number)
+        small, large = np.minimum(self.size[:, None], other.size), np.maximum(self.size[:, None], other.size)
+        may &= 100 * small >= THRESHOLD * large
+        found = []
+        for i in np.flatnonzero(may.any(axis=1)).tolist():
+            near = np.flatnonzero(may[i])
+            near = near[(self.marks[i] == other.marks[near]).sum(axis=1) >= LEAST_AGREEING]
+            found += [(self.number[i], other.number[j]) for j in near.tolist() if _reach(self.set_of(i), other.set_of(j))]
+        return pa.record_batch([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
+def _reach(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sets reach the threshold."""
+    if 100 * min(len(a), len(b)) < THRESHOLD * max(len(a), len(b)):
+        return False
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * common >= THRESHOLD * (len(a) + len(b) - common)
 
 
 def _roots(docs: DataFrame, described: DataFrame) -> DataFrame:
@@ -255,8 +268,7 @@ def _roots(docs: DataFrame, described: DataFrame) -> DataFrame:
     texts = shared_table(_class_texts(docs, wanted), "class-texts")
     links = shared_table(_linked(star, texts), "star-links")
     one_each = classes.select("class", "marks", "n").dropDuplicates(["class"])
-    apart = shared_table(_apart(one_each, star, links), "apart")
-    links = links.unionByName(_linked(apart, texts))
+    links = links.unionByName(_links_apart(one_each, texts, star, links))
     return components(links).select(F.col("node").alias("class"), "root")
 
 
