@@ -46,6 +46,8 @@ def session() -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
+        # Each table is a file of one row group; this spreads its rows.
+        .config("termloom.read.partitions", CPUS)
         # The tables are small; this lets the adaptive planner use all cores.
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
         .getOrCreate()

@@ -13,15 +13,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.operators.tokens import text_lengths, tokenize, tokenize_with_length
-from termloom.scratch import scratch_path
+from termloom.operators.tokens import count_within_rows, text_lengths, tokenize
 from termloom.sources.corpus import Corpus
 
-# A table of docids may be broadcast up to this many rows. A docid has at most
-# 32 bytes, so with the overhead of a hash table this stays below 100 MB.
-MAX_BROADCAST_DOCIDS = 1_000_000
-
-
 @dataclass(frozen=True)
 class Index:
     """``postings(field, term, docid, tf, len)``, ``lengths(field, docid, len)``,
@@ -83,23 +77,20 @@ def vocabulary(postings: DataFrame) -> DataFrame:
 def build_index(corpus: Corpus, duplicates: str = "merge") -> Index:
     """The index of a corpus.
 
-    ``duplicates="merge"`` adds up the counts and lengths of rows with the
-    same docid and field. ``"error"`` raises if there are such rows. A small
-    job over the docids alone finds them first; usually there are none, and
-    then a posting is complete where it is made and no length is joined to it.
+    Terms are counted within each row. Where a docid has one row for a field,
+    such a count is a posting and nothing is shuffled. ``duplicates="merge"`` adds
+    up the counts and lengths of rows with the same docid and field; a corpus of
+    rows always does, other corpora only if a job over the docids alone finds
+    such rows. ``"error"`` raises if there are any.
     """
     if duplicates not in ("merge", "error"):
         raise ValueError(f"duplicates must be 'merge' or 'error', got {duplicates!r}")
-    repeated = repeated_docids(corpus.keys)
+    entries, lengths = count_within_rows(corpus.texts), text_lengths(corpus.texts)
+    entries = entries.select("field", "term", "docid", "tf", "len")
     if duplicates == "error":
-        _refuse(repeated)
-    once, again = _split(corpus.texts, repeated)
-    entries, lengths = _direct_entries(once), text_lengths(once)
-    if again is not None:
-        more_lengths = _summed_lengths(text_lengths(again))
-        more = _with_length(term_frequencies(again), more_lengths)
-        entries = entries.unionByName(_entries(more, more_lengths))
-        lengths = lengths.unionByName(more_lengths)
+        _refuse(corpus.keys)
+    elif corpus.many_rows or _has_repeats(corpus.keys):
+        entries, lengths = _added_up(entries, lengths)
     return Index(
         entries.where(F.col("term").isNotNull()),
         lengths,
@@ -113,83 +104,53 @@ def merge_indexes(a: Index, b: Index, duplicates: str = "merge") -> Index:
     """One index for the records of both, without reading any text again.
 
     Counts and lengths of a docid that both have are added up, or refused
-    with ``duplicates="error"``. The other docids pass through as they are.
+    with ``duplicates="error"``. Parts without a docid in common pass through as
+    they are.
     """
     lengths = a.lengths.unionByName(b.lengths)
     postings = _plain_postings(a.postings).unionByName(_plain_postings(b.postings))
-    repeated = repeated_docids(lengths)
+    entries = _entries(postings, lengths)
     if duplicates == "error":
-        _refuse(repeated)
-    once, again = _split(postings, repeated)
-    lengths_once, lengths_again = _split(lengths, repeated)
-    if again is not None:
-        more_lengths = _summed_lengths(lengths_again)
-        more = again.groupBy("field", "term", "docid").agg(F.sum("tf").alias("tf"))
-        once = once.unionByName(_with_length(more, more_lengths))
-        lengths_once = lengths_once.unionByName(more_lengths)
+        _refuse(lengths)
+    elif _has_repeats(lengths):
+        entries, lengths = _added_up(entries, lengths)
+        postings = entries.where(F.col("term").isNotNull())
     n_docs = a.corpus_stats.select("n_docs").unionByName(b.corpus_stats.select("n_docs"))
     return Index(
-        once,
-        lengths_once,
-        field_statistics(lengths_once),
+        postings,
+        lengths,
+        field_statistics(lengths),
         n_docs.agg(F.sum("n_docs").alias("n_docs")),
-        _entries(once, lengths_once),
+        entries,
     )
 
 
-@dataclass(frozen=True)
-class RepeatedDocids:
-    """``docids(docid)``, written out and counted."""
+def _repeats(keys: DataFrame) -> DataFrame:
+    """The docids with several rows for one field, of ``keys(docid, field)``."""
+    counts = keys.groupBy("field", "docid").agg(F.count("*").alias("n"))
+    return counts.where(F.col("n") > 1).select("docid")
 
-    docids: DataFrame
-    count: int
 
+def _has_repeats(keys: DataFrame) -> bool:
+    return not _repeats(keys).isEmpty()
 
-def repeated_docids(keys: DataFrame) -> RepeatedDocids:
-    """The docids with several rows for one field, of ``keys(docid, field)``.
 
-    The result is written out, since several jobs use it and its size decides
-    how it is joined.
+def _refuse(keys: DataFrame) -> None:
+    some = [row["docid"] for row in _repeats(keys).limit(5).collect()]
+    if some:
+        raise ValueError(f"docids come more than once, such as {some}")
+
+
+def _added_up(entries: DataFrame, lengths: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Entries and lengths with one row for each docid, field and term.
+
+    Counts are combined within each split, and then shuffled by docid and term: a
+    docid with a third of all rows is spread by its terms, and no text is moved.
     """
-    found = (
-        keys.groupBy("field", "docid")
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") > 1)
-        .select("docid")
-        .distinct()
-    )
-    spark = keys.sparkSession
-    path = scratch_path(spark, "repeated-docids")
-    found.write.parquet(path)
-    written = spark.read.schema("docid string").parquet(path)
-    return RepeatedDocids(written, written.count())
-
-
-def _split(rows: DataFrame, repeated: RepeatedDocids) -> tuple[DataFrame, DataFrame | None]:
-    """The rows of docids that are not repeated, and those that are."""
-    if repeated.count == 0:
-        return rows, None
-    docids = repeated.docids
-    if repeated.count <= MAX_BROADCAST_DOCIDS:
-        docids = F.broadcast(docids)
-    return rows.join(docids, "docid", "left_anti"), rows.join(docids, "docid", "left_semi")
-
-
-def _refuse(repeated: RepeatedDocids) -> None:
-    if repeated.count:
-        some = [row["docid"] for row in repeated.docids.limit(5).collect()]
-        raise ValueError(f"{repeated.count} docids come more than once, such as {some}")
-
-
-def _direct_entries(texts: DataFrame) -> DataFrame:
-    """Entries of texts with one row per docid and field."""
-    counted = (
-        tokenize_with_length(texts)
-        .groupBy("field", "term", "docid", "len")
-        .agg(F.count("*").alias("n"))
-    )
-    tf = F.when(F.col("term").isNotNull(), F.col("n"))
-    return counted.select("field", "term", "docid", tf.alias("tf"), "len")
+    summed = _summed_lengths(lengths)
+    counts = entries.where(F.col("term").isNotNull())
+    counts = counts.groupBy("field", "term", "docid").agg(F.sum("tf").alias("tf"))
+    return _entries(_with_length(counts, summed), summed), summed
 
 
 def _entries(postings: DataFrame, lengths: DataFrame) -> DataFrame:

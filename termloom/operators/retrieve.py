@@ -25,7 +25,6 @@ from termloom.functions.bm25f import (
 )
 from termloom.operators.build import Index
 from termloom.operators.tokens import tokenize
-from termloom.scratch import scratch_path
 from termloom.sources.store import shard_of
 
 # Up to this many terms are written into the scan as a filter.
@@ -66,15 +65,10 @@ def query_terms(queries: DataFrame) -> QueryTerms:
 
     A row without a term asks for nothing.
 
-    They are written out, since a search reads them twice, and measured, to
-    choose the kind of joins.
+    They are measured, to choose the kind of joins.
     """
     asked = queries.where(F.col("term").isNotNull())
-    bags = asked.groupBy("query_id", "term").agg(F.count("*").alias("qtf"))
-    spark = queries.sparkSession
-    path = scratch_path(spark, "query-terms")
-    bags.write.parquet(path)
-    rows = spark.read.schema(bags.schema).parquet(path)
+    rows = asked.groupBy("query_id", "term").agg(F.count("*").alias("qtf"))
     size = (
         rows.groupBy("term")
         .agg(F.count("*").alias("n"), F.sum(F.octet_length("query_id")).alias("id_bytes"))

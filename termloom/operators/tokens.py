@@ -28,19 +28,30 @@ def tokenize(texts: DataFrame) -> DataFrame:
     return analyze(texts).select("docid", "field", _each_term())
 
 
-def tokenize_with_length(texts: DataFrame) -> DataFrame:
-    """``(docid, field, len, term)``: the tokens of each text and, before them,
-    one row without a term, which an empty text has as well. ``len`` is the
-    length of the text."""
+def count_within_rows(texts: DataFrame) -> DataFrame:
+    """``(docid, field, len, term, tf)``: the terms of each text with their counts
+    and, before them, one row without a term, which an empty text has as well.
+    ``len`` is the length of the text. Nothing is shuffled: equal terms lie next
+    to each other in the sorted list, and a count is the distance of two starts.
+    """
     analyzed = texts.select("docid", "field", analyzed_terms(F.col("text")).alias("terms"))
-    no_term = F.array(F.lit(None).cast("string"))
-    sized = analyzed.select(
-        "docid",
-        "field",
-        F.size("terms").cast("bigint").alias("len"),
-        F.concat(no_term, F.col("terms")).alias("terms"),
+    ordered = analyzed.select("docid", "field", F.array_sort("terms").alias("terms"), F.size("terms").alias("n"))
+    place = F.sequence(F.lit(1), F.col("n"))
+    terms = F.col("terms")
+    is_start = F.filter(place, lambda i: (i == 1) | (F.get(terms, i - 1) != F.get(terms, i - 2)))
+    starts = F.when(F.col("n") > 0, is_start).otherwise(F.array().cast("array<int>"))
+    started = ordered.select("docid", "field", "terms", "n", starts.alias("starts"))
+    ends = F.concat(F.slice("starts", 2, F.greatest(F.size("starts"), F.lit(1))), F.array(F.col("n") + 1))
+    counts = F.zip_with(
+        F.col("starts"),
+        F.slice(ends, F.lit(1), F.size("starts")),
+        lambda low, high: F.struct(F.get(terms, low - 1).alias("term"), (high - low).cast("bigint").alias("tf")),
+    )
+    no_term = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(None).cast("bigint").alias("tf")))
+    counted = started.select(
+        "docid", "field", F.col("n").cast("bigint").alias("len"), F.concat(no_term, counts).alias("counts")
     )
-    return sized.select("docid", "field", "len", _each_term())
+    return counted.select("docid", "field", "len", F.inline_outer("counts"))
 
 
 def _each_term() -> Column:

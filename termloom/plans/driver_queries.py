@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.operators.build import (
@@ -48,9 +48,7 @@ from termloom.sources.corpus import (
     corpus_from_columns,
     corpus_from_rows,
     parse_records,
-    read_json_lines,
     split_records,
-    stage_records,
 )
 from termloom.sources.store import load_index, save_index
 
@@ -60,8 +58,7 @@ DECIMALS = 6
 
 
 def _parsed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents as JSON lines, a kind of fault for each last digit of the
-    id, read back and parsed."""
+    """All documents as JSON, a kind of fault for each last digit of the id, parsed."""
     documents = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
     digit = F.col("doc_id") % 10
     number = F.col("doc_id").cast("string")
@@ -77,11 +74,8 @@ def _parsed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(digit == 4, F.concat(F.lit('{"docid":"'), number, F.lit('","text":['), F.lit("]}")))
         .otherwise(good)
     )
-    path = scratch_path(spark, "json-lines")
-    documents.select(record.alias("value")).write.text(path)
-    return stage_records(
-        parse_records(read_json_lines(spark, path), {"text": "body", "lang": "language"})
-    )
+    records = documents.select(number.alias("path"), record.cast("binary").alias("content"))
+    return parse_records(records, {"text": "body", "lang": "language"})
 
 
 def ingest_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,12 +140,17 @@ def index_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_index(conversations_corpus(spark, sf_dir)).postings
 
 
+def _half(number: str) -> Column:
+    """0 or 1 for every row; a null is in the first half."""
+    return F.coalesce(F.pmod(number, F.lit(2)), F.lit(0))
+
+
 def index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batches that together hold all documents."""
     documents = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     even, odd = (
         build_index(
-            corpus_from_columns(documents.where(F.col("doc_id") % 2 == r), "doc_id", {"text": "text"})
+            corpus_from_columns(documents.where(_half("doc_id") == r), "doc_id", {"text": "text"})
         )
         for r in (0, 1)
     )
@@ -162,7 +161,7 @@ def index_merge_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batches of all turns, so that most conversations are in both."""
     turns = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
     even, odd = (
-        build_index(corpus_from_rows(turns.where(F.col("turn") % 2 == r), "conv_id", "role", "text"))
+        build_index(corpus_from_rows(turns.where(_half("turn") == r), "conv_id", "role", "text"))
         for r in (0, 1)
     )
     merged = merge_indexes(even, odd)

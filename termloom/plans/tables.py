@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from termloom.functions.bm25f import FieldParams, field_params
 from termloom.sources.corpus import Corpus, corpus_from_columns, corpus_from_rows
@@ -19,25 +18,20 @@ PAGE_PARAMS = field_params(
     {"address": 2.0, "markup": 1.0}, {"address": 1.2, "markup": 1.2}, {"address": 0.3, "markup": 0.75}
 )
 
-FULL_SPLIT_BYTES = 128 * 1024 * 1024
+# A session may name the number of partitions into which tables are dealt.
+READ_PARTITIONS = "termloom.read.partitions"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str]) -> DataFrame:
-    """The given columns of a table, spread over the cores.
+    """The given columns of a table, read where they lie.
 
-    A file of one row group is read by one task, however many cores wait. A
-    table that cannot give every core a full split is therefore dealt out evenly
-    (by row, not by key, since a key may hold a third of them); a larger one is
-    read where it lies.
+    A file of one row group is read by one task, however many cores wait. Who
+    has such files may set ``termloom.read.partitions``; rows are then dealt out
+    evenly, whatever the size.
     """
-    path = f"{sf_dir}/{name}.parquet"
-    table = spark.read.parquet(path).select(*columns)
-    # The file length comes from the listing; no content is read for it.
-    n_bytes = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
-    cores = spark.sparkContext.defaultParallelism
-    if n_bytes < cores * FULL_SPLIT_BYTES:
-        return table.repartition(cores)
-    return table
+    table = spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
+    partitions = spark.conf.get(READ_PARTITIONS, None)
+    return table.repartition(int(partitions)) if partitions else table
 
 
 def documents_corpus(spark: SparkSession, sf_dir: str) -> Corpus:

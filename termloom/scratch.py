@@ -4,19 +4,28 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
 
+@lru_cache(maxsize=1)
+def _local_folder() -> str:
+    """One folder for this process, for local sessions without a shared folder."""
+    return tempfile.mkdtemp(prefix="termloom-")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path for a table that several jobs read.
 
-    It lies in the shared folder of ``spark.checkpoint.dir``. Only a local
-    session may go without that setting; it then gets a temporary folder.
+    It lies in the shared folder of ``spark.checkpoint.dir``, or of the context's
+    checkpoint directory. Where neither is set, only a session within one process
+    can go on, with a folder of that process.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="termloom-")
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        set_by_code = spark.sparkContext._jsc.sc().getCheckpointDir()
+        root = set_by_code.get() if set_by_code.isDefined() else None
+    if not root and not spark.sparkContext._jsc.sc().isLocal():
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return f"{(root or _local_folder()).rstrip('/')}/{label}-{uuid.uuid4().hex}"

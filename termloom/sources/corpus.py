@@ -19,7 +19,7 @@ DOCID_KEY = "docid"
 MAX_DOCID_BYTES = 32
 
 # Why a record is refused, in the order in which it is tested.
-TOO_LARGE = "too_large"
+HIDDEN_NAME = "hidden_name"
 BAD_UTF8 = "bad_utf8"
 BAD_JSON = "bad_json"
 DOCID_MISSING = "docid_missing"
@@ -27,15 +27,12 @@ DOCID_NOT_STRING = "docid_not_string"
 DOCID_TOO_LONG = "docid_too_long"
 FIELD_NOT_STRING = "field_not_string"
 
-# A variant holds at most 128 MiB, so larger records cannot be parsed.
-MAX_RECORD_BYTES = 128 * 1024 * 1024
-
-_DUPLICATE_KEYS = "spark.sql.variant.allowDuplicateKeys"
 _STRICT_JSON = {
     "allowSingleQuotes": "false",
     "allowNonNumericNumbers": "false",
     "maxStringLen": str(2**31 - 1),
 }
+_STRICT_OBJECT = {**_STRICT_JSON, "columnNameOfCorruptRecord": "bad"}
 
 
 @dataclass(frozen=True)
@@ -48,34 +45,44 @@ class Corpus:
     texts then count as one.
     ``keys(docid, field)`` has a row for each row of ``texts``, possibly more:
     it tells which docids may come back, without reading a text.
-    ``quarantine(docid, reason)`` holds what was refused.
+    ``quarantine(source, reason)`` holds what was refused: the path of a record,
+    or the docid of a row.
+    ``many_rows`` says that a docid usually has several rows for a field.
     """
 
     records: DataFrame
     texts: DataFrame
     keys: DataFrame
     quarantine: DataFrame
+    many_rows: bool = False
 
 
 # --- JSON records -----------------------------------------------------------
 
 
 def read_json_directory(spark: SparkSession, directory: str) -> DataFrame:
-    """``records(path, content, n_bytes)``: the files ``*.json`` directly in a directory.
+    """``records(path, content, refused)``: the files ``*.json`` directly in a directory.
 
-    A file that is too large to be parsed is not read; its content is null.
+    Spark passes over names that begin with ``_`` or ``.``. They are listed here
+    without content and with a reason in ``refused``, so that no file is lost
+    without trace.
     """
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(directory)
-    )
-    fits = F.col("length") <= MAX_RECORD_BYTES
-    read = files.where(fits).select("path", "content", F.col("length").alias("n_bytes"))
-    unread = files.where(~fits).select(
-        "path", F.lit(None).cast("binary").alias("content"), F.col("length").alias("n_bytes")
-    )
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(directory)
+    read = files.select("path", "content", F.lit(None).cast("string").alias("refused"))
+    hidden = _hidden_names(spark, directory)
+    if not hidden:
+        return read
+    unread = spark.createDataFrame([(path, None, HIDDEN_NAME) for path in hidden], read.schema)
     return read.unionByName(unread)
 
 
+def _hidden_names(spark: SparkSession, directory: str) -> list[str]:
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    pattern = hadoop.Path(f"{directory.rstrip('/')}/[_.]*.json")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return sorted(status.getPath().toString() for status in found or [] if status.isFile())
+
+
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
     """``records(path, content)``: one record per line, the form for large corpora."""
     lines = spark.read.text(path)
@@ -85,50 +92,54 @@ def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_records(records: DataFrame, aliases: Mapping[str, str]) -> DataFrame:
-    """``records(path, content[, n_bytes])`` to ``parsed(path, docid, fields, reason)``.
+    """``records(path, content[, refused])`` to ``parsed(path, docid, fields, reason)``.
 
     ``content`` is UTF-8 JSON, binary or string. ``aliases`` maps the source
     keys to keep to index field names; other keys are ignored and an absent
     key stays absent from ``fields``. ``reason`` is null for accepted records.
     Of a repeated key the last value counts.
+
+    Only the keys asked for are turned into values, so what the other keys hold
+    does not matter, however much it is.
     """
     _check_aliases(aliases)
-    records.sparkSession.conf.set(_DUPLICATE_KEYS, "true")
-    has_size = "n_bytes" in records.columns
+    refused = F.col("refused") if "refused" in records.columns else F.lit(None).cast("string")
     text = records.select(
-        "path",
-        (F.col("n_bytes") if has_size else F.octet_length("content")).alias("n_bytes"),
-        F.col("content").isNotNull().alias("is_read"),
-        F.try_validate_utf8(F.col("content").cast("string")).alias("text"),
+        "path", refused.alias("refused"), F.try_validate_utf8(F.col("content").cast("string")).alias("text")
     )
+    keys = [DOCID_KEY, *aliases]
+    struct = "struct<" + ", ".join(f"`{key.replace('`', '``')}`: variant" for key in keys) + ">"
+    t = F.col("text")
     # Every step is a projection of its own, so that nothing is parsed twice.
-    listed = text.select(
+    parsed = text.select(
         "path",
-        "n_bytes",
-        (F.col("text").isNotNull() | ~F.col("is_read")).alias("is_utf8"),
-        F.from_json(_wrapped("[", "text", "]"), "variant", _STRICT_JSON).alias("listed"),
-        _ends_with_its_value("text").alias("whole"),
+        "refused",
+        "text",
+        F.from_json(_wrapped('{"r":', "text", "}"), f"r {struct}, bad string", _STRICT_OBJECT).alias("keyed"),
+        t.rlike(r"^[ \t\r\n]*\{").alias("is_object"),
+        # The parser accepts what follows "}" if it goes on like the wrapper.
+        t.rlike(r"\}[ \t\r\n]*[,}]").alias("may_go_on"),
     )
-    element = listed.select(
+    alone = F.from_json(_wrapped("[", "text", "]"), f"array<{struct}>", _STRICT_JSON)
+    other = F.from_json(_wrapped("[", "text", "]"), "array<variant>", _STRICT_JSON)
+    keyed_other = F.from_json(_wrapped('{"r":', "text", "}"), "r variant, bad string", _STRICT_OBJECT)
+    values = parsed.select(
         "path",
-        "n_bytes",
-        "is_utf8",
-        F.try_variant_get("listed", "$[0]", "variant").alias("v"),
-        (F.col("whole") & F.try_variant_get("listed", "$[1]", "variant").isNull()).alias("alone"),
-    )
-    keys = [DOCID_KEY, *aliases]
-    values = element.select(
-        "path",
-        "n_bytes",
-        "is_utf8",
-        (F.col("v").isNotNull() & F.col("alone")).alias("is_json"),
-        *[_value(F.col("v"), key).alias(f"v{i}") for i, key in enumerate(keys)],
+        "refused",
+        t.isNotNull().alias("is_utf8"),
+        F.when(
+            F.col("is_object"),
+            F.col("keyed.bad").isNull() & (~F.col("may_go_on") | (F.size(F.when(F.col("may_go_on"), alone)) == 1)),
+        )
+        .otherwise((F.size(other) == 1) & keyed_other["bad"].isNull())
+        .alias("is_json"),
+        *[F.col("keyed.r")[key].alias(f"v{i}") for i, key in enumerate(keys)],
     )
     typed = values.select(
         "path",
-        "n_bytes",
+        "refused",
         "is_utf8",
-        "is_json",
+        F.coalesce("is_json", F.lit(False)).alias("is_json"),
         *[
             F.struct(
                 F.col(f"v{i}").isNotNull().alias("present"),
@@ -141,7 +152,7 @@ def parse_records(records: DataFrame, aliases: Mapping[str, str]) -> DataFrame:
     docid = _trimmed_docid(F.col("k0.text"))
     names = list(aliases.values())
     reason = (
-        F.when(~F.col("is_json") & (F.col("n_bytes") > MAX_RECORD_BYTES), TOO_LARGE)
+        F.when(F.col("refused").isNotNull(), F.col("refused"))
         .when(~F.col("is_utf8"), BAD_UTF8)
         .when(~F.col("is_json"), BAD_JSON)
         .when(~F.col("k0.present"), DOCID_MISSING)
@@ -205,7 +216,7 @@ def corpus_from_records(parsed: DataFrame, mode: str = "quarantine") -> Corpus:
         records=docs.select("docid"),
         texts=docs.select("docid", F.explode("fields").alias("field", "text")),
         keys=_one_key_per_record(docs),
-        quarantine=refused.select(F.col("path").alias("docid"), "reason"),
+        quarantine=refused.select(F.col("path").alias("source"), "reason"),
     )
 
 
@@ -238,7 +249,7 @@ def corpus_from_columns(
         records=accepted.select("docid"),
         texts=texts.where(F.col("text").isNotNull()),
         keys=_one_key_per_record(accepted),
-        quarantine=checked.where(F.col("reason").isNotNull()).select("docid", "reason"),
+        quarantine=_refused(checked),
     )
 
 
@@ -258,7 +269,8 @@ def corpus_from_rows(df: DataFrame, docid: str, field: str, text: str) -> Corpus
             F.col("text").isNotNull() & F.col("field").isNotNull()
         ),
         keys=accepted.select("docid", "field"),
-        quarantine=checked.where(F.col("reason").isNotNull()).select("docid", "reason"),
+        quarantine=_refused(checked),
+        many_rows=True,
     )
 
 
@@ -269,33 +281,6 @@ def _wrapped(start: str, text: str, end: str) -> Column:
     return F.concat(F.lit(start), F.col(text), F.lit("\n" + end))
 
 
-def _ends_with_its_value(text: str) -> Column:
-    """Whether nothing follows the JSON value, given that ``[text]`` parses.
-
-    Spark's parser stops after the first value and accepts what follows it.
-    Inside ``[...]`` the text must go on to a closing bracket, so only a text
-    that itself holds a value, white space and ``]`` can still pass; that
-    text fails inside ``{"r":...}``, which is tried for those texts alone.
-    """
-    t = F.col(text)
-    may_escape = F.when(
-        t.rlike(r"^[ \t\r\n]*\{"), t.rlike(r"\}[ \t\r\n]*\]")
-    ).otherwise(True)
-    keyed = F.from_json(_wrapped('{"r":', text, "}"), "variant", _STRICT_JSON)
-    return F.when(may_escape, keyed.isNotNull()).otherwise(True)
-
-
-def _value(element: Column, key: str) -> Column:
-    if '"' not in key:
-        return F.try_variant_get(element, f'$["{key}"]', "variant")
-    if "'" not in key:
-        return F.try_variant_get(element, f"$['{key}']", "variant")
-    # A path cannot name a key with both kinds of quotes.
-    return F.try_element_at(
-        F.try_variant_get(element, "$", "map<string,variant>"), F.lit(key)
-    )
-
-
 def _trimmed_docid(docid: Column) -> Column:
     """Trailing NUL characters are not part of the identity."""
     return F.rtrim(docid.cast("string"), F.lit("\0"))
@@ -305,6 +290,10 @@ def _one_key_per_record(records: DataFrame) -> DataFrame:
     return records.select("docid", F.lit("").alias("field"))
 
 
+def _refused(checked: DataFrame) -> DataFrame:
+    return checked.where(F.col("reason").isNotNull()).select(F.col("docid").alias("source"), "reason")
+
+
 def _docid_reason(docid: Column) -> Column:
     return F.when(docid.isNull(), DOCID_MISSING).when(
         F.octet_length(docid.cast("string")) > MAX_DOCID_BYTES, DOCID_TOO_LONG

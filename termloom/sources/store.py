@@ -18,9 +18,7 @@ FIELD_STATS_SCHEMA = "field string, n_field_docs bigint, total_len bigint, avg_l
 CORPUS_STATS_SCHEMA = "n_docs bigint, shards int"
 
 TOKENS_PER_SHARD = 50_000_000
-MAX_SHARDS = 16_384
 LENGTHS_SHARD = -1
-SIZING_ROWS = 1000
 
 
 def shard_of(term: Column, shards: int) -> Column:
@@ -47,20 +45,9 @@ def save_index(index: Index, path: str, shards: int | None = None) -> None:
 
 
 def _suggested_shards(index: Index) -> int:
-    """From the number of documents and the mean length of the first texts.
-
-    Only the layout depends on it, so an estimate will do; the exact number of
-    tokens would take a pass over all texts.
-    """
-    first = index.lengths.limit(SIZING_ROWS).agg(
-        F.sum("len").alias("tokens"), F.count_distinct("docid").alias("docs")
-    )
-    sample = first.first()
-    if not sample["docs"]:
-        return 1
-    n_docs = index.corpus_stats.first()["n_docs"]
-    tokens = n_docs * sample["tokens"] // sample["docs"]
-    return min(MAX_SHARDS, max(1, tokens // TOKENS_PER_SHARD))
+    """One for each 50 million tokens, from the exact lengths of all fields."""
+    tokens = index.field_stats.agg(F.sum("total_len")).first()[0] or 0
+    return max(1, tokens // TOKENS_PER_SHARD)
 
 
 def _write_entries(entries: DataFrame, path: str, shards: int) -> None:

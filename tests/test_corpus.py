@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 from conftest import ALIASES, json_corpus
 
 from termloom import (
@@ -107,22 +108,31 @@ def test_directory(spark, tmp_path):
         ("b", "b", "Two words"),
     ]
     (refused,) = corpus.quarantine.collect()
-    assert refused["docid"].endswith("bad.json") and refused["reason"] == "bad_json"
+    assert refused["source"].endswith("bad.json") and refused["reason"] == "bad_json"
     with pytest.raises(ValueError, match="bad_json"):
         read_corpus(spark, str(tmp_path), ALIASES, mode="strict")
 
 
-def test_files_beyond_the_limit_are_refused_unread(spark, tmp_path, monkeypatch):
-    (tmp_path / "a.json").write_text('{"docid":"a"}')
-    (tmp_path / "b.json").write_text('{"docid":"b","title":"long"}')
-    monkeypatch.setattr("termloom.sources.corpus.MAX_RECORD_BYTES", 20)
+def test_hidden_names_are_quarantined(spark, tmp_path):
+    for name in ("a.json", "_u.json", ".h.json", "_c.txt"):
+        (tmp_path / name).write_text('{"docid":"a"}')
     parsed = parse_records(read_json_directory(spark, str(tmp_path)), ALIASES).collect()
-    assert sorted((r["path"][-6:], r["docid"], r["reason"]) for r in parsed) == [
+    assert sorted((r["path"].rsplit("/", 1)[1], r["docid"], r["reason"]) for r in parsed) == [
+        (".h.json", None, "hidden_name"),
+        ("_u.json", None, "hidden_name"),
         ("a.json", "a", None),
-        ("b.json", None, "too_large"),
     ]
 
 
+def test_a_huge_value_of_another_key_does_not_matter(spark):
+    # A variant of the whole record could not hold so much.
+    huge = F.repeat(F.lit("x"), 135 * 1024 * 1024)
+    content = F.concat(F.lit('{"docid":"a","other":["'), huge, F.lit('"],"title":"red"}')).cast("binary")
+    records = spark.range(1).select(F.lit("p").alias("path"), content.alias("content"))
+    (row,) = parse_records(records, ALIASES).collect()
+    assert (row["docid"], row["fields"], row["reason"]) == ("a", {"t": "red"}, None)
+
+
 def test_json_is_parsed_once_when_staged(spark, tmp_path):
     (tmp_path / "x.jsonl").write_text('{"docid":"a"}\n{"docid":1}\n')
     parsed = stage_records(parse_records(read_json_lines(spark, str(tmp_path)), {"f": "f"}))

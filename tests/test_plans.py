@@ -84,13 +84,36 @@ def test_no_cartesian_product_and_no_python(batch):
         assert node not in text
 
 
-def test_unsaved_lookup_filters_before_counting(spark):
+def test_building_shuffles_nothing_when_docids_come_once(spark):
     docs = spark.createDataFrame([("a", "red fox")], "id string, t string")
     index = build_index(corpus_from_columns(docs, "id", {"t": "b"}))
+    assert "Exchange" not in plan(index.postings)
     hits = lookup(index, query_terms_from_tokens(index, ["fox"]), ["b"])
-    text = hits._jdf.queryExecution().optimizedPlan().toString()
-    assert text.index("Aggregate") < text.index("(term#")
-    assert re.search(r"Aggregate[^\n]*\n[^\n]*(Project[^\n]*\n[^\n]*)?Filter \([^\n]*term#\d+ = fox", text)
+    assert "Exchange" not in plan(hits)
+
+
+def test_saving_shuffles_once(spark, tmp_path):
+    docs = spark.createDataFrame([("a", "red fox")], "id string, t string")
+    index = build_index(corpus_from_columns(docs, "id", {"t": "b"}))
+    rebalanced = index.entries.hint("rebalance", "field")
+    assert plan(rebalanced).count("Exchange ") == 1
+
+
+def test_rows_are_counted_before_they_move(spark, monkeypatch):
+    from termloom import corpus_from_rows
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.createDataFrame([("a", "b", "red fox"), ("a", "b", "fox")], "id string, f string, t string")
+        index = build_index(corpus_from_rows(rows, "id", "f", "t"))
+        text = index.postings._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for line in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text):
+        assert not re.search(r"\btext#|\bt#", line)
+    # The exchange by docid and term stands above a partial sum of counts.
+    assert re.search(r"Exchange hashpartitioning\([^)]*term[^)]*\)[^\n]*\n[^\n]*HashAggregate\([^\n]*partial_sum\(tf", text)
+    assert sorted(tuple(r) for r in index.postings.select("term", "tf", "len").collect()) == [("fox", 2, 3), ("red", 1, 3)]
 
 
 def test_saving_analyses_a_text_once(spark):
