@@ -26,7 +26,8 @@ class Index:
     lengths: what one pass over the texts gives, and what is saved.
 
     A loaded index has ``shards``: postings then also have the column
-    ``shard``, see :func:`termloom.sources.store.shard_of`.
+    ``shard``, see :func:`termloom.sources.store.shard_of`. It also knows its
+    ``fields``.
     """
 
     postings: DataFrame
@@ -35,6 +36,7 @@ class Index:
     corpus_stats: DataFrame
     entries: DataFrame
     shards: int | None = None
+    fields: tuple[str, ...] | None = None
 
 
 # --- single aggregations ----------------------------------------------------

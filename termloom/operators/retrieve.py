@@ -27,8 +27,6 @@ from termloom.operators.build import Index
 from termloom.operators.tokens import tokenize
 from termloom.sources.store import shard_of
 
-# Up to this many terms are written into the scan as a filter.
-MAX_FILTER_TERMS = 500
 # A table is broadcast only if it was measured to be within both.
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -43,7 +41,8 @@ class QueryTerms:
 
     ``few_rows`` and ``few_terms`` say that the rows, or their distinct terms,
     were measured and may be broadcast. Otherwise they are joined by shuffles.
-    ``terms`` lists the distinct terms if they are known and fit in a filter.
+    ``terms`` lists the distinct terms of a query that was given as a list; they
+    become a filter of the scan. Those of a table of queries are joined.
     """
 
     rows: DataFrame
@@ -83,13 +82,7 @@ def query_terms(queries: DataFrame) -> QueryTerms:
         .first()
     )
     few_terms = _may_broadcast(size["terms"], size["term_bytes"])
-    terms = None
-    if few_terms and size["terms"] <= MAX_FILTER_TERMS:
-        listed = rows.select("term").distinct().limit(MAX_FILTER_TERMS).collect()
-        terms = tuple(sorted(row["term"] for row in listed))
-    return QueryTerms(
-        rows, _may_broadcast(size["rows"], size["row_bytes"]), few_terms, terms
-    )
+    return QueryTerms(rows, _may_broadcast(size["rows"], size["row_bytes"]), few_terms)
 
 
 def query_terms_from_texts(queries: DataFrame, query_id: str, text: str) -> QueryTerms:
@@ -109,8 +102,7 @@ def query_terms_from_tokens(index: Index, tokens: Iterable[str]) -> QueryTerms:
         [(0, term, qtf) for term, qtf in sorted(bag.items())],
         "query_id int, term string, qtf bigint",
     )
-    terms = tuple(sorted(bag)) if len(bag) <= MAX_FILTER_TERMS else None
-    return QueryTerms(rows, few_rows=few, few_terms=few, terms=terms)
+    return QueryTerms(rows, few_rows=few, few_terms=few, terms=tuple(sorted(bag)))
 
 
 def _may_broadcast(rows: int, n_bytes: int) -> bool:
@@ -121,7 +113,13 @@ def _may_broadcast(rows: int, n_bytes: int) -> bool:
 
 
 def lookup(index: Index, query: QueryTerms, fields: Iterable[str]) -> DataFrame:
-    """``matches(field, term, docid, tf, len)``: exact matches in the fields."""
+    """``matches(field, term, docid, tf, len)``: exact matches in the fields.
+
+    A field that an opened index does not have is an error.
+    """
+    unknown = sorted(set(fields) - set(index.fields)) if index.fields is not None else []
+    if unknown:
+        raise ValueError(f"the index has no fields {unknown}, only {sorted(index.fields)}")
     postings = index.postings.where(F.col("field").isin(sorted(fields)))
     if query.terms is not None:
         postings = postings.where(F.col("term").isin(list(query.terms)))

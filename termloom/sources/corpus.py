@@ -26,6 +26,10 @@ DOCID_MISSING = "docid_missing"
 DOCID_NOT_STRING = "docid_not_string"
 DOCID_TOO_LONG = "docid_too_long"
 FIELD_NOT_STRING = "field_not_string"
+FIELD_NAME_REFUSED = "field_name_refused"
+
+# Names that a folder of a saved index cannot have.
+REFUSED_FIELD_NAMES = ("", "__HIVE_DEFAULT_PARTITION__")
 
 _STRICT_JSON = {
     "allowSingleQuotes": "false",
@@ -255,9 +259,11 @@ def corpus_from_columns(
 
 def corpus_from_rows(df: DataFrame, docid: str, field: str, text: str) -> Corpus:
     """One row per piece of a field, in any number: all rows of a docid are one
-    record, and all rows of a docid and field are one text."""
+    record, and all rows of a docid and field are one text. Rows without a field
+    or text are records all the same; a field name that cannot be saved is refused."""
+    bad_name = F.col(field).cast("string").isin(*REFUSED_FIELD_NAMES)
     checked = df.select(
-        _docid_reason(F.col(docid)).alias("reason"),
+        _docid_reason(F.col(docid)).when(bad_name, FIELD_NAME_REFUSED).alias("reason"),
         _trimmed_docid(F.col(docid)).alias("docid"),
         F.col(field).cast("string").alias("field"),
         F.col(text).cast("string").alias("text"),
@@ -319,8 +325,8 @@ def _check_aliases(aliases: Mapping[str, str]) -> None:
         raise ValueError("name at least one field")
     if len(set(names)) != len(names):
         raise ValueError(f"two source keys lead to the same index field: {names}")
-    if "" in names:
-        raise ValueError("an index field needs a name")
+    if set(names) & set(REFUSED_FIELD_NAMES):
+        raise ValueError("an index field needs a name, other than Spark's name for null")
 
 
 def _check_mode(mode: str) -> None:

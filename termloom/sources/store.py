@@ -70,12 +70,20 @@ def _write_entries(entries: DataFrame, path: str, shards: int) -> None:
 def load_index(spark: SparkSession, path: str, fields: list[str] | None = None) -> Index:
     """Open a saved index, for all fields or the given ones.
 
-    The number of documents stays that of the whole corpus.
+    The number of documents stays that of the whole corpus. A field that the
+    index does not have is an error.
     """
     corpus_stats = spark.read.schema(CORPUS_STATS_SCHEMA).parquet(f"{path}/corpus_stats")
     field_stats = spark.read.schema(FIELD_STATS_SCHEMA).parquet(f"{path}/field_stats")
     entries = _read_entries(spark, path)
+    # One small row for each field.
+    known = sorted(row["field"] for row in field_stats.select("field").collect())
     if fields is not None:
+        unknown = sorted(set(fields) - set(known))
+        # An index without any text has no fields to compare with.
+        if unknown and known:
+            raise ValueError(f"the index has no fields {unknown}, only {known}")
+        known = sorted(set(fields) & set(known))
         chosen = F.col("field").isin(list(fields))
         entries, field_stats = entries.where(chosen), field_stats.where(chosen)
     return Index(
@@ -85,6 +93,7 @@ def load_index(spark: SparkSession, path: str, fields: list[str] | None = None)
         corpus_stats=corpus_stats.select("n_docs"),
         entries=entries.drop("shard"),
         shards=corpus_stats.first()["shards"],
+        fields=tuple(known) or None,
     )
 
 

@@ -146,3 +146,21 @@ def test_empty_corpus(spark, tmp_path):
     loaded = load_index(spark, path)
     assert postings(loaded) == [] and hits(search(loaded, ["fox"], PARAMS)) == []
     assert loaded.corpus_stats.first()["n_docs"] == 0
+
+
+def test_fields_are_kept_or_refused(spark, tmp_path):
+    from termloom import corpus_from_rows, lookup, query_terms_from_tokens
+
+    names = ["a b", "x=y", "1", "Ä/%", "", "__HIVE_DEFAULT_PARTITION__", None]
+    rows_in = spark.createDataFrame([("d", name, "red") for name in names], "id string, f string, t string")
+    corpus = corpus_from_rows(rows_in, "id", "f", "t")
+    assert sorted(r["reason"] for r in corpus.quarantine.collect()) == ["field_name_refused"] * 2
+    index = build_index(corpus)
+    save_index(index, str(tmp_path / "index"), shards=2)
+    loaded = load_index(spark, str(tmp_path / "index"))
+    assert postings(loaded) == postings(index) and loaded.fields == tuple(sorted(names[:4]))
+    with pytest.raises(ValueError, match="nope"):
+        load_index(spark, str(tmp_path / "index"), ["a b", "nope"])
+    some = load_index(spark, str(tmp_path / "index"), ["a b"])
+    with pytest.raises(ValueError, match="x=y"):
+        lookup(some, query_terms_from_tokens(some, ["red"]), ["a b", "x=y"])

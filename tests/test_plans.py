@@ -25,15 +25,8 @@ def saved(spark, golden, tmp_path_factory):
     return load_index(spark, path)
 
 
-@pytest.fixture(scope="module", params=[500, 0], ids=["filter", "join"])
-def batch(spark, saved, request):
-    # Few terms become a filter, more of them a join.
-    with pytest.MonkeyPatch.context() as patch:
-        patch.setattr("termloom.operators.retrieve.MAX_FILTER_TERMS", request.param)
-        return _batch(spark, saved)
-
-
-def _batch(spark, saved):
+@pytest.fixture(scope="module")
+def batch(spark, saved):
     queries = spark.createDataFrame([(1, "red"), (2, "fox"), (2, "den")], "query_id int, term string")
     return search_batch(saved, query_terms(queries), PARAMS, k=2)
 
@@ -61,17 +54,13 @@ def test_search_shares_one_shuffle_of_the_postings(batch):
     assert not re.search(r"Exchange hashpartitioning\((query_id#\d+, docid|term#\d+, docid)", text)
 
 
-def test_batch_reads_the_folders_of_its_terms(spark, saved, monkeypatch):
+def test_batch_reads_the_folders_of_its_terms(spark, saved):
     queries = spark.createDataFrame([(1, "red"), (2, "fox")], "query_id int, term string")
-    found = {}
-    for limit in (500, 0):
-        monkeypatch.setattr("termloom.operators.retrieve.MAX_FILTER_TERMS", limit)
-        query = query_terms(queries)
-        assert query.terms == (("fox", "red") if limit else None)
-        matches = lookup(saved, query, ["b", "t"])
-        found[limit] = sorted(map(tuple, matches.collect()))
-        assert re.search(r"PartitionFilters: \[[^\n]*shard#\d+ IN \(", plan(matches))
-    assert found[0] == found[500] and len(found[0]) == 7
+    of_table = lookup(saved, query_terms(queries), ["b", "t"])
+    of_list = lookup(saved, query_terms_from_tokens(saved, ["red", "fox"]), ["b", "t"])
+    found = sorted(map(tuple, of_table.collect()))
+    assert found == sorted(map(tuple, of_list.collect())) and len(found) == 7
+    assert re.search(r"PartitionFilters: \[[^\n]*shard#\d+ IN \(", plan(of_table))
 
 
 def test_top_k_is_cut_before_the_shuffle(batch):
