@@ -95,10 +95,9 @@ class Model:
         candidate = np.tanh(given[:, 2 * h :] + reset * own[:, 2 * h :])
         return candidate + update * (state - candidate), update, reset, candidate, own[:, 2 * h :]
 
-    def _class_log_probabilities(self, states: np.ndarray) -> np.ndarray:
-        logits = states @ self.parts[2] + self.parts[3]
-        logits -= logits.max(axis=1, keepdims=True)
-        logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
+    def _class_logits(self, states: np.ndarray) -> np.ndarray:
+        logits = states @ self.parts[2]
+        logits += self.parts[3]
         return logits
 
     def _by_word_class(self, targets: np.ndarray):
@@ -113,16 +112,15 @@ class Model:
             yield int(number[start]), own, (targets[own] - 1) % CLASS_SIZE
 
     def _within(self, number: int, states: np.ndarray) -> np.ndarray:
-        logits = states @ self.parts[4][number] + self.parts[5][number]
-        logits -= logits.max(axis=1, keepdims=True)
-        logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
+        logits = states @ self.parts[4][number]
+        logits += self.parts[5][number]
         return logits
 
     def log_probabilities(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural logarithms, for each row the probability of its target."""
-        found = self._class_log_probabilities(states)[np.arange(len(targets)), self.shape.class_of(targets)]
+        found = _log_probability(self._class_logits(states), self.shape.class_of(targets))
         for number, rows, place in self._by_word_class(targets):
-            found[rows] += self._within(number, states[rows])[np.arange(len(rows)), place]
+            found[rows] += _log_probability(self._within(number, states[rows]), place)
         return found
 
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
@@ -185,13 +183,13 @@ class Model:
 
         # Output layer: probabilities less the target.
         wanted = target[used]
-        error = np.exp(self._class_log_probabilities(rows))
+        error = _probabilities(self._class_logits(rows))
         error[np.arange(len(wanted)), self.shape.class_of(wanted)] -= 1
         out += rows.T @ error
         bias += error.sum(axis=0)
         back = error @ self.parts[2].T
         for number, some, place in self._by_word_class(wanted):
-            error = np.exp(self._within(number, rows[some]))
+            error = _probabilities(self._within(number, rows[some]))
             error[np.arange(len(some)), place] -= 1
             inner[number] += rows[some].T @ error
             inner_bias[number] += error.sum(axis=0)
@@ -225,6 +223,23 @@ class Model:
         return state, len(wanted)
 
 
+def _log_probability(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """For each row the logarithm of the share of one place; ``logits`` are used up."""
+    own = logits[np.arange(len(chosen)), chosen]
+    most = logits.max(axis=1)
+    logits -= most[:, None]
+    np.exp(logits, out=logits)
+    return own - most - np.log(logits.sum(axis=1))
+
+
+def _probabilities(logits: np.ndarray) -> np.ndarray:
+    """Shares of all places, in place of ``logits``."""
+    logits -= logits.max(axis=1, keepdims=True)
+    np.exp(logits, out=logits)
+    logits /= logits.sum(axis=1, keepdims=True)
+    return logits
+
+
 def _lanes(texts: list[np.ndarray], most: int) -> tuple[np.ndarray, ...]:
     """Texts laid out in lanes: inputs, targets and text numbers by step and lane.
 

@@ -32,11 +32,11 @@ from termloom.llm.gru import CLASS_SIZE, RATE, Model, Shape, first_weights
 
 #: Held out: a tenth of the documents.
 FOLDS, HELD_OUT = 10, 0
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 10 << 20
 #: Words with an output of their own, and classes of the others.
-FREQUENT, RARE_CLASSES = 3072, 32
+FREQUENT, RARE_CLASSES = 2048, 32
 #: The share of each training document that a round learns from.
-ROUND_SHARES = (0.02, 0.05, 0.08)
+ROUND_SHARES = (0.02, 0.04, 0.06)
 #: Added to every count.
 ADDED = 0.1
 _PIECE = 8192
