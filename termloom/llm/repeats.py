@@ -100,25 +100,28 @@ def segments(raw: np.ndarray) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(column) for column in zip(*parts))
 
 
-def ranges(raw: np.ndarray, n: int, behind: int, width: int, chosen: list[int] | None) -> tuple[np.ndarray, ...]:
-    """The ranges of a segment whose bytes are ``raw``: number, bucket of the bytes
-    that all their places share, and bucket of their whole content.
-
-    Ranges are counted from the q-gram backward, so they are the same in every
-    segment of that q-gram; the ends of a segment may cut them.
+def ranges(
+    raw: np.ndarray, base: np.ndarray, n: np.ndarray, behind: np.ndarray, number: np.ndarray, width: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """For ranges of segments, the bucket of the bytes that all their places share,
+    and the bucket of their whole content.
+
+    ``raw`` holds the bytes of the segments one after the other; the other columns
+    have a row for each range: where its segment begins, the segment's places, how
+    far its q-gram lies behind the first, and the number of the range. Ranges are
+    counted from the q-gram backward, so they are the same in every segment of
+    that q-gram; the ends of a segment may cut them.
     """
     whole = buckets(raw, (128, LENGTH))
     shared = LENGTH - width + 1
     common = _refined(whole[128], shared - 128) if shared > 128 else whole[128]
-    lowest, highest = (behind - n + 1) // width, behind // width
-    number = np.arange(lowest, highest + 1) if chosen is None else np.array(chosen, np.int64)
     last = behind - number * width
     first = last - width + 1
     low, high = np.maximum(first, 0), np.minimum(last, n - 1)
-    content = mixed(whole[LENGTH][low] * _FIVE + whole[LENGTH][high])
+    content = mixed(whole[LENGTH][base + low] * _FIVE + whole[LENGTH][base + high])
     content = mixed(content + ((low - first) * 512 + (last - high)).astype(np.uint64))
     # The shared bytes go from the last place to the end of the first.
-    return number, common[last], content
+    return common[base + last], content
 
 
 # --- rows -------------------------------------------------------------------
@@ -208,22 +211,27 @@ def _range_rows(contents: DataFrame, width: int) -> DataFrame:
     ``contents(segment, weight, shape, bytes, chosen)``; null: all ranges."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "bytes", 1 << 20):
-            rows = []
-            texts, lists = column(batch, "bytes").to_pylist(), column(batch, "chosen").to_pylist()
-            shapes, weights = column(batch, "shape").to_pylist(), column(batch, "weight").to_pylist()
-            segment = column(batch, "segment").to_numpy()
-            for text, chosen, shape, weight in zip(texts, lists, shapes, weights):
-                numbers = None if chosen is None else [c["number"] for c in chosen]
-                n, behind = divmod(shape, 512)
-                number, common, content = ranges(np.frombuffer(text, np.uint8), n, behind, width, numbers)
-                own = np.full(len(number), weight) if chosen is None else np.array([c["weight"] for c in chosen])
-                rows.append((number, own, common, content))
-            sizes = [len(row[0]) for row in rows]
-            number, weight, common, content = (np.concatenate(c) for c in zip(*rows))
+        for batch in slices(batches, "bytes", 1 << 19):
+            texts = column(batch, "bytes").to_pylist()
+            size = np.array([len(text) for text in texts], np.int64)
+            n, behind = np.divmod(column(batch, "shape").to_numpy().astype(np.int64), 512)
+            chosen = column(batch, "chosen")
+            if chosen.null_count:
+                lowest = (behind - n + 1) // width
+                counts = behind // width - lowest + 1
+                number = np.arange(counts.sum()) + np.repeat(lowest - (np.cumsum(counts) - counts), counts)
+                weight = np.repeat(column(batch, "weight").to_numpy(), counts)
+            else:
+                counts = pa.compute.list_value_length(chosen).to_numpy().astype(np.int64)
+                each = chosen.flatten()
+                number, weight = each.field("number").to_numpy().astype(np.int64), each.field("weight").to_numpy()
+            own = np.repeat(np.arange(len(texts)), counts)
+            base = np.cumsum(size) - size
+            raw = np.frombuffer(b"".join(texts), np.uint8)
+            common, content = ranges(raw, base[own], n[own], behind[own], number, width)
             yield pa.record_batch(
                 [
-                    pa.array(np.repeat(segment, sizes)),
+                    pa.array(column(batch, "segment").to_numpy()[own]),
                     pa.array(number.astype(np.int32)),
                     pa.array(weight.astype(np.int32)),
                     pa.array(common.view(np.int64)),
