@@ -266,7 +266,8 @@ def _refine(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 def repeated_places(docs: DataFrame) -> DataFrame:
     """``(ref, first, n)``: runs of places at which 200 bytes begin that begin elsewhere too."""
     texts = _text_rows(docs)
-    every = _all_segments(texts)
+    # Written once, since the counts and the join both read all segments.
+    every = shared_table(_all_segments(texts), "all-segments")
     grams = every.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("gram")
     shared = shared_table(every.join(grams, "gram"), "segments")
 
