@@ -21,6 +21,7 @@ from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from termloom.llm.common import column, documents, ids_and_texts, slices, tokenizer_path
+from termloom.llm.common import column, documents, ids_and_texts, slices, tokenizer_path, utf8
 
 MODEL = "piece_bpe_32k.model"
 SEED = 11
@@ -169,10 +170,10 @@ def _filter_short(codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, voca
         new = np.flatnonzero(np.diff(last[low:high], prepend=-1))
         sums = np.add.reduceat(ways, new)
         total[last[low:high][new] + 1] = sums
-        ratio[low:high] = ways / np.repeat(sums, np.diff([*new, high - low]))
+        ratio[low:high] = ways / np.repeat(sums, np.diff(np.append(new, high - low)))
     first_option, n_options = np.zeros(n + 1, np.int64), np.zeros(n + 1, np.int64)
     new = np.flatnonzero(np.diff(last, prepend=-1))
-    counts = np.diff([*new, len(last)]) if len(new) else np.empty(0, np.int64)
+    counts = np.diff(np.append(new, len(last))) if len(new) else np.empty(0, np.int64)
     first_option[last[new] + 1], n_options[last[new] + 1] = new, counts
     upto = np.cumsum(ratio)
     share = upto - np.repeat(upto[new] - ratio[new], counts)
@@ -304,7 +305,7 @@ class Sampler:
         distinct = list(number)
         number = dict(zip(distinct, range(len(distinct))))
         sizes = np.fromiter(map(len, split), np.int64, len(split))
-        tokens = np.fromiter((number[word] for words in split for word in words), np.int64, int(sizes.sum()))
+        tokens = np.fromiter(map(number.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
         keys = np.array([row_key(self.seed, i, t) if t else 0 for i, t in zip(ids, texts)], np.uint64)
         starts = np.cumsum(sizes) - sizes
         place = (np.arange(len(tokens)) - np.repeat(starts, sizes)).astype(np.uint64)
@@ -320,8 +321,12 @@ def decode(pieces: list[int], vocab: Vocabulary) -> bytes:
     return b"".join(map(vocab.bytes.__getitem__, pieces))[1:]
 
 
-def sample_pieces(docs: DataFrame, model: str, seed: int = SEED) -> DataFrame:
-    """``(doc_id, text, pieces array<int>)`` for every row; a null text has null pieces."""
+def sample_pieces(docs: DataFrame, model: str, seed: int = SEED, checked: bool = False) -> DataFrame:
+    """``(doc_id, text, pieces array<int>)`` for every row; a null text has null pieces.
+
+    With ``checked`` the pieces are decoded where they are made, and the row has
+    ``round_trip boolean`` and ``decoded_sha256 string`` in place of its text.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler(model, seed)
@@ -331,9 +336,21 @@ def sample_pieces(docs: DataFrame, model: str, seed: int = SEED) -> DataFrame:
             offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
             lists = pa.ListArray.from_arrays(offsets, pa.array(pieces, pa.int32()))
             lists = pa.compute.if_else(pa.compute.is_null(text), pa.scalar(None, lists.type), lists)
-            yield pa.record_batch([column(batch, "doc_id"), text, lists], names=["doc_id", "text", "pieces"])
-
-    return ids_and_texts(docs).mapInArrow(run, "doc_id bigint, text string, pieces array<int>")
+            if not checked:
+                yield pa.record_batch([column(batch, "doc_id"), text, lists], names=["doc_id", "text", "pieces"])
+                continue
+            every, low = pieces.tolist(), 0
+            same, sums = [], []
+            for own, high in zip(utf8(batch, "text"), ends.tolist()):
+                decoded = decode(every[low:high], sampler.vocab)
+                same.append(decoded == (own or b""))
+                sums.append(hashlib.sha256(decoded).hexdigest())
+                low = high
+            columns = [column(batch, "doc_id"), lists, pa.array(same, pa.bool_()), pa.array(sums, pa.string())]
+            yield pa.record_batch(columns, names=["doc_id", "pieces", "round_trip", "decoded_sha256"])
+
+    kept = "pieces array<int>, round_trip boolean, decoded_sha256 string" if checked else "text string, pieces array<int>"
+    return ids_and_texts(docs).mapInArrow(run, f"doc_id bigint, {kept}")
 
 
 def decode_pieces(sampled: DataFrame, model: str) -> DataFrame:
@@ -354,12 +371,6 @@ def decode_pieces(sampled: DataFrame, model: str) -> DataFrame:
 
 def op6_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sampled segmentation of every document, and whether it decodes to its text."""
-    model = tokenizer_path(MODEL)
-    sampled = decode_pieces(sample_pieces(documents(spark, sf_dir), model), model)
-    return sampled.select(
-        "doc_id",
-        "pieces",
-        F.coalesce(F.size(F.when(F.col("pieces").isNotNull(), F.col("pieces"))), F.lit(0)).cast("bigint").alias("n_pieces"),
-        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
-        F.sha2(F.coalesce("decoded", F.lit("")).cast("binary"), 256).alias("decoded_sha256"),
-    )
+    sampled = sample_pieces(documents(spark, sf_dir), tokenizer_path(MODEL), checked=True)
+    n_pieces = F.coalesce(F.size(F.when(F.col("pieces").isNotNull(), F.col("pieces"))), F.lit(0))
+    return sampled.select("doc_id", "pieces", n_pieces.cast("bigint").alias("n_pieces"), "round_trip", "decoded_sha256")

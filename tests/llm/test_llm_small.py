@@ -373,6 +373,11 @@ def test_sampled_pieces_decode_to_the_text(odd, none, clashing):
     for _, text, pieces, decoded in found:
         assert decoded == text and (pieces is None) == (text is None)
     assert rows(sampling.sample_pieces(none, model)) == []
+    checked = sampling.sample_pieces(odd, model, checked=True).collect()
+    assert sorted((r["doc_id"], r["pieces"]) for r in checked if r["doc_id"]) == sorted(r[:1] + r[2:3] for r in found if r[0])
+    assert all(r["round_trip"] for r in checked)
+    want = {hashlib.sha256((text or "").encode()).hexdigest() for _, text, *_ in ODD}
+    assert {r["decoded_sha256"] for r in checked} == want
     assert len(rows(sampling.decode_pieces(sampling.sample_pieces(clashing, model), model))) == len(ODD)
     assert by_id(sampling.sample_pieces(odd, model), "pieces") == by_id(sampling.sample_pieces(odd.repartition(3), model), "pieces")
 
