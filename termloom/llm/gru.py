@@ -100,27 +100,29 @@ class Model:
         logits += self.parts[3]
         return logits
 
-    def _by_word_class(self, targets: np.ndarray):
-        """For each class of frequent words: class, rows that have it, places within it."""
+    def _by_word_class(self, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+        """Rows that have a frequent word, class by class, their places within the
+        class, and for each class its number and where its rows begin and end."""
         rows = np.flatnonzero((targets > 0) & (targets <= self.shape.n_frequent))
         number = (targets[rows] - 1) // CLASS_SIZE
         order = np.argsort(number, kind="stable")
         rows, number = rows[order], number[order]
         cuts = np.flatnonzero(np.diff(number, prepend=-1))
-        for start, end in zip(cuts.tolist(), [*cuts[1:].tolist(), len(rows)]):
-            own = rows[start:end]
-            yield int(number[start]), own, (targets[own] - 1) % CLASS_SIZE
-
-    def _within(self, number: int, states: np.ndarray) -> np.ndarray:
-        logits = states @ self.parts[4][number]
-        logits += self.parts[5][number]
+        parts = list(zip(number[cuts].tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(rows)]))
+        return rows, (targets[rows] - 1) % CLASS_SIZE, parts
+
+    def _within(self, parts: list[tuple[int, int, int]], states: np.ndarray) -> np.ndarray:
+        logits = np.empty((len(states), CLASS_SIZE), np.float32)
+        for number, start, end in parts:
+            np.matmul(states[start:end], self.parts[4][number], out=logits[start:end])
+            logits[start:end] += self.parts[5][number]
         return logits
 
     def log_probabilities(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural logarithms, for each row the probability of its target."""
         found = _log_probability(self._class_logits(states), self.shape.class_of(targets))
-        for number, rows, place in self._by_word_class(targets):
-            found[rows] += _log_probability(self._within(number, states[rows]), place)
+        rows, place, parts = self._by_word_class(targets)
+        found[rows] += _log_probability(self._within(parts, states[rows].astype(np.float32)), place)
         return found
 
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
@@ -172,14 +174,14 @@ class Model:
             kept.append((before, *rest))
         used = target >= 0
         rows = states[used]
-        slopes = np.zeros_like(self.weights)
-        parts = Model.__new__(Model)
-        parts.shape, parts.parts, at = self.shape, [], 0
-        for size in self.shape.sizes():
+        sizes = self.shape.sizes()[1:]
+        slopes = np.zeros(self.weights.size - self.parts[0].size, np.float32)
+        parts, at = [], 0
+        for size in sizes:
             n = int(np.prod(size))
-            parts.parts.append(slopes[at : at + n].reshape(size))
+            parts.append(slopes[at : at + n].reshape(size))
             at += n
-        given, own, out, bias, inner, inner_bias = parts.parts
+        own, out, bias, inner, inner_bias = parts
 
         # Output layer: probabilities less the target.
         wanted = target[used]
@@ -188,17 +190,24 @@ class Model:
         out += rows.T @ error
         bias += error.sum(axis=0)
         back = error @ self.parts[2].T
-        for number, some, place in self._by_word_class(wanted):
-            error = _probabilities(self._within(number, rows[some]))
-            error[np.arange(len(some)), place] -= 1
-            inner[number] += rows[some].T @ error
-            inner_bias[number] += error.sum(axis=0)
-            back[some] += error @ self.parts[4][number].T
+        some, place, classes = self._by_word_class(wanted)
+        chosen = rows[some]
+        error = _probabilities(self._within(classes, chosen))
+        error[np.arange(len(some)), place] -= 1
+        to_chosen = np.empty_like(chosen)
+        for number, start, end in classes:
+            np.matmul(chosen[start:end].T, error[start:end], out=inner[number])
+            np.matmul(error[start:end], self.parts[4][number].T, out=to_chosen[start:end])
+        if classes:
+            touched = [number for number, _, _ in classes]
+            inner_bias[touched] = np.add.reduceat(error, [start for _, start, _ in classes], axis=0)
+        back[some] += to_chosen
         to_state = np.zeros((steps, lanes, HIDDEN), np.float32)
         to_state[used] = back
 
         # Back through the steps of this window.
         h, carried = HIDDEN, np.zeros((lanes, HIDDEN), np.float32)
+        back_weights = np.ascontiguousarray(self.parts[1].T)
         gate_slopes = np.empty((steps, lanes, 3 * h), np.float32)
         for t in range(steps - 1, -1, -1):
             before, update, reset, candidate, own_part = kept[t]
@@ -210,19 +219,33 @@ class Model:
             gate_slopes[t, :, 2 * h :] = to_candidate
             inner_slopes = np.concatenate([to_update, to_reset, to_candidate * reset], axis=1)
             own += before.T @ inner_slopes
-            carried = (slope * update + inner_slopes @ self.parts[1].T) * (token[t] > 0)[:, None]
+            carried = (slope * update + inner_slopes @ back_weights) * (token[t] > 0)[:, None]
         flat = (np.abs(token) - 1).ravel()
         order = np.argsort(flat, kind="stable")
         first = np.flatnonzero(np.diff(flat[order], prepend=-1))
-        given[flat[order][first]] = np.add.reduceat(gate_slopes.reshape(-1, 3 * h)[order], first, axis=0)
-
-        slopes /= TRAIN_LANES
-        np.clip(slopes, -1, 1, out=slopes)
-        squares += slopes * slopes
-        self.weights -= rate * slopes / np.sqrt(squares)
+        met = flat[order][first]
+        met_slopes = np.add.reduceat(gate_slopes.reshape(-1, 3 * h)[order], first, axis=0)
+
+        # Inputs that were not met have no slope, and keep their weights and squares.
+        n_given = self.parts[0].size
+        given_squares = squares[:n_given].reshape(self.parts[0].shape)
+        rows_squares = given_squares[met]
+        self.parts[0][met] -= _step_down(met_slopes, rows_squares, rate)
+        given_squares[met] = rows_squares
+        self.weights[n_given:] -= _step_down(slopes, squares[n_given:], rate)
         return state, len(wanted)
 
 
+def _step_down(slopes: np.ndarray, squares: np.ndarray, rate: float) -> np.ndarray:
+    """A step of Adagrad; adds to ``squares`` and uses up ``slopes``."""
+    slopes /= TRAIN_LANES
+    np.clip(slopes, -1, 1, out=slopes)
+    squares += slopes * slopes
+    slopes /= np.sqrt(squares)
+    slopes *= rate
+    return slopes
+
+
 def _log_probability(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """For each row the logarithm of the share of one place; ``logits`` are used up."""
     own = logits[np.arange(len(chosen)), chosen]

@@ -7,10 +7,10 @@ so neither the driver nor any task holds the vocabulary. The most frequent words
 are modelled one by one, the others as classes by their ending, within which a
 word has its share of the corpus.
 
-The network is trained on every training document, on a span of it that is a
-fixed share of its length, in a few rounds: each slice trains from the same
-weights, and the weights are averaged by the number of tokens. Then all
-documents are scored, from the first token to the end.
+The network is trained on every token of every training document, in a few
+rounds with other documents each: each slice trains from the same weights, and
+the weights are averaged by the number of tokens. Then all documents are scored,
+from the first token to the end.
 """
 
 from __future__ import annotations
@@ -34,9 +34,9 @@ from termloom.llm.gru import CLASS_SIZE, RATE, Model, Shape, first_weights
 FOLDS, HELD_OUT = 10, 0
 SLICE_BYTES = 10 << 20
 #: Words with an output of their own, and classes of the others.
-FREQUENT, RARE_CLASSES = 2048, 32
-#: The share of each training document that a round learns from.
-ROUND_SHARES = (0.02, 0.04, 0.06)
+FREQUENT, RARE_CLASSES = 3072, 32
+#: Every training document is learned from, whole, in one of so many rounds.
+ROUNDS = 3
 #: Added to every count.
 ADDED = 0.1
 _PIECE = 8192
@@ -219,35 +219,30 @@ class _Tokens(dict):
         return token
 
 
-def span(n: int, share: float, key: int) -> tuple[int, int]:
-    """Where the span of a text begins and ends; short texts take part by chance."""
-    size = math.floor(n * share + (key % 1000) / 1000)
-    start = (key // 1000) % (n - size + 1)
-    return start, start + size
+def lessons(row: dict, vocab: Vocabulary, number: int) -> list[np.ndarray]:
+    """The training texts of a slice that round ``number`` learns from, each whole."""
+    tokens = _Tokens(vocab)
+    found = []
+    ids = np.frombuffer(row["ids"], np.int64).tolist()
+    for doc_id, mark, text in zip(ids, row["marks"], _texts(row)):
+        if mark == 1 and zlib.crc32(f"round:{doc_id}".encode()) % ROUNDS == number:
+            found.append(np.array([*map(tokens.__getitem__, tokens_of(text)), 0], np.int32))
+    return found
 
 
 def _trained(slices: DataFrame, vocab: Vocabulary, weights: np.ndarray, number: int) -> np.ndarray:
     """One round: the mean of the weights that the slices come to."""
     shared = slices.sparkSession.sparkContext.broadcast((vocab, weights))
-    share, rate = ROUND_SHARES[number], RATE / (1 + 0.5 * number)
+    rate = RATE / (1 + 0.5 * number)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, start = shared.value
         total, seen = np.zeros(len(start)), 0
         for row in _rows(batches):
-            tokens = _Tokens(own)
-            spans = []
-            ids = np.frombuffer(row["ids"], np.int64).tolist()
-            for doc_id, mark, text in zip(ids, row["marks"], _texts(row)):
-                if mark == 1:
-                    words = tokens_of(text)
-                    low, high = span(len(words) + 1, share, zlib.crc32(f"{number}:{doc_id}".encode()))
-                    if high > low:
-                        found = [*map(tokens.__getitem__, words[low:high]), 0][: high - low]
-                        spans.append(np.array(found, np.int32))
-            if spans:
+            texts = lessons(row, own, number)
+            if texts:
                 model = Model(own.shape, start)
-                n = model.train(spans, rate)
+                n = model.train(texts, rate)
                 total += n * model.weights.astype(np.float64)
                 seen += n
         if seen:
@@ -379,7 +374,7 @@ def score_documents(docs: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFram
     n_texts = slices.agg(F.coalesce(F.sum("n_training"), F.lit(0))).first()[0]
     vocab = vocabulary(counts, n_texts)
     weights = vocab.first_weights()
-    for number in range(len(ROUND_SHARES)):
+    for number in range(ROUNDS):
         weights = _trained(slices, vocab, weights, number)
     return _scored(slices, counts, vocab, weights)
 

@@ -142,6 +142,20 @@ def test_lm_training_lowers_the_loss():
     assert model.score(texts[:1])[0] > 0.7 * before
 
 
+def test_lm_learns_from_every_training_token(spark):
+    docs = [(i, " ".join(f"w{(i * j) % 97}" for j in range(i % 40))) for i in range(300)]
+    table = spark.createDataFrame(docs, "doc_id bigint, text string").coalesce(1)
+    held = {i for i, _ in docs if zlib.crc32(str(i).encode()) % 10 == 0}
+    learned = []
+    slices = lm._slices(table, 2000).collect()
+    vocab = lm.Vocabulary({b"w1": 5}, {}, 1, 10, 2)
+    for number in range(lm.ROUNDS):
+        for row in slices:
+            learned += [len(text) for text in lm.lessons(row.asDict(), vocab, number)]
+    assert sorted(learned) == sorted(len(text.split()) + 1 for i, text in docs if i not in held)
+    assert lm.FREQUENT >= 3072
+
+
 # --- 2 ----------------------------------------------------------------------
 
 
