@@ -30,9 +30,11 @@ def with_record(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*[docs[f"`{name}`"] for name in docs.columns]).alias("record"), text.alias("text"))
 
 
-def shared_table(df: DataFrame, label: str) -> DataFrame:
+def shared_table(df: DataFrame, label: str, folders: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` to the shared folder and read it again; this cuts the lineage.
 
+    Rows lie in folders by the columns ``folders``, so that some can be read alone.
+
     The folder is that of ``spark.checkpoint.dir``. Only a local session, as in
     tests, may go without the setting and then gets a temporary folder.
     """
@@ -43,7 +45,7 @@ def shared_table(df: DataFrame, label: str) -> DataFrame:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="llm-")
     path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*folders).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -23,7 +23,7 @@ CLASS_SIZE = 32
 #: Steps of a window in training and in scoring, and lanes.
 TRAIN_STEPS, TRAIN_LANES = 20, 96
 SCORE_STEPS, SCORE_LANES = 32, 384
-RATE = 0.12
+RATE, FIRST_SQUARES = 0.12, 0.05
 
 
 @dataclass(frozen=True)
@@ -33,10 +33,11 @@ class Shape:
 
     n_frequent: int
     n_rare: int
+    class_size: int = CLASS_SIZE
 
     @property
     def n_word_classes(self) -> int:
-        return -(-self.n_frequent // CLASS_SIZE)
+        return -(-self.n_frequent // self.class_size)
 
     @property
     def n_classes(self) -> int:
@@ -47,7 +48,7 @@ class Shape:
         return 1 + self.n_frequent + self.n_rare
 
     def class_of(self, tokens: np.ndarray) -> np.ndarray:
-        frequent = (tokens - 1) // CLASS_SIZE + 1
+        frequent = (tokens - 1) // self.class_size + 1
         rare = tokens - self.n_frequent + self.n_word_classes
         return np.where(tokens == 0, 0, np.where(tokens <= self.n_frequent, frequent, rare))
 
@@ -58,8 +59,8 @@ class Shape:
             (HIDDEN, 3 * HIDDEN),
             (HIDDEN, self.n_classes),
             (self.n_classes,),
-            (words, HIDDEN, CLASS_SIZE),
-            (words, CLASS_SIZE),
+            (words, HIDDEN, self.class_size),
+            (words, self.class_size),
         ]
 
 
@@ -68,16 +69,18 @@ def first_weights(shape: Shape, class_share: np.ndarray, word_share: np.ndarray,
     rng = np.random.default_rng(seed)
     parts = [rng.normal(0, 0.1, size).astype(np.float32) for size in shape.sizes()]
     parts[3] = np.log(class_share + 1e-6).astype(np.float32)
-    inner = np.full(shape.n_word_classes * CLASS_SIZE, -30.0)
+    inner = np.full(shape.n_word_classes * shape.class_size, -30.0)
     inner[: shape.n_frequent] = np.log(word_share + 1e-9)
-    parts[5] = inner.reshape(-1, CLASS_SIZE).astype(np.float32)
+    parts[5] = inner.reshape(-1, shape.class_size).astype(np.float32)
     return np.concatenate([part.ravel() for part in parts])
 
 
 class Model:
-    def __init__(self, shape: Shape, weights: np.ndarray) -> None:
+    def __init__(self, shape: Shape, weights: np.ndarray, squares: np.ndarray | None = None) -> None:
         self.shape = shape
         self.weights = np.array(weights, np.float32)
+        #: Sums of squared slopes, from which Adagrad's steps continue.
+        self.squares = np.full_like(self.weights, FIRST_SQUARES) if squares is None else np.array(squares, np.float32)
         self.parts, start = [], 0
         for size in shape.sizes():
             end = start + int(np.prod(size))
@@ -104,15 +107,15 @@ class Model:
         """Rows that have a frequent word, class by class, their places within the
         class, and for each class its number and where its rows begin and end."""
         rows = np.flatnonzero((targets > 0) & (targets <= self.shape.n_frequent))
-        number = (targets[rows] - 1) // CLASS_SIZE
+        number = (targets[rows] - 1) // self.shape.class_size
         order = np.argsort(number, kind="stable")
         rows, number = rows[order], number[order]
         cuts = np.flatnonzero(np.diff(number, prepend=-1))
         parts = list(zip(number[cuts].tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(rows)]))
-        return rows, (targets[rows] - 1) % CLASS_SIZE, parts
+        return rows, (targets[rows] - 1) % self.shape.class_size, parts
 
     def _within(self, parts: list[tuple[int, int, int]], states: np.ndarray) -> np.ndarray:
-        logits = np.empty((len(states), CLASS_SIZE), np.float32)
+        logits = np.empty((len(states), self.shape.class_size), np.float32)
         for number, start, end in parts:
             np.matmul(states[start:end], self.parts[4][number], out=logits[start:end])
             logits[start:end] += self.parts[5][number]
@@ -153,17 +156,16 @@ class Model:
     def train(self, texts: list[np.ndarray], rate: float = RATE) -> int:
         """One pass of Adagrad over the texts; returns how many tokens were seen."""
         token, target, _, length = _lanes(texts, TRAIN_LANES)
-        squares = np.full_like(self.weights, 0.05)
         state = np.zeros((len(length), HIDDEN), np.float32)
         seen = 0
         for start in range(0, int(length.max(initial=0)), TRAIN_STEPS):
             alive = int(np.searchsorted(-length, -start))
             end = min(start + TRAIN_STEPS, token.shape[0])
-            state, n = self._train_window(token[start:end, :alive], target[start:end, :alive], state[:alive], squares, rate)
+            state, n = self._train_window(token[start:end, :alive], target[start:end, :alive], state[:alive], rate)
             seen += n
         return seen
 
-    def _train_window(self, token: np.ndarray, target: np.ndarray, state: np.ndarray, squares: np.ndarray, rate: float):
+    def _train_window(self, token: np.ndarray, target: np.ndarray, state: np.ndarray, rate: float):
         steps, lanes = token.shape
         kept = []
         states = np.empty((steps, lanes, HIDDEN), np.float32)
@@ -228,11 +230,11 @@ class Model:
 
         # Inputs that were not met have no slope, and keep their weights and squares.
         n_given = self.parts[0].size
-        given_squares = squares[:n_given].reshape(self.parts[0].shape)
+        given_squares = self.squares[:n_given].reshape(self.parts[0].shape)
         rows_squares = given_squares[met]
         self.parts[0][met] -= _step_down(met_slopes, rows_squares, rate)
         given_squares[met] = rows_squares
-        self.weights[n_given:] -= _step_down(slopes, squares[n_given:], rate)
+        self.weights[n_given:] -= _step_down(slopes, self.squares[n_given:], rate)
         return state, len(wanted)
 
 

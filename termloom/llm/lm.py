@@ -7,10 +7,11 @@ so neither the driver nor any task holds the vocabulary. The most frequent words
 are modelled one by one, the others as classes by their ending, within which a
 word has its share of the corpus.
 
-The network is trained on every token of every training document, in a few
-rounds with other documents each: each slice trains from the same weights, and
-the weights are averaged by the number of tokens. Then all documents are scored,
-from the first token to the end.
+The network is trained on every token of every training document, in rounds with
+other slices each: the slices of a round train from the same weights, and what
+they come to is averaged by the number of tokens. Both the rounds and the slices
+of a round grow as the root of the corpus, so more text means more updates one
+after the other. Then all documents are scored, from the first token to the end.
 """
 
 from __future__ import annotations
@@ -28,15 +29,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.llm.common import column, crc_remainder, documents, ids_and_texts, shared_table, utf8
-from termloom.llm.gru import CLASS_SIZE, RATE, Model, Shape, first_weights
+from termloom.llm.gru import CLASS_SIZE, FIRST_SQUARES, Model, Shape, first_weights
 
 #: Held out: a tenth of the documents.
 FOLDS, HELD_OUT = 10, 0
 SLICE_BYTES = 10 << 20
-#: Words with an output of their own, and classes of the others.
+#: Words with an output of their own at least, and classes of the others.
 FREQUENT, RARE_CLASSES = 3072, 32
-#: Every training document is learned from, whole, in one of so many rounds.
-ROUNDS = 3
+#: A word has an output if it occurs as often as the root of all tokens times this.
+FREQUENT_ROOT = 0.25
 #: Added to every count.
 ADDED = 0.1
 _PIECE = 8192
@@ -54,17 +55,26 @@ def rare_class(word: bytes) -> int:
 
 # --- slices -----------------------------------------------------------------
 
-_SLICE = "slice bigint, n_training bigint, ids binary, marks binary, sizes binary, texts binary"
+_SLICE = "slice bigint, round int, n_training bigint, ids binary, marks binary, sizes binary, texts binary"
 
 
-def _slices(docs: DataFrame, slice_bytes: int) -> DataFrame:
-    """One row for about ``slice_bytes`` of text. ``marks``: 1 training, 2 held out, 4 no id."""
+def round_count(text_bytes: int, slice_bytes: int) -> int:
+    """As many rounds as a round has slices."""
+    return math.isqrt(max(0, -(-text_bytes // slice_bytes) - 1)) + 1
+
+
+def _slices(docs: DataFrame, slice_bytes: int, rounds: int) -> DataFrame:
+    """One row for about ``slice_bytes`` of text, dealt to the rounds of training.
+
+    ``marks``: 1 training, 2 held out, 4 no id.
+    """
     remainder = crc_remainder("doc_id", FOLDS)
     mark = F.when(F.col("doc_id").isNull(), 4).when(remainder == HELD_OUT, 2).otherwise(1).cast("tinyint")
     rows = ids_and_texts(docs).select("doc_id", "text", mark.alias("mark"))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, number = TaskContext.get().partitionId() << 24, 0
+        part, number = TaskContext.get().partitionId(), 0
+        base, first_round = part << 24, zlib.crc32(str(part).encode())
         ids, marks, texts, size = [], [], [], 0
         for batch in batches:
             columns = column(batch, "doc_id").to_pylist(), column(batch, "mark").to_pylist(), utf8(batch, "text")
@@ -74,23 +84,24 @@ def _slices(docs: DataFrame, slice_bytes: int) -> DataFrame:
                 texts.append(text or b"")
                 size += len(texts[-1])
                 if size >= slice_bytes:
-                    yield _slice_row(base + number, ids, marks, texts)
+                    yield _slice_row(base + number, (first_round + number) % rounds, ids, marks, texts)
                     ids, marks, texts, size, number = [], [], [], 0, number + 1
         if ids:
-            yield _slice_row(base + number, ids, marks, texts)
+            yield _slice_row(base + number, (first_round + number) % rounds, ids, marks, texts)
 
     return rows.mapInArrow(gather, _SLICE)
 
 
-def _slice_row(number: int, ids: list[int], marks: list[int], texts: list[bytes]) -> pa.RecordBatch:
+def _slice_row(number: int, of_round: int, ids: list[int], marks: list[int], texts: list[bytes]) -> pa.RecordBatch:
     packed = zstandard.ZstdCompressor(level=1).compress(b"".join(texts))
     sizes = np.array([len(text) for text in texts], np.int64).tobytes()
     values = [
         pa.array([number], pa.int64()),
+        pa.array([of_round], pa.int32()),
         pa.array([sum(mark == 1 for mark in marks)], pa.int64()),
         *(pa.array([v], pa.binary()) for v in (np.array(ids, np.int64).tobytes(), bytes(marks), sizes, packed)),
     ]
-    return pa.record_batch(values, names=["slice", "n_training", "ids", "marks", "sizes", "texts"])
+    return pa.record_batch(values, names=["slice", "round", "n_training", "ids", "marks", "sizes", "texts"])
 
 
 def _texts(row: dict) -> Iterator[bytes]:
@@ -150,15 +161,17 @@ class Vocabulary:
         self.rare_distinct = np.array([rare.get(k, (0, 0))[1] for k in range(RARE_CLASSES)], np.float64)
         #: Training tokens with the ends of texts, and distinct ones.
         self.n_texts, self.total, self.distinct = n_texts, total, distinct
-        self.shape = Shape(len(self.frequent), RARE_CLASSES)
+        # The classes grow in number and in size alike.
+        wider = max(1, round(math.sqrt(len(self.frequent) / FREQUENT)))
+        self.shape = Shape(len(self.frequent), RARE_CLASSES, CLASS_SIZE * wider)
 
     def first_weights(self) -> np.ndarray:
         shape = self.shape
         shares = np.zeros(shape.n_classes)
         shares[0] = self.n_texts
-        np.add.at(shares, 1 + np.arange(len(self.counts)) // CLASS_SIZE, self.counts)
+        np.add.at(shares, 1 + np.arange(len(self.counts)) // shape.class_size, self.counts)
         shares[1 + shape.n_word_classes :] = self.rare_sum
-        number = np.arange(len(self.counts)) // CLASS_SIZE
+        number = np.arange(len(self.counts)) // shape.class_size
         inner = self.counts / np.maximum(1.0, np.bincount(number, self.counts)[number]) if len(number) else self.counts
         return first_weights(shape, (shares + 0.1) / (shares + 0.1).sum(), inner)
 
@@ -181,10 +194,16 @@ class Vocabulary:
 
 
 def vocabulary(counts: DataFrame, n_texts: int) -> Vocabulary:
-    """``FREQUENT`` words and a few sums come to the driver."""
+    """The frequent words and a few sums come to the driver.
+
+    Words with an output of their own are those that occur ``FREQUENT_ROOT`` times
+    the root of all tokens, so there are more of them in a larger corpus (at most
+    that root over ``FREQUENT_ROOT``), and ``FREQUENT`` at least.
+    """
     known = counts.where(F.col("c") > 0)
     total, distinct = known.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = known.select("word", "c").orderBy(F.desc("c"), "word").limit(FREQUENT).collect()
+    n_frequent = max(FREQUENT, known.where(F.col("c") >= FREQUENT_ROOT * math.sqrt(total)).count())
+    top = known.select("word", "c").orderBy(F.desc("c"), "word").limit(n_frequent).collect()
     frequent = {row["word"].encode(): row["c"] for row in top}
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,46 +238,46 @@ class _Tokens(dict):
         return token
 
 
-def lessons(row: dict, vocab: Vocabulary, number: int) -> list[np.ndarray]:
-    """The training texts of a slice that round ``number`` learns from, each whole."""
+def lessons(row: dict, vocab: Vocabulary) -> list[np.ndarray]:
+    """The training texts of a slice, each whole."""
     tokens = _Tokens(vocab)
-    found = []
-    ids = np.frombuffer(row["ids"], np.int64).tolist()
-    for doc_id, mark, text in zip(ids, row["marks"], _texts(row)):
-        if mark == 1 and zlib.crc32(f"round:{doc_id}".encode()) % ROUNDS == number:
-            found.append(np.array([*map(tokens.__getitem__, tokens_of(text)), 0], np.int32))
-    return found
+    return [
+        np.array([*map(tokens.__getitem__, tokens_of(text)), 0], np.int32)
+        for mark, text in zip(row["marks"], _texts(row))
+        if mark == 1
+    ]
 
 
-def _trained(slices: DataFrame, vocab: Vocabulary, weights: np.ndarray, number: int) -> np.ndarray:
-    """One round: the mean of the weights that the slices come to."""
-    shared = slices.sparkSession.sparkContext.broadcast((vocab, weights))
-    rate = RATE / (1 + 0.5 * number)
+def _trained(slices: DataFrame, vocab: Vocabulary, weights: np.ndarray, squares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One round: the means of the weights and squares that its slices come to."""
+    shared = slices.sparkSession.sparkContext.broadcast((vocab, weights, squares))
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, start = shared.value
-        total, seen = np.zeros(len(start)), 0
+        own, start, start_squares = shared.value
+        total, seen = np.zeros(2 * len(start)), 0
         for row in _rows(batches):
-            texts = lessons(row, own, number)
+            texts = lessons(row, own)
             if texts:
-                model = Model(own.shape, start)
-                n = model.train(texts, rate)
-                total += n * model.weights.astype(np.float64)
+                model = Model(own.shape, start, start_squares)
+                n = model.train(texts)
+                total[: len(start)] += n * model.weights.astype(np.float64)
+                total[len(start) :] += n * model.squares.astype(np.float64)
                 seen += n
         if seen:
             salt = TaskContext.get().partitionId() % 64
             for piece, at in enumerate(range(0, len(total), _PIECE)):
                 yield _weights_row(piece, salt, seen, total[at : at + _PIECE])
 
-    columns = slices.select("ids", "marks", "sizes", "texts")
+    columns = slices.select("marks", "sizes", "texts")
     sums = columns.mapInArrow(train, _WEIGHTS)
     # Added up in two steps, so that no task gets a row of every slice.
     sums = sums.repartition("piece", "salt").sortWithinPartitions("piece", "salt").mapInArrow(_added, _WEIGHTS)
     sums = sums.withColumn("salt", F.lit(0)).repartition("piece").sortWithinPartitions("piece").mapInArrow(_added, _WEIGHTS)
     rows = sorted(sums.collect(), key=lambda r: r["piece"])
     if not rows:
-        return weights
-    return np.concatenate([np.frombuffer(r["total"], np.float64) / r["n"] for r in rows]).astype(np.float32)
+        return weights, squares
+    means = np.concatenate([np.frombuffer(r["total"], np.float64) / r["n"] for r in rows]).astype(np.float32)
+    return means[: len(weights)], means[len(weights) :]
 
 
 _WEIGHTS = "piece int, salt int, n bigint, total binary"
@@ -369,13 +388,16 @@ def score_documents(docs: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFram
     and has no ``held_out``. Without any training row the network keeps its first
     weights. Repeated rows count as often as they come.
     """
-    slices = shared_table(_slices(docs, slice_bytes), "slices")
+    text_bytes = ids_and_texts(docs).agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    rounds = round_count(text_bytes, slice_bytes)
+    slices = shared_table(_slices(docs, slice_bytes, rounds), "slices", ("round",))
     counts = shared_table(word_counts(slices), "word-counts")
     n_texts = slices.agg(F.coalesce(F.sum("n_training"), F.lit(0))).first()[0]
     vocab = vocabulary(counts, n_texts)
     weights = vocab.first_weights()
-    for number in range(ROUNDS):
-        weights = _trained(slices, vocab, weights, number)
+    squares = np.full_like(weights, FIRST_SQUARES)
+    for number in range(rounds):
+        weights, squares = _trained(slices.where(F.col("round") == number), vocab, weights, squares)
     return _scored(slices, counts, vocab, weights)
 
 

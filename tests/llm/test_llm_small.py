@@ -147,15 +147,39 @@ def test_lm_learns_from_every_training_token(spark):
     table = spark.createDataFrame(docs, "doc_id bigint, text string").coalesce(1)
     held = {i for i, _ in docs if zlib.crc32(str(i).encode()) % 10 == 0}
     learned = []
-    slices = lm._slices(table, 2000).collect()
     vocab = lm.Vocabulary({b"w1": 5}, {}, 1, 10, 2)
-    for number in range(lm.ROUNDS):
-        for row in slices:
-            learned += [len(text) for text in lm.lessons(row.asDict(), vocab, number)]
+    for row in lm._slices(table, 2000, 4).collect():
+        learned += [len(text) for text in lm.lessons(row.asDict(), vocab)]
     assert sorted(learned) == sorted(len(text.split()) + 1 for i, text in docs if i not in held)
     assert lm.FREQUENT >= 3072
 
 
+def test_lm_rounds_and_words_grow_with_the_corpus(spark, monkeypatch):
+    assert [lm.round_count(n * 100, 100) for n in (0, 1, 2, 4, 5, 49, 3000)] == [1, 1, 2, 2, 3, 7, 55]
+    docs = spark.createDataFrame([(i, "a b c d " * 40) for i in range(100)], "doc_id bigint, text string").coalesce(1)
+    slices = lm._slices(docs, 1000, 4).select("slice", "round").collect()
+    per_round = Counter(row["round"] for row in slices)
+    assert sorted(per_round) == [0, 1, 2, 3] and max(per_round.values()) <= min(per_round.values()) + 1
+    # All rounds run, and each starts from what the one before came to.
+    starts, trained = [], lm._trained
+
+    def watched(slices, vocab, weights, squares):
+        starts.append((slices.count(), weights, squares))
+        return trained(slices, vocab, weights, squares)
+
+    monkeypatch.setattr(lm, "_trained", watched)
+    lm.score_documents(docs, 1000)
+    assert len(starts) == lm.round_count(100 * 320, 1000) == 6
+    assert sum(n for n, _, _ in starts) == len(slices)
+    assert all((a[2] <= b[2]).all() and (a[1] != b[1]).any() for a, b in zip(starts, starts[1:]))
+    # Beyond the least number, the counts decide which words have an output.
+    monkeypatch.setattr(lm, "FREQUENT", 2)
+    words = [(f"w{i}", 1000 // (i + 1), []) for i in range(200)]
+    vocab = lm.vocabulary(spark.createDataFrame(words, "word string, c bigint, slices array<bigint>"), 10)
+    total = sum(c for _, c, _ in words)
+    assert vocab.shape.n_frequent == sum(c >= 0.25 * math.sqrt(total) for _, c, _ in words) > 2
+
+
 # --- 2 ----------------------------------------------------------------------
 
 
