@@ -155,7 +155,7 @@ class Model:
 
     def train(self, texts: list[np.ndarray], rate: float = RATE) -> int:
         """One pass of Adagrad over the texts; returns how many tokens were seen."""
-        token, target, _, length = _lanes(texts, TRAIN_LANES)
+        token, target, _, length = _lanes(texts, TRAIN_LANES, mixed=True)
         state = np.zeros((len(length), HIDDEN), np.float32)
         seen = 0
         for start in range(0, int(length.max(initial=0)), TRAIN_STEPS):
@@ -265,10 +265,11 @@ def _probabilities(logits: np.ndarray) -> np.ndarray:
     return logits
 
 
-def _lanes(texts: list[np.ndarray], most: int) -> tuple[np.ndarray, ...]:
+def _lanes(texts: list[np.ndarray], most: int, mixed: bool = False) -> tuple[np.ndarray, ...]:
     """Texts laid out in lanes: inputs, targets and text numbers by step and lane.
 
-    An input is the token before, plus one; it is negative at the start of a
+    The texts of a lane lie in falling order of length, or ``mixed``, so that
+    training does not end on the short ones. An input is the token before, plus one; it is negative at the start of a
     text, where the state is reset. Targets are -1 after the end of a lane.
     """
     sizes = np.array([len(text) for text in texts], np.int64)
@@ -280,6 +281,9 @@ def _lanes(texts: list[np.ndarray], most: int) -> tuple[np.ndarray, ...]:
         length, lane = heapq.heappop(heap)
         lanes[lane].append(i)
         heapq.heappush(heap, (length + int(sizes[i]), lane))
+    if mixed:
+        rng = np.random.default_rng(1)
+        lanes = [rng.permutation(own).tolist() for own in lanes]
     lengths = np.array([sizes[own].sum() if own else 0 for own in lanes], np.int64)
     by_length = np.argsort(-lengths, kind="stable")
     steps = int(lengths.max(initial=0))

@@ -180,6 +180,31 @@ def test_lm_rounds_and_words_grow_with_the_corpus(spark, monkeypatch):
     assert vocab.shape.n_frequent == sum(c >= 0.25 * math.sqrt(total) for _, c, _ in words) > 2
 
 
+def test_lm_trains_on_whole_texts_with_the_state_carried(spark, monkeypatch):
+    docs = [(i, f"first{i} " + f"inner{i} " * ((i * 7) % 300)) for i in range(1, 200)]
+    table = spark.createDataFrame(docs, "doc_id bigint, text string").coalesce(1)
+    firsts = [f"first{i}".encode() for i, _ in docs]
+    vocab = lm.Vocabulary(dict.fromkeys(firsts, 1), {}, 199, 500, 400)
+    (row,) = lm._slices(table, 1 << 20, 1).collect()
+    texts = lm.lessons(row.asDict(), vocab)
+    n_training = sum(zlib.crc32(str(i).encode()) % 10 > 0 for i, _ in docs)
+    windows, window = [], gru.Model._train_window
+
+    def watched(self, token, target, state, *rest):
+        windows.append((token.copy(), target.copy(), state.copy()))
+        return window(self, token, target, state, *rest)
+
+    monkeypatch.setattr(gru.Model, "_train_window", watched)
+    model = gru.Model(vocab.shape, vocab.first_weights())
+    assert model.train(texts) == sum(map(len, texts)) == sum(
+        len(text.split()) + 1 for i, text in docs if zlib.crc32(str(i).encode()) % 10
+    )
+    # Every text begins once, with its own first word; no other word begins a text.
+    begun = np.concatenate([target[token < 0] for token, target, _ in windows])
+    assert len(begun) == n_training and set(begun.tolist()) <= set(range(1, vocab.shape.n_frequent + 1))
+    assert len(windows) > 5 and all(np.abs(state).max(axis=1).min() > 0 for _, _, state in windows[1:])
+
+
 # --- 2 ----------------------------------------------------------------------
 
 
