@@ -14,6 +14,7 @@ texts: at most ``MAX_LABELLED`` of them, those with the smallest hashes.
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -40,8 +41,8 @@ THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
 LENGTH_BINS = 200
 
-# Digits and signs that stand for letters.
-_DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s"}
+# Digits and signs that stand for letters; i, l and 1 are one.
+_DIGITS = {"0": "o", "1": "i", "l": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s"}
 # Cyrillic and Greek letters that look like Latin ones.
 _LOOK_ALIKE = {
     "а": "a", "в": "b", "с": "c", "е": "e", "н": "h", "і": "i", "ј": "j", "к": "k", "м": "m", "о": "o",
@@ -67,13 +68,35 @@ def _tables() -> tuple[bytes, dict[int, str | None]]:
 
 _ASCII, _WIDE = _tables()
 _ODD = frozenset(map(chr, _WIDE))
+# Signs that may be an i or l: ! within a word, | also at its start or end.
+_STROKES = re.compile(r"(?<=\w)[|!]+(?=\w)|(?<=\w)\|+|\|+(?=\w)")
 
 
-def fold(text: str) -> str:
-    """Lower case, look-alikes and digits as letters, one blank around every word."""
+def _seen(text: str) -> str:
     text = text.lower()
     if not text.isascii() and not _ODD.isdisjoint(text):
         text = text.translate(_WIDE)
+    return text
+
+
+def readings(text: str) -> list[str]:
+    """The text folded; with strokes within words, also as if they parted words."""
+    text = _seen(text)
+    if "|" not in text and "!" not in text:
+        return [_folded(text)]
+    joined, parted = _folded(_STROKES.sub(lambda found: "i" * len(found[0]), text)), _folded(text)
+    return [joined] if joined == parted else [joined, parted]
+
+
+def fold(text: str) -> str:
+    """Lower case, look-alikes and digits as letters, one blank around every word.
+
+    The letters i and l are one, since 1, | and ! stand for both.
+    """
+    return readings(text)[0]
+
+
+def _folded(text: str) -> str:
     words = text.encode("utf-8", "replace").translate(_ASCII).split()
     return " " + b" ".join(words).decode() + " "
 
@@ -129,14 +152,11 @@ class Lexicon:
         return found
 
     def density(self, text: str | None) -> float:
-        """The weight of all hits over the logarithm of the number of words."""
+        """The weight of all hits over the logarithm of the number of words; of
+        several readings of a text the heaviest counts."""
         if not text:
             return 0.0
-        folded = fold(text)
-        found = self.hits(folded)
-        if not found:
-            return 0.0
-        return sum(found.values()) / math.log2(1 + folded.count(" "))
+        return max(sum(self.hits(folded).values()) / math.log2(1 + folded.count(" ")) for folded in readings(text))
 
     def score(self, text: str | None) -> float:
         return 1.0 / (1.0 + math.exp(-(self.offset + self.slope * math.log1p(self.density(text)))))
@@ -168,7 +188,7 @@ def _partial_counts(sample: DataFrame, items) -> DataFrame:
         kinds: tuple[Counter, Counter] = Counter(), Counter()
         for batch in slices(batches, "text"):
             for text, toxic in zip(column(batch, "text").to_pylist(), column(batch, "toxic").to_pylist()):
-                kinds[toxic > 0].update(items(fold(text)))
+                kinds[toxic > 0].update(set().union(*map(items, readings(text))))
             if len(kinds[0]) + len(kinds[1]) > 400_000:
                 yield from _count_rows(kinds)
                 kinds[0].clear(), kinds[1].clear()

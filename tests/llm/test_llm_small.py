@@ -606,6 +606,16 @@ def test_folding():
     assert toxicity.fold("ｆｏｏ​bar é") == " foobar é "
 
 
+def test_folding_of_i_and_l():
+    for word, others in {"kill": ["ki11", "k1ll", "k|ll", "ki!l", "ki||"], "loser": ["1oser", "|oser", "l0ser"], "asshole": ["a55h01e"]}.items():
+        assert {toxicity.fold(other) for other in others} == {toxicity.fold(word)}
+        lexicon = toxicity.Lexicon({toxicity.fold(word): 3.0})
+        assert all(lexicon.density(f"you {other} there") > 0 for other in others)
+        # Signs between words still part them.
+        assert lexicon.density(f"a|{word}|b") > 0 and lexicon.density(f"no!{word}!!") > 0 and lexicon.density(f"| {word} |") > 0
+    assert toxicity.fold("a | b ! c! d") == " a b c d "
+
+
 def test_lexicon_hits_exceptions_and_length():
     lexicon = toxicity.Lexicon({" idiot": 3.0, " idiot ": 4.0, " trash": 2.0}, [" trash can "], -3.0, 4.0)
     assert sum(lexicon.hits(toxicity.fold("An idiot, idiotic 1d1ot")).values()) == 11.0
