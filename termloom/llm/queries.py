@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from termloom.llm.fingerprint import op5_fingerprint
 from termloom.llm.language import op10_language
 from termloom.llm.lm import op1_lm
+from termloom.llm.manifest import OP13_SQL, op13_manifest
 from termloom.llm.minhash import op4_minhash
 from termloom.llm.packing import op7_packing
+from termloom.llm.private import op11_private
 from termloom.llm.repeats import op2_repeats
+from termloom.llm.runs import op12_runs
 from termloom.llm.sampling import op6_sampling
 from termloom.llm.shards import op3_shards
 from termloom.llm.topk import OP8_SQL, op8_topk
@@ -28,6 +31,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk": op8_topk,
     "op9_toxicity": op9_toxicity,
     "op10_language": op10_language,
+    "op11_private": op11_private,
+    "op12_runs": op12_runs,
+    "op13_manifest": op13_manifest,
 }
 
-SQL: dict[str, str] = {"op8_topk": OP8_SQL}
+SQL: dict[str, str] = {"op8_topk": OP8_SQL, "op13_manifest": OP13_SQL}
