@@ -2,6 +2,8 @@
 
 from termloom.functions.analyzer import analyzed_terms, chunk_count
 from termloom.functions.bm25f import FieldParams, field_params
+from termloom.operators.bounded import search_batch_bounded
+from termloom.operators.bounds import Bounds, load_bounds, save_bounds, score_bounds
 from termloom.operators.build import Index, build_index, merge_indexes, vocabulary
 from termloom.operators.retrieve import (
     lookup,
@@ -32,6 +34,7 @@ from termloom.sources.corpus import (
 from termloom.sources.store import load_index, save_index
 
 __all__ = [
+    "Bounds",
     "Corpus",
     "FieldParams",
     "Index",
@@ -42,6 +45,7 @@ __all__ = [
     "corpus_from_records",
     "corpus_from_rows",
     "field_params",
+    "load_bounds",
     "load_index",
     "lookup",
     "merge_indexes",
@@ -53,11 +57,14 @@ __all__ = [
     "read_corpus",
     "read_json_directory",
     "read_json_lines",
+    "save_bounds",
     "save_index",
     "score_batch",
+    "score_bounds",
     "score_term",
     "search",
     "search_batch",
+    "search_batch_bounded",
     "search_text",
     "split_records",
     "stage_records",

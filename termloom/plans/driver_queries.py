@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termloom.operators.bounded import search_batch_bounded
+from termloom.operators.bounds import load_bounds, save_bounds, score_bounds
 from termloom.operators.build import (
     build_index,
     corpus_statistics,
@@ -45,6 +47,7 @@ from termloom.plans.tables import (
 )
 from termloom.scratch import scratch_path
 from termloom.sources.corpus import (
+    Corpus,
     corpus_from_columns,
     corpus_from_rows,
     parse_records,
@@ -226,6 +229,8 @@ def search_single_term(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(score_term(index, "license", DOCUMENT_PARAMS), DECIMALS)
 
 
+CONVERSATION_SUBSET = {name: CONVERSATION_PARAMS[name] for name in ("assistant", "system")}
+
 # The tokens of the searches. "you" twice counts twice.
 MULTI_TERM = ["how", "you", "the", "you", "please"]
 TOP_K_TERMS = ["license", "the", "data"]
@@ -288,6 +293,30 @@ def search_saved_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search_batch(loaded, query, DOCUMENT_PARAMS, k=5, decimals=DECIMALS)
 
 
+def _saved_with_bounds(spark: SparkSession, corpus: Corpus, fields: list[str]) -> tuple:
+    path = scratch_path(spark, "index")
+    save_index(build_index(corpus), path, shards=4)
+    save_bounds(score_bounds(load_index(spark, path)), path)
+    return load_index(spark, path, fields), load_bounds(spark, path)
+
+
+def search_bounded_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship by bounds: matches that cannot be among the best are not scored."""
+    index, bounds = _saved_with_bounds(spark, documents_corpus(spark, sf_dir), ["text"])
+    items = read_table(spark, sf_dir, "benchmark", ["item_id", "text"])
+    query = query_terms_from_texts(items, "item_id", "text")
+    return search_batch_bounded(index, bounds, query, DOCUMENT_PARAMS, k=5, decimals=DECIMALS)
+
+
+def search_bounded_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items against two of the three fields of conversations, by bounds."""
+    fields = sorted(CONVERSATION_SUBSET)
+    index, bounds = _saved_with_bounds(spark, conversations_corpus(spark, sf_dir), fields)
+    items = read_table(spark, sf_dir, "benchmark", ["item_id", "text"])
+    query = query_terms_from_texts(items, "item_id", "text")
+    return search_batch_bounded(index, bounds, query, CONVERSATION_SUBSET, k=5, decimals=DECIMALS)
+
+
 def search_batch_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every hit of every benchmark item, best first."""
     index, query = _benchmark_search(spark, sf_dir)
@@ -323,5 +352,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_pages": search_pages,
     "search_batch_topk": search_batch_topk,
     "search_saved_topk": search_saved_topk,
+    "search_bounded_topk": search_bounded_topk,
+    "search_bounded_fields": search_bounded_fields,
     "search_batch_all": search_batch_all,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from termloom.functions.bm25f import FieldParams
-from termloom.plans.driver_queries import MULTI_TERM, TOP_K_TERMS
+from termloom.plans.driver_queries import CONVERSATION_SUBSET, MULTI_TERM, TOP_K_TERMS
 from termloom.plans.tables import (
     CONVERSATION_PARAMS,
     DOCUMENT_PARAMS,
@@ -230,6 +230,8 @@ FROM documents WHERE {ACCEPTED}""",
     "search_pages": _search(PAGES, PAGE_PARAMS, _tokens(["div", "the", "about"])),
     "search_batch_topk": _search(DOCUMENTS, DOCUMENT_PARAMS, BENCHMARK, BEST_OF_EACH),
     "search_saved_topk": _search(DOCUMENTS, DOCUMENT_PARAMS, BENCHMARK, BEST_OF_EACH),
+    "search_bounded_topk": _search(DOCUMENTS, DOCUMENT_PARAMS, BENCHMARK, BEST_OF_EACH),
+    "search_bounded_fields": _search(CONVERSATIONS, CONVERSATION_SUBSET, BENCHMARK, BEST_OF_EACH),
     "search_batch_all": _search(
         DOCUMENTS, DOCUMENT_PARAMS, BENCHMARK, "SELECT query_id, docid, score FROM hits"
     ),
