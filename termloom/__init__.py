@@ -5,6 +5,16 @@ from termloom.functions.bm25f import FieldParams, field_params
 from termloom.operators.bounded import search_batch_bounded
 from termloom.operators.bounds import Bounds, load_bounds, save_bounds, score_bounds
 from termloom.operators.build import Index, build_index, merge_indexes, vocabulary
+from termloom.operators.phrases import (
+    Positions,
+    build_positions,
+    load_positions,
+    phrase_matches,
+    phrases_from_texts,
+    save_positions,
+    search_phrase,
+    search_phrases,
+)
 from termloom.operators.retrieve import (
     lookup,
     query_terms,
@@ -38,8 +48,10 @@ __all__ = [
     "Corpus",
     "FieldParams",
     "Index",
+    "Positions",
     "analyzed_terms",
     "build_index",
+    "build_positions",
     "chunk_count",
     "corpus_from_columns",
     "corpus_from_records",
@@ -47,9 +59,12 @@ __all__ = [
     "field_params",
     "load_bounds",
     "load_index",
+    "load_positions",
     "lookup",
     "merge_indexes",
     "parse_records",
+    "phrase_matches",
+    "phrases_from_texts",
     "query_terms",
     "query_terms_from_texts",
     "query_terms_from_tokens",
@@ -59,12 +74,15 @@ __all__ = [
     "read_json_lines",
     "save_bounds",
     "save_index",
+    "save_positions",
     "score_batch",
     "score_bounds",
     "score_term",
     "search",
     "search_batch",
     "search_batch_bounded",
+    "search_phrase",
+    "search_phrases",
     "search_text",
     "split_records",
     "stage_records",

@@ -18,6 +18,14 @@ from termloom.operators.build import (
     term_frequencies,
     vocabulary,
 )
+from termloom.operators.phrases import (
+    build_positions,
+    load_positions,
+    phrases_from_texts,
+    save_positions,
+    search_phrase,
+    search_phrases,
+)
 from termloom.operators.retrieve import (
     document_frequency,
     gather_fields,
@@ -317,6 +325,37 @@ def search_bounded_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search_batch_bounded(index, bounds, query, CONVERSATION_SUBSET, k=5, decimals=DECIMALS)
 
 
+# --- phrases ------------------------------------------------------------------
+
+# The phrases searched; repeated tokens count for each place.
+PHRASE = ["the", "the", "the"]
+FIELD_PHRASE = ["the", "the", "of"]
+LEADING_TERMS = 3
+
+
+def search_one_phrase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corpus = documents_corpus(spark, sf_dir)
+    return search_phrase(build_index(corpus), build_positions(corpus), PHRASE, DOCUMENT_PARAMS, decimals=DECIMALS)
+
+
+def search_phrase_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A phrase in three fields of many rows each; it never runs from turn to turn."""
+    corpus = conversations_corpus(spark, sf_dir)
+    index, positions = build_index(corpus), build_positions(corpus)
+    return search_phrase(index, positions, FIELD_PHRASE, CONVERSATION_PARAMS, decimals=DECIMALS)
+
+
+def search_phrase_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first terms of every benchmark item as a phrase, on saved positions."""
+    corpus = documents_corpus(spark, sf_dir)
+    path = scratch_path(spark, "index")
+    save_positions(build_positions(corpus), path, 4)
+    items = read_table(spark, sf_dir, "benchmark", ["item_id", "text"])
+    phrases = phrases_from_texts(items, "item_id", "text").where(F.col("slot") < LEADING_TERMS)
+    positions = load_positions(spark, path, 4)
+    return search_phrases(build_index(corpus), positions, phrases, DOCUMENT_PARAMS, k=5, decimals=DECIMALS)
+
+
 def search_batch_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every hit of every benchmark item, best first."""
     index, query = _benchmark_search(spark, sf_dir)
@@ -354,5 +393,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_saved_topk": search_saved_topk,
     "search_bounded_topk": search_bounded_topk,
     "search_bounded_fields": search_bounded_fields,
+    "search_phrase": search_one_phrase,
+    "search_phrase_fields": search_phrase_fields,
+    "search_phrase_batch": search_phrase_batch,
     "search_batch_all": search_batch_all,
 }

@@ -5,7 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from termloom.functions.bm25f import FieldParams
-from termloom.plans.driver_queries import CONVERSATION_SUBSET, MULTI_TERM, TOP_K_TERMS
+from termloom.plans.driver_queries import (
+    CONVERSATION_SUBSET,
+    FIELD_PHRASE,
+    LEADING_TERMS,
+    MULTI_TERM,
+    PHRASE,
+    TOP_K_TERMS,
+)
 from termloom.plans.tables import (
     CONVERSATION_PARAMS,
     DOCUMENT_PARAMS,
@@ -123,6 +130,36 @@ def _conversation_terms(select: str) -> str:
     return _with(parts, select)
 
 
+LISTS = f"""term_lists AS (
+  SELECT docid, field, list_transform({CHUNKS}, lambda chunk: {TERM}) AS terms FROM texts)"""
+
+# A phrase is a list of terms; every place of every text is tried.
+PHRASE_POSTINGS = """postings AS (
+  SELECT h.field, h.term, h.docid, h.tf, l.len
+  FROM (SELECT field, query_id AS term, docid,
+               CAST(sum(len(list_filter(range(1, len(terms) - len(phrase) + 2),
+                                        lambda i: terms[i:i + len(phrase) - 1] = phrase))) AS BIGINT) AS tf
+        FROM term_lists JOIN phrases ON list_has_all(terms, phrase)
+        GROUP BY field, query_id, docid) h
+  JOIN lengths l ON l.field = h.field AND l.docid = h.docid
+  WHERE h.tf > 0),
+query_terms AS (SELECT query_id, query_id AS term, 1 AS qtf FROM phrases)"""
+
+BENCHMARK_PHRASES = f"""phrases AS (
+  SELECT item_id AS query_id, list_transform({CHUNKS}, lambda chunk: {TERM})[1:{LEADING_TERMS}] AS phrase FROM benchmark)"""
+
+
+def _phrase_search(corpus: str, params: dict[str, FieldParams], phrases: str, select: str) -> str:
+    # The tables of an index without its postings, which are those of the phrases.
+    lengths = INDEX[: INDEX.index(",\npostings AS")]
+    parts = [corpus, lengths, LISTS, phrases, PHRASE_POSTINGS, parameters_sql(params), MATCHES, _field_scores(), HITS]
+    return _with(parts, select)
+
+
+def _one_phrase(tokens: Iterable[str]) -> str:
+    return f"phrases AS (SELECT 0 AS query_id, {list(tokens)} AS phrase)"
+
+
 BEST_OF_EACH = """SELECT query_id, docid, score, rank FROM (
   SELECT query_id, docid, score,
          CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, docid) AS INTEGER) AS rank
@@ -232,6 +269,13 @@ FROM documents WHERE {ACCEPTED}""",
     "search_saved_topk": _search(DOCUMENTS, DOCUMENT_PARAMS, BENCHMARK, BEST_OF_EACH),
     "search_bounded_topk": _search(DOCUMENTS, DOCUMENT_PARAMS, BENCHMARK, BEST_OF_EACH),
     "search_bounded_fields": _search(CONVERSATIONS, CONVERSATION_SUBSET, BENCHMARK, BEST_OF_EACH),
+    "search_phrase": _phrase_search(
+        DOCUMENTS, DOCUMENT_PARAMS, _one_phrase(PHRASE), "SELECT docid, score FROM hits"
+    ),
+    "search_phrase_fields": _phrase_search(
+        CONVERSATIONS, CONVERSATION_PARAMS, _one_phrase(FIELD_PHRASE), "SELECT docid, score FROM hits"
+    ),
+    "search_phrase_batch": _phrase_search(DOCUMENTS, DOCUMENT_PARAMS, BENCHMARK_PHRASES, BEST_OF_EACH),
     "search_batch_all": _search(
         DOCUMENTS, DOCUMENT_PARAMS, BENCHMARK, "SELECT query_id, docid, score FROM hits"
     ),
