@@ -5,6 +5,7 @@ from termloom.functions.bm25f import FieldParams, field_params
 from termloom.operators.bounded import search_batch_bounded
 from termloom.operators.bounds import Bounds, load_bounds, save_bounds, score_bounds
 from termloom.operators.build import Index, build_index, merge_indexes, vocabulary
+from termloom.operators.expand import fuzzy_terms, matching_terms, near_terms, pattern_terms
 from termloom.operators.phrases import (
     Positions,
     build_positions,
@@ -57,12 +58,16 @@ __all__ = [
     "corpus_from_records",
     "corpus_from_rows",
     "field_params",
+    "fuzzy_terms",
     "load_bounds",
     "load_index",
     "load_positions",
     "lookup",
+    "matching_terms",
     "merge_indexes",
+    "near_terms",
     "parse_records",
+    "pattern_terms",
     "phrase_matches",
     "phrases_from_texts",
     "query_terms",

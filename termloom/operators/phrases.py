@@ -120,6 +120,9 @@ def phrase_matches(positions: Positions, phrases: DataFrame, fields: Iterable[st
     """
     asked = _kept(phrases.select("query_id", "slot", "term"), "phrases")
     postings = _postings_of(positions, asked, fields)
+    if positions.shards is None:
+        # Else each step would analyse the texts again.
+        postings = _kept(postings, "positions")
 
     counts = postings.groupBy("term").agg(F.count("*").alias("n"))
     rarest = Window.partitionBy("query_id").orderBy("n", "slot")

@@ -18,6 +18,15 @@ from termloom.operators.build import (
     term_frequencies,
     vocabulary,
 )
+from termloom.operators.expand import (
+    deletion_table,
+    fuzzy_terms,
+    gram_table,
+    matching_terms,
+    near_terms,
+    pattern_terms,
+    vocabulary_terms,
+)
 from termloom.operators.phrases import (
     build_positions,
     load_positions,
@@ -356,6 +365,48 @@ def search_phrase_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search_phrases(build_index(corpus), positions, phrases, DOCUMENT_PARAMS, k=5, decimals=DECIMALS)
 
 
+# --- near and matching terms ----------------------------------------------------
+
+# Terms with misspellings, and patterns.
+MISSPELLED = ["lisense", "thw", "publik"]
+PATTERNS = ["licen*", "*blic", "th?t"]
+
+
+def _benchmark_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = read_table(spark, sf_dir, "benchmark", ["item_id", "text"])
+    texts = items.select(F.col("item_id").alias("docid"), F.lit("").alias("field"), "text")
+    return tokenize(texts).select("term").distinct()
+
+
+def near_terms_of_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every term of the benchmark, and the terms of the documents one edit away or less."""
+    terms = vocabulary_terms(build_index(documents_corpus(spark, sf_dir)))
+    asked = _benchmark_terms(spark, sf_dir).withColumnRenamed("term", "asked")
+    return near_terms(asked, deletion_table(terms, 1), 1)
+
+
+def search_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = build_index(documents_corpus(spark, sf_dir))
+    asked = spark.createDataFrame([(i, term) for i, term in enumerate(MISSPELLED)], "query_id int, term string")
+    query = fuzzy_terms(index, asked, distance=2)
+    return search_batch(index, query, DOCUMENT_PARAMS, k=5, decimals=DECIMALS)
+
+
+def matching_terms_of_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A pattern for every term of the benchmark (its beginning, one character, its end),
+    and the terms of the documents that match."""
+    terms = vocabulary_terms(build_index(documents_corpus(spark, sf_dir)))
+    asked = _benchmark_terms(spark, sf_dir)
+    pattern = F.concat(F.left("term", F.lit(2)), F.lit("?*"), F.right("term", F.lit(2)))
+    return matching_terms(asked.select(pattern.alias("pattern")), gram_table(terms))
+
+
+def search_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = build_index(documents_corpus(spark, sf_dir))
+    asked = spark.createDataFrame([(i, term) for i, term in enumerate(PATTERNS)], "query_id int, term string")
+    return search_batch(index, pattern_terms(index, asked), DOCUMENT_PARAMS, k=5, decimals=DECIMALS)
+
+
 def search_batch_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every hit of every benchmark item, best first."""
     index, query = _benchmark_search(spark, sf_dir)
@@ -396,5 +447,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_phrase": search_one_phrase,
     "search_phrase_fields": search_phrase_fields,
     "search_phrase_batch": search_phrase_batch,
+    "near_terms": near_terms_of_items,
+    "search_fuzzy": search_fuzzy,
+    "matching_terms": matching_terms_of_items,
+    "search_pattern": search_pattern,
     "search_batch_all": search_batch_all,
 }

@@ -9,7 +9,9 @@ from termloom.plans.driver_queries import (
     CONVERSATION_SUBSET,
     FIELD_PHRASE,
     LEADING_TERMS,
+    MISSPELLED,
     MULTI_TERM,
+    PATTERNS,
     PHRASE,
     TOP_K_TERMS,
 )
@@ -160,6 +162,43 @@ def _one_phrase(tokens: Iterable[str]) -> str:
     return f"phrases AS (SELECT 0 AS query_id, {list(tokens)} AS phrase)"
 
 
+# DuckDB counts edits of bytes. Terms are in lower case, so the letters of the tables
+# outside ASCII become capitals for the comparison.
+EDITS = "levenshtein(translate({a}, {letters}), translate({b}, {letters}))".replace(
+    "{letters}", "'áäçèéêíñóöúüßû', 'ABCDEFGHIJKLMN'"
+)
+
+
+def _near(asked: str, distance: int) -> str:
+    """Each asked term with all terms of its length, give or take the distance."""
+    edits = EDITS.format(a="q.asked", b="v.term")
+    return f"""near_terms AS (
+  SELECT asked, term, distance FROM (
+    SELECT q.asked, v.term, CAST({edits} AS INTEGER) AS distance
+    FROM {asked} q JOIN vocabulary_terms v ON abs(length(q.asked) - length(v.term)) <= {distance})
+  WHERE distance <= {distance})"""
+
+
+VOCABULARY_TERMS = "vocabulary_terms AS (SELECT DISTINCT term FROM postings)"
+BENCHMARK_TERMS = f"""benchmark_terms AS (
+  SELECT DISTINCT {TERM} AS term FROM (SELECT unnest({CHUNKS}) AS chunk FROM benchmark))"""
+
+
+def _values(name: str, column: str, texts: Iterable[str]) -> str:
+    rows = ", ".join(f"({i}, '{text}')" for i, text in enumerate(texts))
+    return f"{name}(query_id, {column}) AS (VALUES {rows})"
+
+
+def _like(pattern: str) -> str:
+    return f"replace(replace({pattern}, '*', '%'), '?', '_')"
+
+
+def _expanded_search(parts: Iterable[str], found: str) -> str:
+    query = f"query_terms AS (SELECT query_id, term, count(*) AS qtf FROM ({found}) GROUP BY query_id, term)"
+    all_parts = [DOCUMENTS, INDEX, VOCABULARY_TERMS, *parts, query, parameters_sql(DOCUMENT_PARAMS)]
+    return _with([*all_parts, MATCHES, _field_scores(), HITS], BEST_OF_EACH)
+
+
 BEST_OF_EACH = """SELECT query_id, docid, score, rank FROM (
   SELECT query_id, docid, score,
          CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, docid) AS INTEGER) AS rank
@@ -276,6 +315,28 @@ FROM documents WHERE {ACCEPTED}""",
         CONVERSATIONS, CONVERSATION_PARAMS, _one_phrase(FIELD_PHRASE), "SELECT docid, score FROM hits"
     ),
     "search_phrase_batch": _phrase_search(DOCUMENTS, DOCUMENT_PARAMS, BENCHMARK_PHRASES, BEST_OF_EACH),
+    "near_terms": _with(
+        [DOCUMENTS, INDEX, VOCABULARY_TERMS, BENCHMARK_TERMS, _near("(SELECT term AS asked FROM benchmark_terms)", 1)],
+        "SELECT asked, term, distance FROM near_terms",
+    ),
+    "search_fuzzy": _expanded_search(
+        [_values("misspelled", "asked", MISSPELLED), _near("misspelled", 2)],
+        "SELECT query_id, term FROM misspelled JOIN near_terms USING (asked)",
+    ),
+    "matching_terms": _with(
+        [
+            DOCUMENTS,
+            INDEX,
+            VOCABULARY_TERMS,
+            BENCHMARK_TERMS,
+            "patterns AS (SELECT DISTINCT left(term, 2) || '?*' || right(term, 2) AS pattern FROM benchmark_terms)",
+        ],
+        f"SELECT pattern, term FROM patterns JOIN vocabulary_terms ON term LIKE {_like('pattern')}",
+    ),
+    "search_pattern": _expanded_search(
+        [_values("patterns", "pattern", PATTERNS)],
+        f"SELECT query_id, term FROM patterns JOIN vocabulary_terms ON term LIKE {_like('pattern')}",
+    ),
     "search_batch_all": _search(
         DOCUMENTS, DOCUMENT_PARAMS, BENCHMARK, "SELECT query_id, docid, score FROM hits"
     ),
