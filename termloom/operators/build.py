@@ -27,7 +27,8 @@ class Index:
 
     A loaded index has ``shards``: postings then also have the column
     ``shard``, see :func:`termloom.sources.store.shard_of`. It also knows its
-    ``fields``.
+    ``fields``. One that was built from texts has their ``text_bytes``, in one row,
+    which tell its size without an analysis.
     """
 
     postings: DataFrame
@@ -37,6 +38,7 @@ class Index:
     entries: DataFrame
     shards: int | None = None
     fields: tuple[str, ...] | None = None
+    text_bytes: DataFrame | None = None
 
 
 # --- single aggregations ----------------------------------------------------
@@ -99,6 +101,7 @@ def build_index(corpus: Corpus, duplicates: str = "merge") -> Index:
         field_statistics(lengths),
         corpus_statistics(corpus.records),
         entries,
+        text_bytes=corpus.texts.agg(F.sum(F.octet_length("text")).alias("text_bytes")),
     )
 
 

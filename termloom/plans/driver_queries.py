@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -68,6 +69,7 @@ from termloom.sources.corpus import (
     corpus_from_columns,
     corpus_from_rows,
     parse_records,
+    read_corpus,
     split_records,
 )
 from termloom.sources.store import load_index, save_index
@@ -117,6 +119,42 @@ def field_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _write_files(files: DataFrame, folder: str) -> None:
+    """One file for each of ``files(name, content)``, in a folder that all tasks share."""
+    local = folder.removeprefix("file://").removeprefix("file:")
+
+    def write(batches):
+        os.makedirs(local, exist_ok=True)
+        for batch in batches:
+            for name, content in zip(*(column.to_pylist() for column in batch.columns)):
+                with open(f"{local}/{name}", "w", encoding="utf-8") as file:
+                    file.write(content)
+            yield batch.slice(0, 0)
+
+    files.select("name", "content").mapInArrow(write, "name string, content string").count()
+
+
+def ingest_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items as a directory of files, a third of them with hidden names, some
+    spoilt and some with another extension; what of it is accepted."""
+    items = read_table(spark, sf_dir, "benchmark", ["item_id", "text"])
+    number = F.col("item_id").cast("string")
+    digit = F.abs(F.col("item_id")) % 6
+    name = F.concat(
+        F.when(digit == 0, F.lit("_")).when(digit == 1, F.lit(".")).otherwise(F.lit("")),
+        F.lit("item"),
+        number,
+        F.when(digit == 2, F.lit(".JSON")).otherwise(F.lit(".json")),
+    )
+    record = F.to_json(F.struct(number.alias("docid"), "text"))
+    content = F.when(digit == 3, F.concat(record, F.lit("}"))).otherwise(record)
+    folder = scratch_path(spark, "directory")
+    _write_files(items.where("item_id IS NOT NULL").select(name.alias("name"), content.alias("content")), folder)
+    corpus = read_corpus(spark, folder, {"text": "body"})
+    n_docs = corpus_statistics(corpus.records).scalar()
+    return corpus.texts.select("docid", "field", "text", n_docs.alias("n_docs"))
+
+
 # --- analysis ---------------------------------------------------------------
 
 
@@ -417,6 +455,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_valid": ingest_valid,
     "ingest_quarantine": ingest_quarantine,
     "field_projection": field_projection,
+    "ingest_directory": ingest_directory,
     "token_stream": token_stream,
     "analyzer_empty_terms": analyzer_empty_terms,
     "term_frequency": term_frequency,

@@ -226,6 +226,10 @@ SELECT CAST(doc_id AS VARCHAR) AS docid,
             + CASE WHEN lang IS NULL OR doc_id % 10 = 5 THEN 0 ELSE 1 END AS BIGINT) AS n_fields,
        CASE WHEN doc_id % 10 <> 5 THEN lang END AS language
 FROM documents WHERE {ACCEPTED}""",
+    "ingest_directory": """
+SELECT CAST(item_id AS VARCHAR) AS docid, 'body' AS field, text,
+       (SELECT CAST(count(*) AS BIGINT) FROM benchmark WHERE abs(item_id) % 6 NOT IN (2, 3)) AS n_docs
+FROM benchmark WHERE abs(item_id) % 6 NOT IN (2, 3) AND text IS NOT NULL""",
     "token_stream": _with(
         [DOCUMENTS, INDEX],
         "SELECT docid, term, CAST(count(*) AS BIGINT) AS n FROM tokens GROUP BY docid, term",

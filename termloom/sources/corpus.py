@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.scratch import scratch_path
+from termloom.sources.hidden_files import list_files, read_files
 
 # The name of the key that identifies a record, and its limit.
 DOCID_KEY = "docid"
@@ -67,24 +68,20 @@ class Corpus:
 def read_json_directory(spark: SparkSession, directory: str) -> DataFrame:
     """``records(path, content, refused)``: the files ``*.json`` directly in a directory.
 
-    Spark passes over names that begin with ``_`` or ``.``. They are listed here
-    without content and with a reason in ``refused``, so that no file is lost
-    without trace.
+    Spark passes over names that begin with ``_`` or ``.`` and over files without a byte;
+    these are read by a source of their own. One that cannot be opened there (a store
+    that only Hadoop reads) has a reason in ``refused``, so that no file is lost without
+    trace.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(directory)
     read = files.select("path", "content", F.lit(None).cast("string").alias("refused"))
-    hidden = _hidden_names(spark, directory)
-    if not hidden:
+    listed = list_files(spark, f"{directory.rstrip('/')}/*.json")
+    passed_over = [(path, size) for path, size in listed if not size or path.rsplit("/", 1)[1][0] in "_."]
+    if not passed_over:
         return read
-    unread = spark.createDataFrame([(path, None, HIDDEN_NAME) for path in hidden], read.schema)
-    return read.unionByName(unread)
-
-
-def _hidden_names(spark: SparkSession, directory: str) -> list[str]:
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    pattern = hadoop.Path(f"{directory.rstrip('/')}/[_.]*.json")
-    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
-    return sorted(status.getPath().toString() for status in found or [] if status.isFile())
+    unseen = read_files(spark, passed_over)
+    refused = F.when(F.col("content").isNull(), HIDDEN_NAME)
+    return read.unionByName(unseen.select("path", "content", refused.alias("refused")))
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -114,12 +111,12 @@ def parse_records(records: DataFrame, aliases: Mapping[str, str]) -> DataFrame:
     keys = [DOCID_KEY, *aliases]
     struct = "struct<" + ", ".join(f"`{key.replace('`', '``')}`: variant" for key in keys) + ">"
     t = F.col("text")
-    # Every step is a projection of its own, so that nothing is parsed twice.
-    parsed = text.select(
+    keyed = F.from_json(_wrapped('{"r":', "text", "}"), f"r {struct}, bad string", _STRICT_OBJECT)
+    parsed = _computed_once(text, ["path", "refused", "text"], keyed=keyed).select(
         "path",
         "refused",
         "text",
-        F.from_json(_wrapped('{"r":', "text", "}"), f"r {struct}, bad string", _STRICT_OBJECT).alias("keyed"),
+        "keyed",
         t.rlike(r"^[ \t\r\n]*\{").alias("is_object"),
         # The parser accepts what follows "}" if it goes on like the wrapper.
         t.rlike(r"\}[ \t\r\n]*[,}]").alias("may_go_on"),
@@ -167,14 +164,8 @@ def parse_records(records: DataFrame, aliases: Mapping[str, str]) -> DataFrame:
         reason = reason.when(
             F.col(f"k{i}.present") & ~F.col(f"k{i}.is_string"), FIELD_NOT_STRING
         )
-    return typed.select(
-        "path",
-        docid.alias("docid"),
-        _sparse_map({name: F.col(f"k{i}.text") for i, name in enumerate(names, 1)}).alias(
-            "fields"
-        ),
-        reason.alias("reason"),
-    )
+    fields = _sparse_map({name: F.col(f"k{i}.text") for i, name in enumerate(names, 1)})
+    return _computed_once(typed, ["path"], docid=docid, fields=fields, reason=reason)
 
 
 def stage_records(parsed: DataFrame) -> DataFrame:
@@ -287,6 +278,18 @@ def _wrapped(start: str, text: str, end: str) -> Column:
     return F.concat(F.lit(start), F.col(text), F.lit("\n" + end))
 
 
+def _computed_once(df: DataFrame, kept: list[str], **columns: Column) -> DataFrame:
+    """``df`` with the columns ``kept`` and new ones, each computed once for a row.
+
+    The optimizer puts the expression of a column wherever the column is used, in later
+    projections and in filters that it moves down. It does not do so with what a
+    generator gives, here one row for a row. The outer form has no filter on the array,
+    which would be moved down with a copy as well.
+    """
+    row = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return df.select(*kept, F.inline_outer(F.array(row)))
+
+
 def _trimmed_docid(docid: Column) -> Column:
     """Trailing NUL characters are not part of the identity."""
     return F.rtrim(docid.cast("string"), F.lit("\0"))

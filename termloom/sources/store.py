@@ -18,6 +18,7 @@ FIELD_STATS_SCHEMA = "field string, n_field_docs bigint, total_len bigint, avg_l
 CORPUS_STATS_SCHEMA = "n_docs bigint, shards int"
 
 TOKENS_PER_SHARD = 50_000_000
+BYTES_PER_TOKEN = 6
 LENGTHS_SHARD = -1
 
 
@@ -45,7 +46,11 @@ def save_index(index: Index, path: str, shards: int | None = None) -> None:
 
 
 def _suggested_shards(index: Index) -> int:
-    """One for each 50 million tokens, from the exact lengths of all fields."""
+    """One for each 50 million tokens: by the bytes of the texts, so that they are not
+    analysed for it, or else by the lengths of all fields."""
+    if index.text_bytes is not None:
+        n_bytes = index.text_bytes.first()[0] or 0
+        return max(1, n_bytes // (BYTES_PER_TOKEN * TOKENS_PER_SHARD))
     tokens = index.field_stats.agg(F.sum("total_len")).first()[0] or 0
     return max(1, tokens // TOKENS_PER_SHARD)
 

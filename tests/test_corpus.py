@@ -13,6 +13,7 @@ from termloom import (
     split_records,
     stage_records,
 )
+from termloom.sources.hidden_files import FilesReader, read_files
 
 E17 = "é" * 17
 
@@ -113,15 +114,47 @@ def test_directory(spark, tmp_path):
         read_corpus(spark, str(tmp_path), ALIASES, mode="strict")
 
 
-def test_hidden_names_are_quarantined(spark, tmp_path):
-    for name in ("a.json", "_u.json", ".h.json", "_c.txt"):
-        (tmp_path / name).write_text('{"docid":"a"}')
-    parsed = parse_records(read_json_directory(spark, str(tmp_path)), ALIASES).collect()
-    assert sorted((r["path"].rsplit("/", 1)[1], r["docid"], r["reason"]) for r in parsed) == [
-        (".h.json", None, "hidden_name"),
-        ("_u.json", None, "hidden_name"),
-        ("a.json", "a", None),
-    ]
+def test_hidden_names_are_read(spark, tmp_path):
+    folder = tmp_path / "with blank"
+    folder.mkdir()
+    for name in ("a.json", "_u.json", ".h.json", "_c.txt", "_é %20,x.json", "_bad.JSON"):
+        (folder / name).write_text('{"docid":"%s"}' % name[:2])
+    (folder / "_none.json").write_text("")
+    (folder / "none.json").write_text("")
+    (folder / "_sub.json").mkdir()
+    corpus = read_corpus(spark, str(folder), ALIASES)
+    assert sorted(r["docid"] for r in corpus.records.collect()) == [".h", "_u", "_é", "a."]
+    assert build_index(corpus).corpus_stats.first()["n_docs"] == 4
+    refused = sorted((r["source"].rsplit("/", 1)[1], r["reason"]) for r in corpus.quarantine.collect())
+    assert refused == [("_none.json", "bad_json"), ("none.json", "bad_json")]
+    paths = {r["path"].rsplit("/", 1)[0] for r in read_json_directory(spark, str(folder)).select("path").collect()}
+    assert len(paths) == 1
+
+
+def test_only_hidden_names(spark, tmp_path):
+    (tmp_path / "_u.json").write_text('{"docid":"u"}')
+    assert [r["docid"] for r in read_corpus(spark, str(tmp_path), ALIASES).records.collect()] == ["u"]
+
+
+def test_files_that_cannot_be_opened_are_quarantined(spark, tmp_path):
+    gone = [(f"file:{tmp_path}/_gone.json", 3), ("nosuch://store/_x.json", 3)]
+    assert [r["content"] for r in read_files(spark, gone).collect()] == [None, None]
+
+
+def test_hidden_files_are_dealt_to_splits():
+    files = [(f"f{i}", 1) for i in range(2500)] + [("big", 40 << 20), ("small", 1)]
+    splits = FilesReader(files).partitions()
+    assert [len(split.paths) for split in splits] == [1000, 1000, 500, 1, 1]
+
+
+@pytest.mark.parametrize("table", [0, 1])
+def test_each_record_is_parsed_once(spark, table):
+    """No copy of a parse in a filter or another column, whatever is selected."""
+    records = spark.createDataFrame([("p", '{"docid":"a","title":"x"}')], "path string, content string")
+    df = split_records(parse_records(records, ALIASES))[table]
+    written = parse_records(records, ALIASES)._jdf.queryExecution().analyzed().toString().count("from_json")
+    for part in (df, df.groupBy().count(), df.select(df.columns[0])):
+        assert part._jdf.queryExecution().optimizedPlan().toString().count("from_json") <= written == 4
 
 
 def test_a_huge_value_of_another_key_does_not_matter(spark):
