@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from termloom.operators.build import Index
 from termloom.operators.retrieve import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, QueryTerms, query_terms
+from termloom.scratch import scratch_path
 
 #: Characters of a term from which deletions are made.
 PREFIX = 8
@@ -33,8 +34,14 @@ BEGIN, END = "\x02", "\x03"
 
 
 def vocabulary_terms(index: Index) -> DataFrame:
-    """``(term)``: each term once, whatever its fields."""
-    return index.postings.select("term").distinct()
+    """``(term)``: each term once, whatever its fields. Of an index that is not saved they
+    are written once, or each step that reads them would analyse the texts again."""
+    terms = index.postings.select("term").distinct()
+    if index.shards is not None:
+        return terms
+    path = scratch_path(terms.sparkSession, "vocabulary")
+    terms.write.parquet(path)
+    return terms.sparkSession.read.schema("term string").parquet(path)
 
 
 # --- near terms -----------------------------------------------------------------------
