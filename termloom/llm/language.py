@@ -23,6 +23,8 @@ from termloom.llm.common import column, crc_remainder, documents, slices, with_r
 PROFILE_SIZE = 400
 TEXT_PROFILE_SIZE = 400
 MAX_LANGUAGES = 4096
+#: Text taken at a time; the arrays made of it are some fifty times as large.
+SLICE_BYTES = 1 << 20
 UNDETERMINED = "und"
 #: Held out: a fifth of the documents.
 FOLDS, HELD_OUT = 5, 0
@@ -123,7 +125,7 @@ def profiles(labelled: DataFrame, size: int = PROFILE_SIZE) -> DataFrame:
 
 def _count_ngrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-    for batch in slices(batches, "text"):
+    for batch in slices(batches, "text", SLICE_BYTES):
         grams, alphabet = ngrams(column(batch, "text").to_pylist())
         by_language: dict[str, list[np.ndarray]] = {}
         for own, lang in zip(grams, column(batch, "lang").to_pylist()):
@@ -195,7 +197,7 @@ def identify_rows(docs: DataFrame, identifier: Identifier) -> DataFrame:
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             found = model.predict(column(batch, "text").to_pylist())
             yield pa.record_batch(
                 [

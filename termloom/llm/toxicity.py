@@ -29,6 +29,8 @@ from termloom.llm.common import column, crc_remainder, documents, ids_and_texts,
 
 #: Labelled texts to learn from, at most.
 MAX_LABELLED = 60_000
+#: Text taken at a time; the arrays made of it are some fifty times as large.
+SLICE_BYTES = 1 << 20
 #: Entries of the lexicon and exception phrases, at most.
 MAX_ENTRIES, MAX_EXCEPTIONS = 5_000, 5_000
 #: An entry occurs in so many toxic texts at least ...
@@ -186,7 +188,7 @@ def _partial_counts(sample: DataFrame, items) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds: tuple[Counter, Counter] = Counter(), Counter()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             for text, toxic in zip(column(batch, "text").to_pylist(), column(batch, "toxic").to_pylist()):
                 kinds[toxic > 0].update(set().union(*map(items, readings(text))))
             if len(kinds[0]) + len(kinds[1]) > 400_000:
@@ -253,7 +255,7 @@ def _density_counts(sample: DataFrame, lexicon: Lexicon) -> list[tuple[float, in
     """``(log(1 + density), texts, toxic texts)`` in bins of the density."""
 
     def bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             x = [min(LENGTH_BINS, round(20 * math.log1p(lexicon.density(t)))) for t in column(batch, "text").to_pylist()]
             yield pa.record_batch([pa.array(x, pa.int32()), column(batch, "toxic")], names=["bin", "toxic"])
 
@@ -284,7 +286,7 @@ def score_rows(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             scores = [model.score(text) for text in column(batch, "text").to_pylist()]
             yield pa.record_batch([column(batch, "record"), pa.array(scores, pa.float64())], names=["record", "score"])
 
