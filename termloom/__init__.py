@@ -6,6 +6,13 @@ from termloom.operators.bounded import search_batch_bounded
 from termloom.operators.bounds import Bounds, load_bounds, save_bounds, score_bounds
 from termloom.operators.build import Index, build_index, merge_indexes, vocabulary
 from termloom.operators.expand import fuzzy_terms, matching_terms, near_terms, pattern_terms
+from termloom.operators.models import (
+    DirichletLikelihood,
+    TextbookBM25F,
+    document_lengths,
+    score_by_model,
+    search_by_model,
+)
 from termloom.operators.phrases import (
     Positions,
     build_positions,
@@ -42,25 +49,33 @@ from termloom.sources.corpus import (
     split_records,
     stage_records,
 )
+from termloom.sources.generations import append_index, compact_index, index_parts, load_parts
 from termloom.sources.store import load_index, save_index
 
 __all__ = [
     "Bounds",
     "Corpus",
+    "DirichletLikelihood",
     "FieldParams",
     "Index",
     "Positions",
+    "TextbookBM25F",
     "analyzed_terms",
+    "append_index",
     "build_index",
     "build_positions",
     "chunk_count",
+    "compact_index",
     "corpus_from_columns",
     "corpus_from_records",
     "corpus_from_rows",
+    "document_lengths",
     "field_params",
     "fuzzy_terms",
+    "index_parts",
     "load_bounds",
     "load_index",
+    "load_parts",
     "load_positions",
     "lookup",
     "matching_terms",
@@ -82,10 +97,12 @@ __all__ = [
     "save_positions",
     "score_batch",
     "score_bounds",
+    "score_by_model",
     "score_term",
     "search",
     "search_batch",
     "search_batch_bounded",
+    "search_by_model",
     "search_phrase",
     "search_phrases",
     "search_text",

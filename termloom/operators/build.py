@@ -94,7 +94,7 @@ def build_index(corpus: Corpus, duplicates: str = "merge") -> Index:
     if duplicates == "error":
         _refuse(corpus.keys)
     elif corpus.many_rows or _has_repeats(corpus.keys):
-        entries, lengths = _added_up(entries, lengths)
+        entries, lengths = add_up(entries, lengths)
     return Index(
         entries.where(F.col("term").isNotNull()),
         lengths,
@@ -118,7 +118,7 @@ def merge_indexes(a: Index, b: Index, duplicates: str = "merge") -> Index:
     if duplicates == "error":
         _refuse(lengths)
     elif _has_repeats(lengths):
-        entries, lengths = _added_up(entries, lengths)
+        entries, lengths = add_up(entries, lengths)
         postings = entries.where(F.col("term").isNotNull())
     n_docs = a.corpus_stats.select("n_docs").unionByName(b.corpus_stats.select("n_docs"))
     return Index(
@@ -146,7 +146,7 @@ def _refuse(keys: DataFrame) -> None:
         raise ValueError(f"docids come more than once, such as {some}")
 
 
-def _added_up(entries: DataFrame, lengths: DataFrame) -> tuple[DataFrame, DataFrame]:
+def add_up(entries: DataFrame, lengths: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Entries and lengths with one row for each docid, field and term.
 
     Counts are combined within each split, and then shuffled by docid and term: a

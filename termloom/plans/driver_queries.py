@@ -28,6 +28,7 @@ from termloom.operators.expand import (
     pattern_terms,
     vocabulary_terms,
 )
+from termloom.operators.models import DirichletLikelihood, TextbookBM25F, score_by_model, search_by_model
 from termloom.operators.phrases import (
     build_positions,
     load_positions,
@@ -72,6 +73,7 @@ from termloom.sources.corpus import (
     read_corpus,
     split_records,
 )
+from termloom.sources.generations import append_index, compact_index, load_parts
 from termloom.sources.store import load_index, save_index
 
 DECIMALS = 6
@@ -236,6 +238,57 @@ def index_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+PARTS = 3
+
+
+def _third(number: str) -> Column:
+    return F.coalesce(F.pmod(number, F.lit(PARTS)), F.lit(0))
+
+
+def _appended(spark: SparkSession, corpora: list[Corpus]) -> str:
+    """A saved index to which each corpus was appended in turn."""
+    path = scratch_path(spark, "parts")
+    for i, corpus in enumerate(corpora):
+        append_index(build_index(corpus), path, shards=4, first=i == 0)
+    return path
+
+
+def _turns_in_parts(spark: SparkSession, sf_dir: str) -> str:
+    """All turns in three parts, so that many conversations are in several of them."""
+    turns = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
+    return _appended(
+        spark,
+        [corpus_from_rows(turns.where(_third("turn") == r), "conv_id", "role", "text") for r in range(PARTS)],
+    )
+
+
+def index_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = load_parts(spark, _turns_in_parts(spark, sf_dir))
+    return index.postings.select(
+        "field", "term", "docid", "tf", "len", index.corpus_stats.scalar().alias("n_docs")
+    )
+
+
+def index_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _turns_in_parts(spark, sf_dir)
+    compact_index(spark, path)
+    stats = load_parts(spark, path).field_stats
+    return stats.withColumn("avg_len", F.round("avg_len", DECIMALS))
+
+
+def search_appended_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch search over documents that came in three parts."""
+    documents = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    corpora = [
+        corpus_from_columns(documents.where(_third("doc_id") == r), "doc_id", {"text": "text"})
+        for r in range(PARTS)
+    ]
+    index = load_parts(spark, _appended(spark, corpora))
+    items = read_table(spark, sf_dir, "benchmark", ["item_id", "text"])
+    query = query_terms_from_texts(items, "item_id", "text")
+    return search_batch(index, query, DOCUMENT_PARAMS, k=5, decimals=DECIMALS)
+
+
 # --- retrieval --------------------------------------------------------------
 
 
@@ -403,6 +456,41 @@ def search_phrase_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search_phrases(build_index(corpus), positions, phrases, DOCUMENT_PARAMS, k=5, decimals=DECIMALS)
 
 
+# --- other models -------------------------------------------------------------------
+
+# The parameters of the models.
+TEXTBOOK = TextbookBM25F(k1=1.2, b=0.75)
+DIRICHLET = DirichletLikelihood(mu=1000.0)
+DOCUMENT_WEIGHTS = {name: p.weight for name, p in DOCUMENT_PARAMS.items()}
+CONVERSATION_WEIGHTS = {name: p.weight for name, p in CONVERSATION_PARAMS.items()}
+
+
+def search_textbook_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index, query = _benchmark_search(spark, sf_dir)
+    return search_by_model(index, query, DOCUMENT_WEIGHTS, TEXTBOOK, k=5, decimals=DECIMALS)
+
+
+def search_dirichlet_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index, query = _benchmark_search(spark, sf_dir)
+    return search_by_model(index, query, DOCUMENT_WEIGHTS, DIRICHLET, k=5, decimals=DECIMALS)
+
+
+def _conversations_by(spark: SparkSession, sf_dir: str, model) -> DataFrame:
+    index = build_index(conversations_corpus(spark, sf_dir))
+    query = query_terms_from_tokens(index, MULTI_TERM)
+    hits = rounded(score_by_model(index, query, CONVERSATION_WEIGHTS, model), DECIMALS)
+    return hits.select("docid", "score")
+
+
+def search_textbook_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three fields: lengths count those that a term is not in, too."""
+    return _conversations_by(spark, sf_dir, TEXTBOOK)
+
+
+def search_dirichlet_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _conversations_by(spark, sf_dir, DIRICHLET)
+
+
 # --- near and matching terms ----------------------------------------------------
 
 # Terms with misspellings, and patterns.
@@ -467,6 +555,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "index_merge": index_merge,
     "index_merge_overlap": index_merge_overlap,
     "index_roundtrip": index_roundtrip,
+    "index_append": index_append,
+    "index_compact": index_compact,
+    "search_appended_topk": search_appended_topk,
     "postings_lookup": postings_lookup,
     "doc_frequency": doc_frequency,
     "idf": idf,
@@ -486,6 +577,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_phrase": search_one_phrase,
     "search_phrase_fields": search_phrase_fields,
     "search_phrase_batch": search_phrase_batch,
+    "search_textbook_topk": search_textbook_topk,
+    "search_textbook_fields": search_textbook_fields,
+    "search_dirichlet_topk": search_dirichlet_topk,
+    "search_dirichlet_fields": search_dirichlet_fields,
     "near_terms": near_terms_of_items,
     "search_fuzzy": search_fuzzy,
     "matching_terms": matching_terms_of_items,

@@ -7,12 +7,14 @@ from collections.abc import Iterable
 from termloom.functions.bm25f import FieldParams
 from termloom.plans.driver_queries import (
     CONVERSATION_SUBSET,
+    DIRICHLET,
     FIELD_PHRASE,
     LEADING_TERMS,
     MISSPELLED,
     MULTI_TERM,
     PATTERNS,
     PHRASE,
+    TEXTBOOK,
     TOP_K_TERMS,
 )
 from termloom.plans.tables import (
@@ -204,6 +206,38 @@ BEST_OF_EACH = """SELECT query_id, docid, score, rank FROM (
          CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, docid) AS INTEGER) AS rank
   FROM hits) WHERE rank <= 5"""
 
+BAGS = """bags AS (
+  SELECT p.term, p.docid, sum(q.w * p.tf) AS tf
+  FROM postings p JOIN params q ON q.field = p.field
+  WHERE p.term IN (SELECT term FROM query_terms) GROUP BY p.term, p.docid),
+term_stats AS (SELECT term, count(*) AS df, sum(tf) AS cf FROM bags GROUP BY term),
+document_lengths AS (
+  SELECT l.docid, sum(q.w * l.len) AS doc_len
+  FROM lengths l JOIN params q ON q.field = l.field GROUP BY l.docid),
+totals AS (
+  SELECT sum(q.w * s.total_len) AS total_len FROM field_stats s JOIN params q ON q.field = s.field),
+query_lengths AS (
+  SELECT query_id, sum(qtf) AS query_len FROM query_terms JOIN term_stats USING (term) GROUP BY query_id)"""
+
+TEXTBOOK_TERM = (
+    f"ln(1 + (n_docs - df + 0.5) / (df + 0.5)) * tf * ({TEXTBOOK.k1} + 1)"
+    f" / (tf + {TEXTBOOK.k1} * (1 - {TEXTBOOK.b} + {TEXTBOOK.b} * doc_len / (total_len / n_docs)))"
+)
+DIRICHLET_TERM = f"ln(1 + tf * total_len / ({DIRICHLET.mu} * cf))"
+DIRICHLET_DOCUMENT = f"query_len * ln({DIRICHLET.mu} / ({DIRICHLET.mu} + doc_len))"
+
+
+def _by_model(
+    corpus: str, params: dict[str, FieldParams], query: str, select: str, term: str, document: str = "0"
+) -> str:
+    hits = f"""hits AS (
+  SELECT query_id, docid, round(sum(qtf * {term}) + any_value({document}), 6) AS score
+  FROM bags JOIN term_stats USING (term) JOIN document_lengths USING (docid)
+  JOIN query_terms USING (term) JOIN query_lengths USING (query_id), totals, corpus_stats
+  GROUP BY query_id, docid)"""
+    return _with([corpus, INDEX, parameters_sql(params), query, BAGS, hits], select)
+
+
 ACCEPTED = "(doc_id % 10) >= 5"
 
 SQL: dict[str, str] = {
@@ -270,6 +304,17 @@ FROM benchmark WHERE abs(item_id) % 6 NOT IN (2, 3) AND text IS NOT NULL""",
         "SELECT field, term, docid, tf, len, n_docs FROM postings JOIN corpus_stats ON true"
         " WHERE field = 'assistant'",
     ),
+    "index_append": _with(
+        [CONVERSATIONS, INDEX],
+        "SELECT field, term, docid, tf, len,"
+        " (SELECT CAST(count(DISTINCT (conv_id, coalesce(turn % 3, 0))) AS BIGINT) FROM conversations) AS n_docs"
+        " FROM postings",
+    ),
+    "index_compact": _with(
+        [CONVERSATIONS, INDEX],
+        "SELECT field, n_field_docs, total_len, round(avg_len, 6) AS avg_len FROM field_stats",
+    ),
+    "search_appended_topk": _search(DOCUMENTS, DOCUMENT_PARAMS, BENCHMARK, BEST_OF_EACH),
     "postings_lookup": _with(
         [DOCUMENTS, INDEX],
         "SELECT field, term, docid, tf, len FROM postings WHERE term = 'license'",
@@ -319,6 +364,21 @@ FROM benchmark WHERE abs(item_id) % 6 NOT IN (2, 3) AND text IS NOT NULL""",
         CONVERSATIONS, CONVERSATION_PARAMS, _one_phrase(FIELD_PHRASE), "SELECT docid, score FROM hits"
     ),
     "search_phrase_batch": _phrase_search(DOCUMENTS, DOCUMENT_PARAMS, BENCHMARK_PHRASES, BEST_OF_EACH),
+    "search_textbook_topk": _by_model(DOCUMENTS, DOCUMENT_PARAMS, BENCHMARK, BEST_OF_EACH, TEXTBOOK_TERM),
+    "search_textbook_fields": _by_model(
+        CONVERSATIONS, CONVERSATION_PARAMS, _tokens(MULTI_TERM), "SELECT docid, score FROM hits", TEXTBOOK_TERM
+    ),
+    "search_dirichlet_topk": _by_model(
+        DOCUMENTS, DOCUMENT_PARAMS, BENCHMARK, BEST_OF_EACH, DIRICHLET_TERM, DIRICHLET_DOCUMENT
+    ),
+    "search_dirichlet_fields": _by_model(
+        CONVERSATIONS,
+        CONVERSATION_PARAMS,
+        _tokens(MULTI_TERM),
+        "SELECT docid, score FROM hits",
+        DIRICHLET_TERM,
+        DIRICHLET_DOCUMENT,
+    ),
     "near_terms": _with(
         [DOCUMENTS, INDEX, VOCABULARY_TERMS, BENCHMARK_TERMS, _near("(SELECT term AS asked FROM benchmark_terms)", 1)],
         "SELECT asked, term, distance FROM near_terms",

@@ -36,8 +36,8 @@ def save_index(index: Index, path: str, shards: int | None = None) -> None:
     """
     spark = index.entries.sparkSession
     if shards is None:
-        shards = _suggested_shards(index)
-    _write_entries(index.entries, f"{path}/entries", shards)
+        shards = suggested_shards(index)
+    write_entries(index.entries, f"{path}/entries", shards)
     lengths = _lengths(_read_entries(spark, path))
     field_statistics(lengths).coalesce(1).write.parquet(f"{path}/field_stats")
     index.corpus_stats.select(
@@ -45,7 +45,7 @@ def save_index(index: Index, path: str, shards: int | None = None) -> None:
     ).coalesce(1).write.parquet(f"{path}/corpus_stats")
 
 
-def _suggested_shards(index: Index) -> int:
+def suggested_shards(index: Index) -> int:
     """One for each 50 million tokens: by the bytes of the texts, so that they are not
     analysed for it, or else by the lengths of all fields."""
     if index.text_bytes is not None:
@@ -55,7 +55,7 @@ def _suggested_shards(index: Index) -> int:
     return max(1, tokens // TOKENS_PER_SHARD)
 
 
-def _write_entries(entries: DataFrame, path: str, shards: int) -> None:
+def write_entries(entries: DataFrame, path: str, shards: int) -> None:
     """One shuffle to the shards. ``rebalance`` lets the adaptive planner cut a
     shard that outgrows the target partition size (a frequent term lies in
     one shard) and join small ones, which a fixed hash could not."""
