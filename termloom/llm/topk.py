@@ -28,8 +28,7 @@ BLOCK_ROWS = 32_768
 QUERY_ROWS = 256
 #: Slices of each attribute that the sum leaves to the exact step.
 LOW_SLICES = 4
-#: Larger components could make a score that does not fit a long.
-MAX_COMPONENT = 2**24
+_LEAST_LONG, _GREATEST_LONG = -(2**63), 2**63 - 1
 
 
 class SlicedBlock:
@@ -39,8 +38,9 @@ class SlicedBlock:
         self.ids, self.values, self.low = ids, values.astype(np.int64), low
         self.n = len(ids)
         self.words = -(-self.n // 64)
-        self.least = self.values.min(axis=0)
-        raised = (self.values - self.least).astype(np.uint64)
+        # What a row has above the least one, which always fits 64 bits without a sign.
+        raised = self.values.view(np.uint64) - self.values.min(axis=0).view(np.uint64)
+        self.largest = max(abs(int(self.values.min())), abs(int(self.values.max())))
         self.digits = [int(x).bit_length() for x in raised.max(axis=0)]
         self.all = self._bitmap(np.ones(self.n, bool))
         #: For each attribute the bitmaps of its digits from ``low`` upward.
@@ -90,13 +90,16 @@ class SlicedBlock:
             place += 1
         return sums
 
-    def candidates(self, query: np.ndarray, k: int) -> np.ndarray:
-        """Row numbers among which the ``k`` best are, ties included."""
-        if self.n <= k:
-            return np.arange(self.n)
+    def candidates(self, query: np.ndarray, k: int, among: np.ndarray | None = None) -> np.ndarray:
+        """Row numbers among which the ``k`` best are, ties included, of the rows ``among``
+        (all)."""
+        rows = np.arange(self.n) if among is None else np.flatnonzero(among)
+        if len(rows) <= k:
+            return rows
+        every = self.all if among is None else self._bitmap(among)
         sums = self.coarse_sums(query)
         # From the top slice down: the value of the k-th best coarse sum.
-        tied, above, kth = self.all, 0, 0
+        tied, above, kth = every, 0, 0
         for place in range(len(sums) - 1, -1, -1):
             with_digit = tied & sums[place]
             n = int(np.bitwise_count(with_digit).sum())
@@ -106,12 +109,12 @@ class SlicedBlock:
                 above += n
                 tied = tied & ~sums[place]
         # The digits left out add at most (2^low - 1) * sum |q|.
-        size = int(np.abs(query).sum())
+        size = sum(map(abs, query.tolist()))
         least = max(0, kth - -(-((1 << self.low) - 1) * size // (1 << self.low)))
-        return self._at_least(sums, least)
+        return self._at_least(sums, least, every)
 
-    def _at_least(self, sums: list[np.ndarray], least: int) -> np.ndarray:
-        above, tied = np.zeros(self.words, np.uint64), self.all
+    def _at_least(self, sums: list[np.ndarray], least: int, every: np.ndarray) -> np.ndarray:
+        above, tied = np.zeros(self.words, np.uint64), every
         for place in range(max(len(sums), least.bit_length()) - 1, -1, -1):
             digit = sums[place] if place < len(sums) else np.zeros(self.words, np.uint64)
             if least >> place & 1:
@@ -123,12 +126,21 @@ class SlicedBlock:
         return np.flatnonzero(rows[: self.n])
 
     def top(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and exact scores of the ``k`` best rows other than the query's own."""
-        rows = self.candidates(query, k + 1)
-        rows = rows[self.ids[rows] != query_id]
-        scores = self.values[rows] @ query.astype(np.int64)
-        best = np.lexsort((self.ids[rows], -scores))[:k]
-        return self.ids[rows][best], scores[best]
+        """Ids and exact scores of the ``k`` best rows with another id than the query's."""
+        others = self.ids != query_id
+        rows = self.candidates(query, k, None if others.all() else others)
+        ids, scores = self.ids[rows], self._products(rows, query)
+        if scores.dtype == object:
+            best = np.array(sorted(range(len(rows)), key=lambda i: (-scores[i], ids[i]))[:k], np.int64)
+        else:
+            best = np.lexsort((ids, -scores))[:k]
+        return ids[best], scores[best]
+
+    def _products(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """Longs, or whole numbers of any size where a long may not do."""
+        if self.largest * sum(map(abs, query.tolist())) <= _GREATEST_LONG:
+            return self.values[rows] @ query
+        return self.values[rows].astype(object) @ query.astype(object)
 
 
 def top_k(
@@ -144,12 +156,16 @@ def top_k(
 
     A component x counts as ``floor(scale * x)``. Queries are the rows whose id
     is divisible by ``query_step``. All rows are indexed, in blocks of about
-    ``block_rows`` dealt by the hash of the id; every block meets every query.
+    ``block_rows`` dealt by the hash of id and vector; every block meets every query.
 
     Rows with a null id, a null or empty vector, or a component that is null or
     not finite take no part. Vectors are compared with those of their own length.
-    Of rows with the same id the smallest vector counts. A component beyond
-    ``MAX_COMPONENT`` after scaling is an error.
+
+    Rows may share an id: each is a candidate, and where it is a query, the best
+    ``k`` are those of all pairs of a row with that id and a row with another. Of
+    equal rows, which are counted first, ``k`` copies are enough to fill any answer. A
+    component that is beyond a long after scaling counts as the nearest long. Rows are
+    ranked by their exact scores; one that is beyond a long is shown as the nearest long.
     """
     x = F.col("v")
     rows = vectors.select(
@@ -158,8 +174,10 @@ def top_k(
     finite = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
     rows = rows.where(F.col("id").isNotNull() & (F.size(x) > 0) & finite)
     rows = rows.select("id", F.transform("v", lambda c: F.floor(F.lit(float(scale)) * c)).alias("v"))
-    n_blocks = max(1, -(-rows.count() // block_rows))
-    block = F.pmod(F.xxhash64("id"), F.lit(n_blocks)).cast("int")
+    rows = rows.groupBy("id", "v").agg(F.least(F.count("*"), F.lit(k)).alias("copies"))
+    rows = rows.select("id", "v", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+    n_blocks = max(1, -(-vectors.count() // block_rows))
+    block = F.pmod(F.xxhash64("id", "v"), F.lit(n_blocks)).cast("int")
     dealt = rows.select(block.alias("block"), "id", "v").repartitionById(n_blocks, F.col("block"))
     dealt = dealt.sortWithinPartitions("block", F.size("v"), "id", "v")
     packed = dealt.mapInArrow(
@@ -170,8 +188,8 @@ def top_k(
     blocks = packed.where("kind = 0")
     asked = packed.where("kind = 1").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
     met = blocks.unionByName(asked).repartitionById(n_blocks, F.col("block")).sortWithinPartitions("block", "dim", "kind")
-    found = met.mapInArrow(_searcher(k), "query_id bigint, vec_id bigint, score bigint")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = met.mapInArrow(_searcher(k), "query_id bigint, vec_id bigint, score bigint, beyond binary")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc("beyond"), "vec_id")
     ranked = found.select("query_id", F.row_number().over(order).alias("rank"), "vec_id", "score")
     return ranked.where(F.col("rank") <= k)
 
@@ -184,8 +202,6 @@ def _packer(query_step: int):
         def rows() -> Iterator[pa.RecordBatch]:
             ids = np.concatenate(held[last][0])
             values = np.concatenate(held[last][1])
-            keep = np.concatenate([[True], ids[1:] != ids[:-1]])
-            ids, values = ids[keep], values[keep]
             yield _packed_row(last, 0, ids, values)
             asked = ids % query_step == 0
             ids, values = ids[asked], values[asked]
@@ -198,8 +214,6 @@ def _packer(query_step: int):
             vectors = column(batch, "v")
             size = pa.compute.list_value_length(vectors).to_numpy()
             flat = vectors.flatten().to_numpy()
-            if len(flat) and max(abs(int(flat.min())), abs(int(flat.max()))) > MAX_COMPONENT:
-                raise ValueError(f"a component is beyond {MAX_COMPONENT} after scaling")
             offsets = np.concatenate([[0], np.cumsum(size)])
             cuts = np.flatnonzero((np.diff(block) != 0) | (np.diff(size) != 0)) + 1
             for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(ids)]):
@@ -212,13 +226,19 @@ def _packer(query_step: int):
                 last = key
                 own = held.setdefault(key, ([], []))
                 own[0].append(ids[start:end].copy())
-                own[1].append(flat[offsets[start] : offsets[end]].reshape(-1, key[1]).astype(np.int32))
+                own[1].append(_narrow(flat[offsets[start] : offsets[end]].reshape(-1, key[1])))
         if last is not None:
             yield from rows()
 
     return pack
 
 
+def _narrow(values: np.ndarray) -> np.ndarray:
+    """A copy with 32 bits a number if all fit."""
+    fits = not values.size or (values.min() >= -(2**31) and values.max() < 2**31)
+    return values.astype(np.int32 if fits else np.int64)
+
+
 def _packed_row(key: tuple[int, int], kind: int, ids: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
     return pa.record_batch(
         [
@@ -226,7 +246,7 @@ def _packed_row(key: tuple[int, int], kind: int, ids: np.ndarray, values: np.nda
             pa.array([kind], pa.int32()),
             pa.array([key[1]], pa.int32()),
             pa.array([ids.astype(np.int64).tobytes()], pa.binary()),
-            pa.array([values.astype(np.int32).tobytes()], pa.binary()),
+            pa.array([values.tobytes()], pa.binary()),
         ],
         names=["block", "kind", "dim", "ids", "vals"],
     )
@@ -238,23 +258,39 @@ def _searcher(k: int):
         for batch in batches:
             for row in batch.to_pylist():
                 ids = np.frombuffer(row["ids"], np.int64)
-                values = np.frombuffer(row["vals"], np.int32).reshape(-1, row["dim"])
+                width = len(row["vals"]) // (len(ids) * row["dim"])
+                values = np.frombuffer(row["vals"], f"<i{width}").reshape(-1, row["dim"])
                 if row["kind"] == 0:
                     key, index = (row["block"], row["dim"]), SlicedBlock(ids, values)
                 elif key == (row["block"], row["dim"]):
                     found = [(query, *index.top(query, q, k)) for query, q in zip(ids.tolist(), values.astype(np.int64))]
+                    shown, beyond = _as_longs(np.concatenate([scores for _, _, scores in found]))
                     yield pa.record_batch(
                         [
                             pa.array(np.concatenate([np.full(len(near), query) for query, near, _ in found])),
                             pa.array(np.concatenate([near for _, near, _ in found])),
-                            pa.array(np.concatenate([scores for _, _, scores in found])),
+                            shown,
+                            beyond,
                         ],
-                        names=["query_id", "vec_id", "score"],
+                        names=["query_id", "vec_id", "score", "beyond"],
                     )
 
     return search
 
 
+def _as_longs(scores: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Scores as longs and, for those at or beyond the ends of the range, bytes that order them."""
+    if scores.dtype != object:
+        return pa.array(scores), pa.nulls(len(scores), pa.binary())
+    every = scores.tolist()
+    shown = [min(max(score, _LEAST_LONG), _GREATEST_LONG) for score in every]
+    beyond = [
+        (score + 2**191).to_bytes(24, "big") if long in (_LEAST_LONG, _GREATEST_LONG) else None
+        for score, long in zip(every, shown)
+    ]
+    return pa.array(shown, pa.int64()), pa.array(beyond, pa.binary())
+
+
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten best rows of ``embeddings`` for every hundredth row."""
     return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id", "embedding")
