@@ -35,8 +35,9 @@ MODEL = "piece_bpe_32k.model"
 SEED = 11
 #: Weight of a piece: (rank + RANK_SHIFT) ** -SHARPNESS.
 SHARPNESS, RANK_SHIFT = 2.0, 10.0
-#: A longer run without a space is cut, so that its lattice stays small.
-LONGEST_WORD = 4096
+#: The lattice of a longer run without a space is held a stretch of this many characters
+#: at a time. What is drawn does not depend on it.
+STRETCH = 8192
 #: Words up to this length, of characters with a piece, are filtered all at once.
 SHORT_WORD = 24
 _SPACE = "▁"
@@ -273,6 +274,57 @@ def sample_back(lattices: Lattices, ends: np.ndarray, keys: np.ndarray) -> tuple
     return pieces, counts
 
 
+def sample_long(word: str, key: np.uint64, vocab: Vocabulary) -> np.ndarray:
+    """What :func:`sample_back` draws for a word, in the memory of one stretch: the filter
+    keeps the sums before each stretch, and from the last stretch on filters it again."""
+    cuts = [*range(0, len(word), STRETCH), len(word)]
+    sums = [[1.0]]
+    for low, high in zip(cuts, cuts[1:]):
+        sums.append(_filter_stretch(word, low, high, sums[-1], vocab)[0])
+    drawn: list[int] = []
+    at, keys = len(word), np.array([key], np.uint64)
+    for i in range(len(cuts) - 2, -1, -1):
+        low = cuts[i]
+        ways_to = _filter_stretch(word, low, cuts[i + 1], sums[i], vocab)[1] if at > low else []
+        while at > low:
+            ways, so_far = ways_to[at - low - 1], 0.0
+            total, draw = sum(weight for weight, _, _ in ways), _random(keys, len(drawn) + 1)[0]
+            for weight, piece, start in ways:
+                so_far += weight
+                if so_far / total > draw:
+                    break
+            drawn.extend([piece] if piece >= 0 else reversed(_bytes_of(word[start], vocab)))
+            at = start
+    return np.array(drawn[::-1], np.int32)
+
+
+def _filter_stretch(word: str, low: int, high: int, sums: list[float], vocab: Vocabulary) -> tuple[list[float], list]:
+    """From the sums of all ways to the last places up to ``low``: those up to ``high``, and for
+    each place between the ways to it, as weight, piece (-1: the bytes) and where it begins."""
+    sums, first = list(sums), low - len(sums) + 1
+    longest, get, ids = vocab.longest, vocab.weights.get, vocab.ids
+    ways_to = []
+    for end in range(low + 1, high + 1):
+        ways = []
+        for start in range(max(0, end - longest), end):
+            weight = get(word[start:end])
+            if weight is not None:
+                ways.append((sums[start - first] * weight, ids[word[start:end]], start))
+        if get(word[end - 1]) is None:
+            ways.append((sums[end - 1 - first] * vocab.rarest, -1, end - 1))
+        ways_to.append(ways)
+        sums.append(sum(weight for weight, _, _ in ways))
+        if sums[-1] < 1e-200:
+            for place in range(max(0, len(sums) - longest - 1), len(sums)):
+                sums[place] *= 1e200
+    return sums[-longest:], ways_to
+
+
+def _bytes_of(char: str, vocab: Vocabulary) -> list[int]:
+    encoded = (_SPACE if char == _LITERAL else char).encode()
+    return [vocab.byte_ids[value] for value in encoded]
+
+
 def row_key(seed: int, doc_id: int | None, text: str) -> int:
     """A number for each row; the text takes part only if there is no id."""
     name = f"{seed}:{doc_id}" if doc_id is not None else f"{seed}::{text}"
@@ -283,10 +335,7 @@ def words_of(text: str) -> list[str]:
     """The words of a text with spaces as U+2581, one in front; joined they give it back."""
     if _SPACE in text:
         text = text.replace(_SPACE, _LITERAL)
-    found = _WORD.findall(_SPACE + text.replace(" ", _SPACE))
-    if max(map(len, found)) > LONGEST_WORD:
-        found = [word[i : i + LONGEST_WORD] for word in found for i in range(0, len(word), LONGEST_WORD)]
-    return found
+    return _WORD.findall(_SPACE + text.replace(" ", _SPACE))
 
 
 class Sampler:
@@ -310,11 +359,26 @@ class Sampler:
         starts = np.cumsum(sizes) - sizes
         place = (np.arange(len(tokens)) - np.repeat(starts, sizes)).astype(np.uint64)
         token_keys = np.repeat(keys, sizes) + place * np.uint64(0xD1342543DE82EF95)
-        lattices = filtered(distinct, self.vocab)
-        pieces, counts = sample_back(lattices, lattices.ends[tokens], token_keys)
+        pieces, counts = self._drawn(distinct, tokens, token_keys)
         pieces_to = np.concatenate([[0], np.cumsum(counts)])
         return pieces, pieces_to[np.cumsum(sizes)]
 
+    def _drawn(self, distinct: list[str], tokens: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pieces of all tokens, which are numbers of words, and how many each has."""
+        long_words = {i: word for i, word in enumerate(distinct) if len(word) > STRETCH}
+        lattices = filtered(["" if i in long_words else word for i, word in enumerate(distinct)], self.vocab)
+        is_long = np.isin(tokens, list(long_words))
+        pieces, counts = sample_back(lattices, lattices.ends[tokens[~is_long]], keys[~is_long])
+        if not long_words:
+            return pieces, counts
+        drawn = [sample_long(long_words[word], key, self.vocab) for word, key in zip(tokens[is_long].tolist(), keys[is_long])]
+        all_counts = np.empty(len(tokens), np.int64)
+        all_counts[~is_long], all_counts[is_long] = counts, list(map(len, drawn))
+        from_long = np.repeat(is_long, all_counts)
+        all_pieces = np.empty(len(from_long), np.int32)
+        all_pieces[~from_long], all_pieces[from_long] = pieces, np.concatenate(drawn)
+        return all_pieces, all_counts
+
 
 def decode(pieces: list[int], vocab: Vocabulary) -> bytes:
     """The text of a segmentation, as UTF-8; no pieces are the empty text."""

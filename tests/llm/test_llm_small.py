@@ -455,6 +455,21 @@ def test_sampled_pieces_of_any_text():
         assert sampling.decode(pieces[start:end].tolist(), sampler.vocab).decode() == text
 
 
+def test_long_runs_are_drawn_as_whole_words(monkeypatch):
+    sampler = sampling.Sampler(tokenizer_path(sampling.MODEL))
+    rng = random.Random(17)
+    run = "".join(rng.choice(["the", "data", "e", "ing", "x", "日本", "\U0001f600", "é", "\x07"]) for _ in range(4000))
+    texts = [run, "a " + run[:3000] + " b", run, "plain words only", "", None]
+    drawn = {}
+    for stretch in (10**9, 1000, 37):
+        monkeypatch.setattr(sampling, "STRETCH", stretch)
+        drawn[stretch] = [part.tolist() for part in sampler.encode(list(range(len(texts))), texts)]
+    assert drawn[10**9] == drawn[1000] == drawn[37]
+    pieces, ends = drawn[37]
+    assert sampling.decode(pieces[: ends[0]], sampler.vocab).decode() == run
+    assert len({tuple(pieces[: ends[0]]), tuple(pieces[ends[1] : ends[2]])}) == 2
+
+
 def test_samples_follow_the_exact_distribution():
     sampler = sampling.Sampler(tokenizer_path(sampling.MODEL))
     vocab = sampler.vocab
@@ -580,11 +595,34 @@ def test_top_k_odd_rows(spark):
             (6, [1.0, 0.0]), (7, [-1.0, 0.0]), (6, [0.5, 0.0]), (100, [0.0, 0.0])]
     docs = spark.createDataFrame(data, "vec_id bigint, embedding array<double>").withColumn("block", F.lit(1))
     found = sorted(rows(topk.top_k(docs, "vec_id", "embedding")))
-    assert found[:3] == [(0, 1, 6, 524288), (0, 2, 100, 0), (0, 3, 7, -1048576)]
-    assert [r[2] for r in found[3:]] == [0, 6, 7]
+    assert found[:4] == [(0, 1, 6, 1048576), (0, 2, 6, 524288), (0, 3, 100, 0), (0, 4, 7, -1048576)]
+    assert [r[2] for r in found[4:]] == [0, 6, 6, 7]
     assert rows(topk.top_k(docs.limit(0), "vec_id", "embedding")) == []
-    with pytest.raises(Exception, match="beyond"):
-        topk.top_k(spark.createDataFrame([(0, [1e9])], "vec_id bigint, embedding array<double>"), "vec_id", "embedding").collect()
+
+
+def best_pairs(data, k, step):
+    """By definition: the best pairs of rows with a query's id and rows with another."""
+    scaled = [(i, [math.floor(1024.0 * x) for x in v]) for i, v in data]
+    found = []
+    for query in {i for i, _ in scaled if i % step == 0}:
+        pairs = [
+            (-sum(a * b for a, b in zip(v, w)), j)
+            for i, v in scaled if i == query for j, w in scaled if j != query
+        ]
+        found += [(query, rank, j, min(max(-score, -(2**63)), 2**63 - 1)) for rank, (score, j) in enumerate(sorted(pairs)[:k], 1)]
+    return sorted(found)
+
+
+def test_top_k_repeated_ids_and_large_components(spark):
+    rng = random.Random(15)
+    # A third of the rows has one id, some of them equal; a few components are large.
+    data = [(0 if i % 3 == 0 else i, [float(rng.randint(-3, 3)) for _ in range(3)]) for i in range(90)]
+    data += [(0, [2.0, 1.0, 0.0])] * 15 + [(7, [2.0, 1.0, 0.0])] * 15
+    data += [(200, [20000.0, -20000.0, 1.5]), (201, [30000.0, 5.0, 2.0**40]), (100, [-(2.0**50), 2.0**30, 1.0]), (50, [2.0**45, 0.0, 1.0])]
+    table = spark.createDataFrame(data, "vec_id bigint, embedding array<double>")
+    for block_rows in (1000, 20):
+        found = sorted(rows(topk.top_k(table, "vec_id", "embedding", k=10, query_step=50, block_rows=block_rows)))
+        assert found == best_pairs(data, 10, 50)
 
 
 def test_bit_sliced_sums_are_exact():
