@@ -1,6 +1,7 @@
 """Fielded full-text indexing and ranked retrieval as Spark jobs."""
 
 from termloom.functions.analyzer import analyzed_terms, chunk_count
+from termloom.functions.analyzers import Analyzer, word_parts
 from termloom.functions.bm25f import FieldParams, field_params
 from termloom.operators.bounded import search_batch_bounded
 from termloom.operators.bounds import Bounds, load_bounds, save_bounds, score_bounds
@@ -53,6 +54,7 @@ from termloom.sources.generations import append_index, compact_index, index_part
 from termloom.sources.store import load_index, save_index
 
 __all__ = [
+    "Analyzer",
     "Bounds",
     "Corpus",
     "DirichletLikelihood",
@@ -111,4 +113,5 @@ __all__ = [
     "tokenize",
     "top_k",
     "vocabulary",
+    "word_parts",
 ]

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from termloom.functions.analyzers import WORDS, Analyzer
 from termloom.operators.tokens import count_within_rows, text_lengths, tokenize
 from termloom.sources.corpus import Corpus
 
@@ -28,7 +29,8 @@ class Index:
     A loaded index has ``shards``: postings then also have the column
     ``shard``, see :func:`termloom.sources.store.shard_of`. It also knows its
     ``fields``. One that was built from texts has their ``text_bytes``, in one row,
-    which tell its size without an analysis.
+    which tell its size without an analysis. ``analyzer`` is the label of the analyzer
+    that the terms come from.
     """
 
     postings: DataFrame
@@ -39,6 +41,7 @@ class Index:
     shards: int | None = None
     fields: tuple[str, ...] | None = None
     text_bytes: DataFrame | None = None
+    analyzer: str = WORDS.label
 
 
 # --- single aggregations ----------------------------------------------------
@@ -78,7 +81,7 @@ def vocabulary(postings: DataFrame) -> DataFrame:
 # --- build ------------------------------------------------------------------
 
 
-def build_index(corpus: Corpus, duplicates: str = "merge") -> Index:
+def build_index(corpus: Corpus, duplicates: str = "merge", analyzer: Analyzer = WORDS) -> Index:
     """The index of a corpus.
 
     Terms are counted within each row. Where a docid has one row for a field,
@@ -89,7 +92,7 @@ def build_index(corpus: Corpus, duplicates: str = "merge") -> Index:
     """
     if duplicates not in ("merge", "error"):
         raise ValueError(f"duplicates must be 'merge' or 'error', got {duplicates!r}")
-    entries, lengths = count_within_rows(corpus.texts), text_lengths(corpus.texts)
+    entries, lengths = count_within_rows(corpus.texts, analyzer), text_lengths(corpus.texts, analyzer)
     entries = entries.select("field", "term", "docid", "tf", "len")
     if duplicates == "error":
         _refuse(corpus.keys)
@@ -102,6 +105,7 @@ def build_index(corpus: Corpus, duplicates: str = "merge") -> Index:
         corpus_statistics(corpus.records),
         entries,
         text_bytes=corpus.texts.agg(F.sum(F.octet_length("text")).alias("text_bytes")),
+        analyzer=analyzer.label,
     )
 
 
@@ -110,8 +114,10 @@ def merge_indexes(a: Index, b: Index, duplicates: str = "merge") -> Index:
 
     Counts and lengths of a docid that both have are added up, or refused
     with ``duplicates="error"``. Parts without a docid in common pass through as
-    they are.
+    they are. Both need the same analyzer.
     """
+    if a.analyzer != b.analyzer:
+        raise ValueError(f"the indexes have different analyzers, {a.analyzer} and {b.analyzer}")
     lengths = a.lengths.unionByName(b.lengths)
     postings = _plain_postings(a.postings).unionByName(_plain_postings(b.postings))
     entries = _entries(postings, lengths)
@@ -127,6 +133,7 @@ def merge_indexes(a: Index, b: Index, duplicates: str = "merge") -> Index:
         field_statistics(lengths),
         n_docs.agg(F.sum("n_docs").alias("n_docs")),
         entries,
+        analyzer=a.analyzer,
     )
 
 

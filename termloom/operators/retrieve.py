@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from termloom.functions.analyzer import analyzed_terms
+from termloom.functions.analyzers import WORDS, Analyzer
 from termloom.functions.bm25f import (
     FieldParams,
     check_length_norm,
@@ -42,13 +42,15 @@ class QueryTerms:
     ``few_rows`` and ``few_terms`` say that the rows, or their distinct terms,
     were measured and may be broadcast. Otherwise they are joined by shuffles.
     ``terms`` lists the distinct terms of a query that was given as a list; they
-    become a filter of the scan. Those of a table of queries are joined.
+    become a filter of the scan. Those of a table of queries are joined. ``analyzer`` is
+    the label of the analyzer of query texts; tokens that were given have none.
     """
 
     rows: DataFrame
     few_rows: bool
     few_terms: bool
     terms: tuple[str, ...] | None = None
+    analyzer: str | None = None
 
     def per_row(self, df: DataFrame) -> DataFrame:
         """``df``, with at most one row per row of this table, ready to join."""
@@ -59,7 +61,7 @@ class QueryTerms:
         return F.broadcast(df) if self.few_terms else df
 
 
-def query_terms(queries: DataFrame) -> QueryTerms:
+def query_terms(queries: DataFrame, analyzer: Analyzer | None = None) -> QueryTerms:
     """The bags of ``queries(query_id, term)``, where a repeated term counts.
 
     A row without a term asks for nothing.
@@ -82,15 +84,19 @@ def query_terms(queries: DataFrame) -> QueryTerms:
         .first()
     )
     few_terms = _may_broadcast(size["terms"], size["term_bytes"])
-    return QueryTerms(rows, _may_broadcast(size["rows"], size["row_bytes"]), few_terms)
+    few_rows = _may_broadcast(size["rows"], size["row_bytes"])
+    return QueryTerms(rows, few_rows, few_terms, analyzer=analyzer.label if analyzer else None)
 
 
-def query_terms_from_texts(queries: DataFrame, query_id: str, text: str) -> QueryTerms:
-    """The bags of query texts, analysed the way documents are."""
+def query_terms_from_texts(
+    queries: DataFrame, query_id: str, text: str, analyzer: Analyzer = WORDS
+) -> QueryTerms:
+    """The bags of query texts. The index must have the same analyzer."""
     texts = queries.select(
         F.col(query_id).alias("docid"), F.lit("").alias("field"), F.col(text).alias("text")
     )
-    return query_terms(tokenize(texts).select(F.col("docid").alias("query_id"), "term"))
+    tokens = tokenize(texts, analyzer)
+    return query_terms(tokens.select(F.col("docid").alias("query_id"), "term"), analyzer)
 
 
 def query_terms_from_tokens(index: Index, tokens: Iterable[str]) -> QueryTerms:
@@ -115,8 +121,11 @@ def _may_broadcast(rows: int, n_bytes: int) -> bool:
 def lookup(index: Index, query: QueryTerms, fields: Iterable[str]) -> DataFrame:
     """``matches(field, term, docid, tf, len)``: exact matches in the fields.
 
-    A field that an opened index does not have is an error.
+    A field that an opened index does not have is an error, and so are query texts of
+    another analyzer than the index has.
     """
+    if query.analyzer not in (None, index.analyzer):
+        raise ValueError(f"the index was built with the analyzer {index.analyzer}, not {query.analyzer}")
     unknown = sorted(set(fields) - set(index.fields)) if index.fields is not None else []
     if unknown:
         raise ValueError(f"the index has no fields {unknown}, only {sorted(index.fields)}")
@@ -316,11 +325,17 @@ def search(
 
 
 def search_text(
-    index: Index, text: str, params: Mapping[str, FieldParams], **options: object
+    index: Index,
+    text: str,
+    params: Mapping[str, FieldParams],
+    analyzer: Analyzer = WORDS,
+    **options: object,
 ) -> DataFrame:
-    """:func:`search` for a query text, analysed the way documents are."""
+    """:func:`search` for a query text. The index must have the same analyzer."""
+    if analyzer.label != index.analyzer:
+        raise ValueError(f"the index was built with the analyzer {index.analyzer}, not {analyzer.label}")
     one_row = index.postings.sparkSession.range(1)
-    tokens = one_row.select(analyzed_terms(F.lit(text)).alias("terms")).first()["terms"]
+    tokens = one_row.select(analyzer.terms(F.lit(text)).alias("terms")).first()["terms"]
     return search(index, tokens, params, **options)
 
 

@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions.analyzer import (
-    analyzed_terms,
     chunk_count,
     has_chunk,
     terms_of_nonblank,
 )
+from termloom.functions.analyzers import WORDS, Analyzer
 
 
 def analyze(texts: DataFrame) -> DataFrame:
@@ -23,18 +23,21 @@ def analyze(texts: DataFrame) -> DataFrame:
     )
 
 
-def tokenize(texts: DataFrame) -> DataFrame:
-    """``tokens(docid, field, term)``: one row per chunk, empty terms included."""
+def tokenize(texts: DataFrame, analyzer: Analyzer = WORDS) -> DataFrame:
+    """``tokens(docid, field, term)``: one row per term, empty terms included."""
+    if analyzer != WORDS:
+        analyzed = texts.select("docid", "field", analyzer.terms(F.col("text")).alias("terms"))
+        return analyzed.select("docid", "field", _each_term()).where(F.col("term").isNotNull())
     return analyze(texts).select("docid", "field", _each_term())
 
 
-def count_within_rows(texts: DataFrame) -> DataFrame:
+def count_within_rows(texts: DataFrame, analyzer: Analyzer = WORDS) -> DataFrame:
     """``(docid, field, len, term, tf)``: the terms of each text with their counts
     and, before them, one row without a term, which an empty text has as well.
     ``len`` is the length of the text. Nothing is shuffled: equal terms lie next
     to each other in the sorted list, and a count is the distance of two starts.
     """
-    analyzed = texts.select("docid", "field", analyzed_terms(F.col("text")).alias("terms"))
+    analyzed = texts.select("docid", "field", analyzer.terms(F.col("text")).alias("terms"))
     ordered = analyzed.select("docid", "field", F.array_sort("terms").alias("terms"), F.size("terms").alias("n"))
     place = F.sequence(F.lit(1), F.col("n"))
     terms = F.col("terms")
@@ -61,6 +64,9 @@ def _each_term() -> Column:
     return F.explode_outer("terms").alias("term")
 
 
-def text_lengths(texts: DataFrame) -> DataFrame:
+def text_lengths(texts: DataFrame, analyzer: Analyzer = WORDS) -> DataFrame:
     """``(field, docid, len)`` for each row of ``texts``; an empty text has 0."""
+    if analyzer != WORDS:
+        n_terms = F.size(analyzer.terms(F.col("text"))).cast("bigint")
+        return texts.select("field", "docid", n_terms.alias("len"))
     return texts.select("field", "docid", chunk_count(F.col("text")).alias("len"))

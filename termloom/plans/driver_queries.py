@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termloom.functions.analyzers import word_parts
 from termloom.operators.bounded import search_batch_bounded
 from termloom.operators.bounds import load_bounds, save_bounds, score_bounds
 from termloom.operators.build import (
@@ -491,6 +492,28 @@ def search_dirichlet_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _conversations_by(spark, sf_dir, DIRICHLET)
 
 
+# --- another analyzer ---------------------------------------------------------------
+
+# Words that the analyzer leaves out.
+STOP_WORDS = ["a", "and", "of", "the", "to"]
+PARTS_OF_WORDS = word_parts(STOP_WORDS, plurals=True)
+
+
+def analyzer_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses and markup by runs of letters and digits."""
+    index = build_index(pages_corpus(spark, sf_dir), analyzer=PARTS_OF_WORDS)
+    return index.postings.select("field", "term", "docid", "tf", "len")
+
+
+def search_analyzer_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch search with documents and queries by the same other analyzer, saved."""
+    path = scratch_path(spark, "index")
+    save_index(build_index(documents_corpus(spark, sf_dir), analyzer=PARTS_OF_WORDS), path, shards=4)
+    items = read_table(spark, sf_dir, "benchmark", ["item_id", "text"])
+    query = query_terms_from_texts(items, "item_id", "text", PARTS_OF_WORDS)
+    return search_batch(load_index(spark, path), query, DOCUMENT_PARAMS, k=5, decimals=DECIMALS)
+
+
 # --- near and matching terms ----------------------------------------------------
 
 # Terms with misspellings, and patterns.
@@ -581,6 +604,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_textbook_fields": search_textbook_fields,
     "search_dirichlet_topk": search_dirichlet_topk,
     "search_dirichlet_fields": search_dirichlet_fields,
+    "analyzer_postings": analyzer_postings,
+    "search_analyzer_topk": search_analyzer_topk,
     "near_terms": near_terms_of_items,
     "search_fuzzy": search_fuzzy,
     "matching_terms": matching_terms_of_items,

@@ -14,6 +14,7 @@ from termloom.plans.driver_queries import (
     MULTI_TERM,
     PATTERNS,
     PHRASE,
+    STOP_WORDS,
     TEXTBOOK,
     TOP_K_TERMS,
 )
@@ -238,6 +239,39 @@ def _by_model(
     return _with([corpus, INDEX, parameters_sql(params), query, BAGS, hits], select)
 
 
+# The other analyzer: its terms, in place of those of the default one.
+RUNS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')"
+SINGULAR = """CASE
+  WHEN regexp_matches(run, '(^|[^ea])ies$') THEN left(run, length(run) - 3) || 'y'
+  WHEN run LIKE '%es' AND run NOT LIKE '%ies' AND regexp_matches(run, '(^|[^aeo])es$') THEN left(run, length(run) - 1)
+  WHEN run NOT LIKE '%es' AND regexp_matches(run, '[^us]s$') THEN left(run, length(run) - 1)
+  ELSE run END"""
+STOPS = ", ".join(f"'{word}'" for word in STOP_WORDS)
+
+
+def _parts(source: str) -> str:
+    return f"SELECT * FROM (SELECT * EXCLUDE (run), {SINGULAR} AS term FROM ({source})) WHERE term NOT IN ({STOPS})"
+
+
+PARTS_INDEX = f"""tokens AS ({_parts(f'SELECT docid, field, unnest({RUNS}) AS run FROM texts')}),
+lengths AS (
+  SELECT field, docid, CAST(count(t.term) AS BIGINT) AS len
+  FROM texts LEFT JOIN tokens t USING (field, docid) GROUP BY field, docid),
+field_stats AS (
+  SELECT field, CAST(count(*) AS BIGINT) AS n_field_docs,
+         CAST(sum(len) AS BIGINT) AS total_len, avg(len) AS avg_len
+  FROM lengths GROUP BY field),
+postings AS (
+  SELECT t.field, t.term, t.docid, t.tf, l.len
+  FROM (SELECT field, term, docid, CAST(count(*) AS BIGINT) AS tf
+        FROM tokens GROUP BY field, term, docid) t
+  JOIN lengths l ON l.field = t.field AND l.docid = t.docid)"""
+
+PARTS_BENCHMARK = f"""query_terms AS (
+  SELECT query_id, term, count(*) AS qtf
+  FROM ({_parts(f'SELECT item_id AS query_id, unnest({RUNS}) AS run FROM benchmark')})
+  GROUP BY query_id, term)"""
+
 ACCEPTED = "(doc_id % 10) >= 5"
 
 SQL: dict[str, str] = {
@@ -379,6 +413,19 @@ FROM benchmark WHERE abs(item_id) % 6 NOT IN (2, 3) AND text IS NOT NULL""",
         DIRICHLET_TERM,
         DIRICHLET_DOCUMENT,
     ),
+    "analyzer_postings": _with([PAGES, PARTS_INDEX], "SELECT field, term, docid, tf, len FROM postings"),
+    "search_analyzer_topk": _with(
+        [
+            DOCUMENTS,
+            PARTS_INDEX,
+            parameters_sql(DOCUMENT_PARAMS),
+            PARTS_BENCHMARK,
+            MATCHES,
+            _field_scores(),
+            HITS,
+        ],
+        BEST_OF_EACH,
+    ),
     "near_terms": _with(
         [DOCUMENTS, INDEX, VOCABULARY_TERMS, BENCHMARK_TERMS, _near("(SELECT term AS asked FROM benchmark_terms)", 1)],
         "SELECT asked, term, distance FROM near_terms",

@@ -20,6 +20,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termloom.functions.analyzers import WORDS
 from termloom.operators.build import Index, add_up, field_statistics
 from termloom.sources.store import (
     ENTRIES_SCHEMA,
@@ -29,7 +30,8 @@ from termloom.sources.store import (
     write_entries,
 )
 
-PARTS_SCHEMA = "part string, n_docs bigint, shards int, shares_docids boolean, removed boolean"
+PARTS_SCHEMA = "part string, n_docs bigint, shards int, shares_docids boolean, analyzer string, removed boolean"
+KEPT_COLUMNS = ("part", "n_docs", "shards", "shares_docids", "analyzer")
 DUPLICATES = ("merge", "error", "none")
 
 
@@ -56,6 +58,9 @@ def append_index(
     before = [] if first else index_parts(spark, path)
     if shards is None:
         shards = before[0]["shards"] if before else suggested_shards(index)
+    different = {row["analyzer"] for row in before} - {index.analyzer}
+    if different:
+        raise ValueError(f"the index was built with the analyzer {different.pop()}, not {index.analyzer}")
     name = _write_part(index, path, shards)
     shares = False
     if before and duplicates != "none":
@@ -67,7 +72,7 @@ def append_index(
             raise ValueError(f"the index has docids of the new part already, such as {some}")
         shares = bool(some)
     n_docs = index.corpus_stats.first()["n_docs"]
-    _commit(spark, path, [(name, n_docs, shards, shares, False)])
+    _commit(spark, path, [(name, n_docs, shards, shares, index.analyzer, False)])
     return name
 
 
@@ -87,9 +92,9 @@ def compact_index(spark: SparkSession, path: str, shards: int | None = None) ->
     shards = shards if shards is not None else suggested_shards(index)
     name = _write_part(index, path, shards)
     n_docs = sum(row["n_docs"] for row in parts)
-    gone = [(row["part"], row["n_docs"], row["shards"], row["shares_docids"], True) for row in parts]
+    gone = [(*(row[column] for column in KEPT_COLUMNS), True) for row in parts]
     # Later parts that share docids with these bear the mark themselves.
-    _commit(spark, path, [(name, n_docs, shards, False, False), *gone])
+    _commit(spark, path, [(name, n_docs, shards, False, index.analyzer, False), *gone])
     return name
 
 
@@ -158,4 +163,5 @@ def _opened(spark: SparkSession, path: str, parts: list[dict], fields: list[str]
         entries=entries,
         shards=shards,
         fields=tuple(known) or None,
+        analyzer=parts[0]["analyzer"] if parts else WORDS.label,
     )

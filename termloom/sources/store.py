@@ -11,11 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termloom.functions.analyzers import WORDS
 from termloom.operators.build import Index, field_statistics
 
 ENTRIES_SCHEMA = "term string, docid string, tf bigint, len bigint, field string, shard int"
 FIELD_STATS_SCHEMA = "field string, n_field_docs bigint, total_len bigint, avg_len double"
-CORPUS_STATS_SCHEMA = "n_docs bigint, shards int"
+CORPUS_STATS_SCHEMA = "n_docs bigint, shards int, analyzer string"
 
 TOKENS_PER_SHARD = 50_000_000
 BYTES_PER_TOKEN = 6
@@ -41,7 +42,7 @@ def save_index(index: Index, path: str, shards: int | None = None) -> None:
     lengths = _lengths(_read_entries(spark, path))
     field_statistics(lengths).coalesce(1).write.parquet(f"{path}/field_stats")
     index.corpus_stats.select(
-        "n_docs", F.lit(shards).cast("int").alias("shards")
+        "n_docs", F.lit(shards).cast("int").alias("shards"), F.lit(index.analyzer).alias("analyzer")
     ).coalesce(1).write.parquet(f"{path}/corpus_stats")
 
 
@@ -91,14 +92,17 @@ def load_index(spark: SparkSession, path: str, fields: list[str] | None = None)
         known = sorted(set(fields) & set(known))
         chosen = F.col("field").isin(list(fields))
         entries, field_stats = entries.where(chosen), field_stats.where(chosen)
+    saved = corpus_stats.first()
     return Index(
         postings=entries.where(F.col("shard") != LENGTHS_SHARD),
         lengths=_lengths(entries),
         field_stats=field_stats,
         corpus_stats=corpus_stats.select("n_docs"),
         entries=entries.drop("shard"),
-        shards=corpus_stats.first()["shards"],
+        shards=saved["shards"],
         fields=tuple(known) or None,
+        # Indexes from before there was a choice do not say.
+        analyzer=saved["analyzer"] or WORDS.label,
     )
 
 
