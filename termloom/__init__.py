@@ -14,6 +14,7 @@ from termloom.operators.models import (
     score_by_model,
     search_by_model,
 )
+from termloom.operators.ngrams import build_ngram_index, frequent_ngrams, ngram_postings
 from termloom.operators.phrases import (
     Positions,
     build_positions,
@@ -65,6 +66,7 @@ __all__ = [
     "analyzed_terms",
     "append_index",
     "build_index",
+    "build_ngram_index",
     "build_positions",
     "chunk_count",
     "compact_index",
@@ -73,6 +75,7 @@ __all__ = [
     "corpus_from_rows",
     "document_lengths",
     "field_params",
+    "frequent_ngrams",
     "fuzzy_terms",
     "index_parts",
     "load_bounds",
@@ -83,6 +86,7 @@ __all__ = [
     "matching_terms",
     "merge_indexes",
     "near_terms",
+    "ngram_postings",
     "parse_records",
     "pattern_terms",
     "phrase_matches",

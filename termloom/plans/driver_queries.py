@@ -30,6 +30,7 @@ from termloom.operators.expand import (
     vocabulary_terms,
 )
 from termloom.operators.models import DirichletLikelihood, TextbookBM25F, score_by_model, search_by_model
+from termloom.operators.ngrams import build_ngram_index, frequent_ngrams
 from termloom.operators.phrases import (
     build_positions,
     load_positions,
@@ -514,6 +515,30 @@ def search_analyzer_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search_batch(load_index(spark, path), query, DOCUMENT_PARAMS, k=5, decimals=DECIMALS)
 
 
+# --- n-grams ------------------------------------------------------------------------
+
+# Sizes and thresholds of the grams, and grams to search for.
+LONGEST_GRAM, LEAST_IN_DOCUMENTS, LEAST_IN_TURNS = 4, 5, 2
+GRAMS = ["the the of", "and the", "of the", "the"]
+
+
+def documents_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frequent_ngrams(documents_corpus(spark, sf_dir), LONGEST_GRAM, LEAST_IN_DOCUMENTS)
+
+
+def _ngrams_of_turns(spark: SparkSession, sf_dir: str):
+    return build_ngram_index(conversations_corpus(spark, sf_dir), LONGEST_GRAM, LEAST_IN_TURNS)
+
+
+def ngram_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three fields, and grams that never run from turn to turn."""
+    return _ngrams_of_turns(spark, sf_dir).postings
+
+
+def search_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(_ngrams_of_turns(spark, sf_dir), GRAMS, CONVERSATION_PARAMS, decimals=DECIMALS)
+
+
 # --- near and matching terms ----------------------------------------------------
 
 # Terms with misspellings, and patterns.
@@ -606,6 +631,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_dirichlet_fields": search_dirichlet_fields,
     "analyzer_postings": analyzer_postings,
     "search_analyzer_topk": search_analyzer_topk,
+    "frequent_ngrams": documents_ngrams,
+    "ngram_index": ngram_index,
+    "search_ngrams": search_ngrams,
     "near_terms": near_terms_of_items,
     "search_fuzzy": search_fuzzy,
     "matching_terms": matching_terms_of_items,

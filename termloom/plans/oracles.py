@@ -9,7 +9,11 @@ from termloom.plans.driver_queries import (
     CONVERSATION_SUBSET,
     DIRICHLET,
     FIELD_PHRASE,
+    GRAMS,
     LEADING_TERMS,
+    LEAST_IN_DOCUMENTS,
+    LEAST_IN_TURNS,
+    LONGEST_GRAM,
     MISSPELLED,
     MULTI_TERM,
     PATTERNS,
@@ -239,6 +243,26 @@ def _by_model(
     return _with([corpus, INDEX, parameters_sql(params), query, BAGS, hits], select)
 
 
+
+
+def _grams(least: int) -> str:
+    return f"""all_grams AS (
+  SELECT n, field, docid, array_to_string(terms[i:i + n - 1], ' ') AS term FROM (
+    SELECT n, field, docid, terms, unnest(range(1, len(terms) - n + 2)) AS i
+    FROM term_lists, (SELECT CAST(unnest(range(1, {LONGEST_GRAM + 1})) AS INTEGER) AS n))),
+frequent AS (
+  SELECT n, field, term, CAST(count(DISTINCT docid) AS BIGINT) AS df, CAST(count(*) AS BIGINT) AS cf
+  FROM all_grams GROUP BY n, field, term HAVING count(*) >= {least}),
+postings AS (
+  SELECT g.field, g.term, g.docid, g.tf, l.len
+  FROM (SELECT n, field, term, docid, CAST(count(*) AS BIGINT) AS tf
+        FROM all_grams GROUP BY n, field, term, docid) g
+  JOIN frequent f USING (n, field, term)
+  JOIN lengths l ON l.field = g.field AND l.docid = g.docid)"""
+
+
+LENGTH_TABLES = INDEX[: INDEX.index(",\npostings AS")]
+
 # The other analyzer: its terms, in place of those of the default one.
 RUNS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')"
 SINGULAR = """CASE
@@ -426,6 +450,26 @@ FROM benchmark WHERE abs(item_id) % 6 NOT IN (2, 3) AND text IS NOT NULL""",
         ],
         BEST_OF_EACH,
     ),
+    "frequent_ngrams": _with(
+        [DOCUMENTS, LENGTH_TABLES, LISTS, _grams(LEAST_IN_DOCUMENTS)], "SELECT n, field, term, df, cf FROM frequent"
+    ),
+    "ngram_index": _with(
+        [CONVERSATIONS, LENGTH_TABLES, LISTS, _grams(LEAST_IN_TURNS)], "SELECT field, term, docid, tf, len FROM postings"
+    ),
+    "search_ngrams": _with(
+        [
+            CONVERSATIONS,
+            LENGTH_TABLES,
+            LISTS,
+            _grams(LEAST_IN_TURNS),
+            parameters_sql(CONVERSATION_PARAMS),
+            _tokens(GRAMS),
+            MATCHES,
+            _field_scores(),
+            HITS,
+        ],
+        "SELECT docid, score FROM hits",
+    ),
     "near_terms": _with(
         [DOCUMENTS, INDEX, VOCABULARY_TERMS, BENCHMARK_TERMS, _near("(SELECT term AS asked FROM benchmark_terms)", 1)],
         "SELECT asked, term, distance FROM near_terms",
