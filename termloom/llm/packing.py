@@ -1,13 +1,13 @@
 """Packing documents into training sequences by a grouping genetic algorithm.
 
 A document becomes token ids plus one end id and is cut only if it is longer
-than a sequence. The pieces are scattered over blocks of bounded size. On each
+than a sequence. The pieces are dealt to blocks of bounded size, by length. On each
 block several islands evolve a population of packings: crossover injects whole
 well-filled sequences of one packing into another, drops the sequences that
 hold duplicates, and puts the displaced pieces back best fit, longest first.
 After every epoch the elite of an island moves to the next one. Pieces of
-sequences that are still not full are packed again across blocks, level by
-level, until one block holds them all.
+sequences that are still not full (of the least filled ones, if those are many)
+are packed again across blocks, level by level, until one block holds them all.
 """
 
 from __future__ import annotations
@@ -16,10 +16,11 @@ import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from termloom.llm.common import column, documents, ids_and_texts, one_thread, shared_table, slices, tokenizer_path, utf8
@@ -27,8 +28,9 @@ from termloom.llm.common import column, documents, ids_and_texts, one_thread, sh
 CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-#: Words whose ids a task remembers; the others are encoded when they come.
-REMEMBERED_WORDS = 1_000_000
+#: Words whose ids a Python worker remembers, from one task to the next; the
+#: others are encoded when they come.
+REMEMBERED_WORDS = 500_000
 
 BLOCK_PIECES = 4096
 ISLANDS, EPOCHS, GENERATIONS, POPULATION = 3, 3, 12, 6
@@ -68,10 +70,11 @@ class WordEncoder:
         later = list(extra)[room:]
         self.known.update(extra)
         get = self.known.__getitem__
-        found = [b"".join(map(get, words)) for words in split]
-        for word in later:
-            del self.known[word]
-        return found
+        try:
+            return [b"".join(map(get, words)) for words in split]
+        finally:
+            for word in later:
+                del self.known[word]
 
     def _encode_words(self, words: set[bytes]) -> dict[bytes, bytes]:
         # "word." is the ids of "word" and of "."
@@ -99,6 +102,12 @@ class WordEncoder:
         return {word: packed[4 * start : 4 * end] for word, start, end in zip(words, [0, *ends], ends)}
 
 
+@lru_cache(maxsize=1)
+def word_encoder(path: str) -> WordEncoder:
+    """One encoder for all tasks of a Python worker, which Spark uses again."""
+    return WordEncoder(path)
+
+
 def _is_letters(word: bytes) -> bool:
     """Whether lower-casing and composing leave one run of letters."""
     if word.isalpha():
@@ -115,7 +124,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
     """A row for each piece of each document; a null text is an empty one."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
+        encoder = word_encoder(tokenizer)
         end, width = _packed([END_ID]), 4 * capacity
         for batch in slices(batches, "text"):
             rows = []
@@ -264,10 +273,31 @@ _STATE = "block bigint, island int, kind int, payload binary, lengths binary"
 _BLOCK = "block bigint, n int, lengths binary, members binary"
 
 
+def _numbered(items: DataFrame, level: int) -> DataFrame:
+    """``items`` with ``rank``, the place in an order by length, equal ones at random.
+
+    The places of each sorted partition are counted from the sum of the counts of
+    those before; that table has a row for each partition.
+    """
+    mixed = items.withColumn("mixed", F.xxhash64("doc_id", "piece", F.monotonically_increasing_id(), F.lit(level)))
+    ordered = mixed.repartitionByRange("length", "mixed").sortWithinPartitions("length", "mixed").drop("mixed")
+    at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    table = shared_table(ordered.select("*", F.spark_partition_id().alias("part"), at.alias("at")), "pack-order")
+    counts = table.groupBy("part").agg(F.count("*").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    return table.join(F.broadcast(starts), "part").withColumn("rank", F.col("before") + F.col("at")).drop("part", "at", "before")
+
+
 def _blocks(items: DataFrame, n_blocks: int, level: int) -> DataFrame:
-    """One row a block: its pieces, longest first, as packed columns."""
-    block = F.pmod(F.xxhash64("doc_id", "piece", F.monotonically_increasing_id(), F.lit(level)), F.lit(n_blocks))
-    dealt = items.withColumn("block", block).repartitionById(n_blocks, F.col("block").cast("int"))
+    """One row a block: its pieces, longest first, as packed columns.
+
+    Pieces are dealt in the order of their lengths, so that short and long ones
+    have the same shares in every block and blocks differ by one piece at most.
+    """
+    numbered = items.withColumn("rank", F.lit(0)) if n_blocks == 1 else _numbered(items, level)
+    block = (F.col("rank") % n_blocks).cast("bigint")
+    dealt = numbered.withColumn("block", block).drop("rank").repartitionById(n_blocks, F.col("block").cast("int"))
     dealt = dealt.sortWithinPartitions("block", F.desc("length"), "doc_id", "piece", "start")
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -420,6 +450,9 @@ def pack(
     ``items`` is read several times and should be a table. A full piece is a
     sequence by itself. Every piece is placed, repeated rows too; sequences never
     hold more than ``capacity``. An empty table gives an empty result.
+
+    Each level takes at most half of the pieces of the one before, so there are
+    about as many levels as the number of blocks has binary digits.
     """
     full = items.where(F.col("length") >= capacity)
     done = full.select(
@@ -432,16 +465,28 @@ def pack(
     while n:
         n_blocks = -(-n // block_pieces)
         placed = _pack_level(rest, n_blocks, level, capacity, seed, islands, epochs)
-        settled = placed if n_blocks == 1 else placed.where(F.col("free") <= FREE_PLACES)
-        left = 0 if n_blocks == 1 else placed.where(F.col("free") > FREE_PLACES).count()
-        if left > n // 2 or level == 15:
-            # Little is gained by packing again what did not fit together.
-            settled, left = placed, 0
-        done = done.unionByName(settled.drop("free"))
-        rest, n, level = placed.where(F.col("free") > FREE_PLACES).drop("sequence_id", "offset", "free"), left, level + 1
+        free, left = (capacity, 0) if n_blocks == 1 else _to_settle(placed, n // 2)
+        done = done.unionByName(placed.where(F.col("free") <= free).drop("free"))
+        rest, n, level = placed.where(F.col("free") > free).drop("sequence_id", "offset", "free"), left, level + 1
     return done
 
 
+def _to_settle(placed: DataFrame, most: int) -> tuple[int, int]:
+    """How many free places a settled sequence may have, and how many pieces lie in others.
+
+    ``FREE_PLACES``, unless more than ``most`` pieces would go on: then only those
+    of the least filled sequences do, as many as ``most`` allows. The driver gets
+    one row for each number of free places.
+    """
+    counts = placed.groupBy("free").count().orderBy(F.desc("free")).collect()
+    left = 0
+    for row in counts:
+        if row["free"] <= FREE_PLACES or left + row["count"] > most:
+            return max(FREE_PLACES, row["free"]), left
+        left += row["count"]
+    return FREE_PLACES, left
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 4096 tokens."""
     return pack_documents(documents(spark, sf_dir))

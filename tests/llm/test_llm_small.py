@@ -552,6 +552,47 @@ def test_packing_many_pieces_needs_few_sequences(spark):
     assert len(fills) <= -(-sum(lengths) // 4096) + 1
 
 
+@pytest.mark.parametrize("kind", ["tens", "same", "empty", "third", "wide"])
+def test_packing_in_blocks_needs_no_more_sequences_than_best_fit_over_all(spark, kind):
+    rng = np.random.default_rng(12)
+    n = 20_000 if kind != "third" else 6_001
+    lengths = {
+        "tens": 10 * rng.integers(1, 120, n),
+        "same": np.full(n, 1400),
+        "empty": np.ones(n, np.int64),
+        "third": rng.choice([1366, 1400, 1300], n),
+        "wide": rng.integers(1, 4096, n),
+    }[kind]
+    lengths = np.sort(lengths)[::-1].tolist()
+    over_all = max(packing.best_fit(lengths, list(range(n)), [], 4096)) + 1
+    items = spark.createDataFrame([(i, 0, 0, size, 0) for i, size in enumerate(lengths)], packing.PIECE_SCHEMA)
+    found = packing.pack(items, block_pieces=4096 if n > 10_000 else 1000).select("doc_id", "sequence_id", "length").collect()
+    fills = Counter()
+    for r in found:
+        fills[r["sequence_id"]] += r["length"]
+    assert sorted(r["doc_id"] for r in found) == list(range(n)) and max(fills.values()) <= 4096
+    assert len(fills) <= over_all
+
+
+def test_settled_sequences_leave_at_most_half_of_the_pieces(spark):
+    placed = spark.createDataFrame([(free,) for free in [0, 1, 2, 3, 3, 3, 900, 900, 4000]], "free long")
+    assert packing._to_settle(placed, 4) == (3, 3)
+    assert packing._to_settle(placed, 6) == (2, 6)
+    assert packing._to_settle(placed, 2) == (900, 1)
+    assert packing._to_settle(placed, 0) == (4000, 0)
+
+
+def test_a_word_encoder_is_shared_and_forgets_what_it_may_not_remember(monkeypatch):
+    path = tokenizer_path(packing.TOKENIZER)
+    assert packing.word_encoder(path) is packing.word_encoder(path)
+    monkeypatch.setattr(packing, "REMEMBERED_WORDS", 2)
+    encoder = packing.WordEncoder(path)
+    want = encoder.tokenizer.encode("one two three four", add_special_tokens=False).ids
+    for _ in range(2):
+        assert np.frombuffer(encoder.encode([b"one two three four"])[0], "<u4").tolist() == want
+        assert len(encoder.known) == 2
+
+
 def test_evolution_never_loses_a_piece_and_gets_better():
     rng = np.random.default_rng(11)
     lengths = np.sort(rng.integers(1200, 1500, 200))[::-1].astype(np.int32)
