@@ -1,7 +1,8 @@
 """Toxicity by a weighted lexicon.
 
 A text is folded (case, look-alike letters, digits that stand for letters,
-invisible characters; everything else between words is a blank) and searched
+invisible characters; whatever is no letter, digit or mark, in any script, is a
+blank; accents stay) and searched
 once for all entries of the lexicon by an Aho-Corasick automaton. An entry is
 the start of a word or a whole word; of several entries that begin at one word
 the heaviest counts. A hit inside an exception phrase does not count. The sum of
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -56,29 +58,44 @@ _LOOK_ALIKE = {
 _INVISIBLE = ["­", "​", "‌", "‍", "⁠", "﻿"]
 
 
+class _Wide(dict):
+    """For ``str.translate``: what a character outside of ASCII is read as.
+
+    A letter in another style (wide, mathematical, circled) is the plain one. A
+    letter, digit or mark stays; everything else parts words like a blank.
+    """
+
+    def __missing__(self, code: int) -> str:
+        char = chr(code)
+        plain = unicodedata.normalize("NFKC", char).lower()
+        if code < 128:
+            plain = char
+        elif not (plain.isascii() and plain.isalnum()):
+            plain = char if unicodedata.category(char)[0] in "LNM" else " "
+        self[code] = plain
+        return plain
+
+
 def _tables() -> tuple[bytes, dict[int, str | None]]:
     ascii_table = bytearray(range(256))
     for code in range(128):
         char = chr(code).lower()
         char = _DIGITS.get(char, char)
         ascii_table[code] = ord(char) if char.isalpha() or char.isdigit() else 0x20
-    wide: dict[int, str | None] = {ord(a): b for a, b in _LOOK_ALIKE.items()}
+    wide: dict[int, str | None] = _Wide({ord(a): b for a, b in _LOOK_ALIKE.items()})
     wide |= {0xFEE0 + code: chr(code) for code in range(0x21, 0x7F)}
     wide |= {ord(char): None for char in _INVISIBLE}
     return bytes(ascii_table), wide
 
 
 _ASCII, _WIDE = _tables()
-_ODD = frozenset(map(chr, _WIDE))
 # Signs that may be an i or l: ! within a word, | also at its start or end.
 _STROKES = re.compile(r"(?<=\w)[|!]+(?=\w)|(?<=\w)\|+|\|+(?=\w)")
 
 
 def _seen(text: str) -> str:
     text = text.lower()
-    if not text.isascii() and not _ODD.isdisjoint(text):
-        text = text.translate(_WIDE)
-    return text
+    return text if text.isascii() else text.translate(_WIDE)
 
 
 def readings(text: str) -> list[str]:

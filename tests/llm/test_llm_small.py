@@ -685,6 +685,43 @@ def test_folding():
     assert toxicity.fold("ｆｏｏ​bar é") == " foobar é "
 
 
+def test_signs_of_all_scripts_part_words():
+    lexicon = toxicity.Lexicon({toxicity.fold("idiot"): 3.0, toxicity.fold("moron"): 2.0})
+    for text in ["“idiot”", "wow—idiot", "you\u00a0idiot", "moron’s", "moron…", "«moron»", "idiot。", "moron\u2028x", "\U0001f621idiot\U0001f621",
+                 "\U0001d422\U0001d41d\U0001d422\U0001d428\U0001d42d", "ⓜⓞⓡⓞⓝ", "ｍｏｒｏｎ"]:
+        assert len(lexicon.hits(toxicity.fold(text))) == 1, text
+    # Marks belong to their word, and other scripts' words stay whole.
+    for text in ["हिन्दी", "cafe\u0301s", "日本語", "ñandú", "ﬁn", "x²"]:
+        assert len(toxicity.fold(text).split()) == 1, text
+    assert toxicity.fold("naïve “Ünï” – é") == " naïve ünï é "
+    for text in ["moronic", "xmoron", "mo\u0301ron"]:
+        assert not lexicon.hits(toxicity.fold(text)), text
+
+
+def test_automaton_equals_naive_search():
+    rng = random.Random(13)
+    for _ in range(300):
+        letters = "ab" if rng.random() < 0.5 else "abc"
+
+        def word():
+            return "".join(rng.choice(letters) for _ in range(rng.randint(1, 5)))
+
+        entries = {f" {word()}{rng.choice(['', ' '])}": rng.choice([0.5, 1.0, 2.0]) for _ in range(8)}
+        phrases = list({f" {word()} {word()} " for _ in range(6)})
+        folded = toxicity.fold(" ".join(word() for _ in range(rng.randint(0, 30))))
+        want = {}
+        for start in range(len(folded)):
+            own = [weight for entry, weight in entries.items() if folded.startswith(entry, start)]
+            if own:
+                want[start] = max(own)
+        for phrase in phrases:
+            for start in range(len(folded)):
+                if folded.startswith(phrase, start):
+                    # The blank at its end already belongs to the next word.
+                    want = {at: w for at, w in want.items() if not start <= at < start + len(phrase) - 1}
+        assert toxicity.Lexicon(entries, phrases).hits(folded) == want
+
+
 def test_folding_of_i_and_l():
     for word, others in {"kill": ["ki11", "k1ll", "k|ll", "ki!l", "ki||"], "loser": ["1oser", "|oser", "l0ser"], "asshole": ["a55h01e"]}.items():
         assert {toxicity.fold(other) for other in others} == {toxicity.fold(word)}
