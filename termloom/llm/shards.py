@@ -63,6 +63,7 @@ def shuffle_to_shards(
         F.struct(*[df[name] for name in df.columns]).alias("record"),
         size.cast("bigint").alias("bytes"),
         F.xxhash64(F.lit(seed), F.col(key), place).alias("mixed"),
+        F.monotonically_increasing_id().alias("at"),
     )
     total = rows.agg(F.sum("bytes")).first()[0] or 0
     n_buckets = max(1, -(-total // bucket_bytes))
@@ -72,9 +73,10 @@ def shuffle_to_shards(
         counts[row["bucket"]] = row["count"]
     starts = np.cumsum(counts) - counts
 
-    scattered = rows.select("bucket", "mixed", "record").repartitionById(n_buckets, F.col("bucket"))
-    # The order of arrival depends on the network; sorting makes it the same each time.
-    ordered = scattered.sortWithinPartitions("bucket", "mixed", F.col(f"record.{_quoted(key)}"))
+    scattered = rows.select("bucket", "mixed", "at", "record").repartitionById(n_buckets, F.col("bucket"))
+    # The order of arrival depends on the network; sorting makes it the same each
+    # time, also for rows that share a key: no two have the same place.
+    ordered = scattered.sortWithinPartitions("bucket", "mixed", "at")
     schema = rows.select("record").schema.add("shard", "integer").add("slot", "long")
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,10 +115,6 @@ def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Tabl
         yield held[0].column(0)[0].as_py(), pa.Table.from_batches(held)
 
 
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def write_shards(sharded: DataFrame, path: str) -> None:
     """One folder ``shard=...`` for each shard; the rows keep their slot."""
     sharded.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

@@ -305,6 +305,21 @@ def test_fisher_yates_is_uniform():
     assert len(counts) == 6 and min(counts.values()) > 400
 
 
+def test_rows_that_share_a_key_have_one_order(spark):
+    df = spark.range(3000, numPartitions=3).select(F.lit(None).cast("long").alias("k"), F.col("id"), F.lit("x").alias("at"))
+    found = []
+    for turn in range(2):
+        # The exchange may meet the rows in another order of tasks each time.
+        sharded = shards.shuffle_to_shards(df, "k", F.lit(8), n_shards=7, bucket_bytes=4096, spread=1)
+        found.append(sorted((r["shard"], r["slot"], r["record"]["id"]) for r in sharded.collect()))
+    assert found[0] == found[1]
+    assert [(shard, slot) for shard, slot, _ in found[0]] == sorted((p % 7, p // 7) for p in range(3000))
+    plan = sharded._jdf.queryExecution().optimizedPlan().toString()
+    order = next(line for line in plan.splitlines() if "Sort [" in line)
+    assert order.count("ASC") == 3 and "at#" in order
+    assert sorted(i for _, _, i in found[0]) == list(range(3000))
+
+
 # --- 4 ----------------------------------------------------------------------
 
 
