@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions.analyzers import WORDS, Analyzer
-from termloom.operators.tokens import count_within_rows, text_lengths, tokenize
+from termloom.operators.tokens import count_within_rows, distinct_within_rows, text_lengths, tokenize
 from termloom.sources.corpus import Corpus
 
 @dataclass(frozen=True)
@@ -30,7 +30,8 @@ class Index:
     ``shard``, see :func:`termloom.sources.store.shard_of`. It also knows its
     ``fields``. One that was built from texts has their ``text_bytes``, in one row,
     which tell its size without an analysis. ``analyzer`` is the label of the analyzer
-    that the terms come from.
+    that the terms come from. ``terms`` are the terms of texts, some of them several times,
+    without counting them.
     """
 
     postings: DataFrame
@@ -42,6 +43,7 @@ class Index:
     fields: tuple[str, ...] | None = None
     text_bytes: DataFrame | None = None
     analyzer: str = WORDS.label
+    terms: DataFrame | None = None
 
 
 # --- single aggregations ----------------------------------------------------
@@ -96,7 +98,7 @@ def build_index(corpus: Corpus, duplicates: str = "merge", analyzer: Analyzer =
     entries = entries.select("field", "term", "docid", "tf", "len")
     if duplicates == "error":
         _refuse(corpus.keys)
-    elif corpus.many_rows or _has_repeats(corpus.keys):
+    elif corpus.many_rows or has_repeats(corpus.keys):
         entries, lengths = add_up(entries, lengths)
     return Index(
         entries.where(F.col("term").isNotNull()),
@@ -106,6 +108,7 @@ def build_index(corpus: Corpus, duplicates: str = "merge", analyzer: Analyzer =
         entries,
         text_bytes=corpus.texts.agg(F.sum(F.octet_length("text")).alias("text_bytes")),
         analyzer=analyzer.label,
+        terms=distinct_within_rows(corpus.texts, analyzer),
     )
 
 
@@ -123,7 +126,7 @@ def merge_indexes(a: Index, b: Index, duplicates: str = "merge") -> Index:
     entries = _entries(postings, lengths)
     if duplicates == "error":
         _refuse(lengths)
-    elif _has_repeats(lengths):
+    elif has_repeats(lengths):
         entries, lengths = add_up(entries, lengths)
         postings = entries.where(F.col("term").isNotNull())
     n_docs = a.corpus_stats.select("n_docs").unionByName(b.corpus_stats.select("n_docs"))
@@ -143,7 +146,7 @@ def _repeats(keys: DataFrame) -> DataFrame:
     return counts.where(F.col("n") > 1).select("docid")
 
 
-def _has_repeats(keys: DataFrame) -> bool:
+def has_repeats(keys: DataFrame) -> bool:
     return not _repeats(keys).isEmpty()
 
 

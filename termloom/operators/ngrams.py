@@ -4,11 +4,13 @@ An n-gram occurs at least as seldom as either of the (n-1)-grams within it. So o
 where a frequent (n-1)-gram follows on another one are looked at for level n, and whatever
 is frequent is found. A gram is its terms with a space between, which no term contains.
 
-The places that are left at a level are a written table. Neighbours meet in stretches of a
-text, so that a very long one is not a single key, and the first place of a stretch is
-also sent to the stretch before. Counts are added up by document before they move on, and
-places are matched with the frequent grams by a join that adaptive execution may split.
-Grams never run across rows of a corpus, whose order is not known.
+What is frequent is counted by gram alone; only the places of frequent grams are counted by
+document. Frequent grams that were measured to be few are broadcast. Single terms are then
+counted within the texts, and the grams of two are read off them, so that neither is written
+or moved before it is known to be frequent. From there on the places that are left at a level
+are a written table. Neighbours meet in stretches of a text, so that a very long one is not
+a single key, and the first place of a stretch is also sent to the stretch before. Grams
+never run across rows of a corpus, whose order is not known.
 """
 
 from __future__ import annotations
@@ -19,9 +21,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.functions.analyzers import WORDS, Analyzer
-from termloom.operators.build import Index, corpus_statistics, field_statistics
-from termloom.operators.tokens import text_lengths
-from termloom.scratch import scratch_path
+from termloom.operators.build import Index, corpus_statistics, field_statistics, has_repeats
+from termloom.operators.retrieve import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS
+from termloom.operators.tokens import count_within_rows, text_lengths, tokenize
+from termloom.scratch import written
 from termloom.sources.corpus import Corpus
 
 #: Places of a text that are in one group.
@@ -35,16 +38,31 @@ def ngram_postings(
     ``least`` times or more in a field of the corpus. Overlapping occurrences count."""
     if longest < 1 or least < 1:
         raise ValueError(f"longest and least must be 1 or more, got {longest!r} and {least!r}")
-    levels = []
-    places = _written(_first_places(corpus.texts, analyzer), "places")
-    for n in range(1, longest + 1):
-        counts = places.groupBy("field", "term", "docid").agg(F.count("*").alias("tf"))
-        frequent = counts.groupBy("field", "term").agg(F.sum("tf").alias("cf")).where(F.col("cf") >= least)
-        frequent = _written(frequent.select("field", "term"), "frequent")
-        levels.append(counts.join(frequent, ["field", "term"], "left_semi").withColumn("n", F.lit(n)))
-        if n == longest or frequent.isEmpty():
+    texts = corpus.texts
+    n_frequent, few, frequent = _frequent(tokenize(texts, analyzer), least)
+    counts = count_within_rows(texts, analyzer).where(F.col("term").isNotNull())
+    counts = counts.select("field", "term", "docid", "tf").join(frequent, ["field", "term"], "left_semi")
+    if corpus.many_rows or has_repeats(corpus.keys):
+        counts = counts.groupBy("field", "term", "docid").agg(F.sum("tf").alias("tf"))
+    levels = [counts.withColumn("n", F.lit(1))]
+    places = None
+    for n in range(2, longest + 1):
+        if not n_frequent:
             break
-        places = _written(_joined_neighbours(places.join(frequent, ["field", "term"], "left_semi")), "places")
+        if n == 2 and few:
+            following = _pairs(texts, analyzer, frequent)
+        elif n == 2:
+            following = _joined_neighbours(_first_places(texts, analyzer).join(frequent, ["field", "term"], "left_semi"))
+        else:
+            following = _joined_neighbours(places)
+        following = written(following, "places")
+        n_frequent, few, frequent = _frequent(following, least)
+        places = following.join(frequent, ["field", "term"], "left_semi")
+        if n < longest and not few:
+            # Or the shuffles of this join would come twice.
+            places = written(places, "left")
+        counts = places.groupBy("field", "term", "docid").agg(F.count("*").alias("tf"))
+        levels.append(counts.withColumn("n", F.lit(n)))
     return reduce(DataFrame.unionByName, levels).select("n", "field", "term", "docid", "tf")
 
 
@@ -98,7 +116,27 @@ def _joined_neighbours(places: DataFrame) -> DataFrame:
     return paired.select("docid", "field", "piece", "place", longer.alias("term"))
 
 
-def _written(table: DataFrame, label: str) -> DataFrame:
-    path = scratch_path(table.sparkSession, label)
-    table.write.parquet(path)
-    return table.sparkSession.read.schema(table.schema).parquet(path)
+def _pairs(texts: DataFrame, analyzer: Analyzer, frequent: DataFrame) -> DataFrame:
+    """The places of two frequent terms that follow on each other, read off each text."""
+    analyzed = texts.select(
+        "docid", "field", F.monotonically_increasing_id().alias("piece"), analyzer.terms(F.col("text")).alias("term")
+    )
+    others = F.slice("term", 2, F.greatest(F.size("term"), F.lit(1)))
+    shifted = analyzed.select("docid", "field", "piece", "term", others.alias("other"))
+    each = F.posexplode_outer(F.arrays_zip("term", "other")).alias("place", "pair")
+    pairs = shifted.select("docid", "field", "piece", each)
+    pairs = pairs.select("docid", "field", "piece", "place", "pair.term", "pair.other").where("other IS NOT NULL")
+    others = frequent.withColumnRenamed("term", "other")
+    pairs = pairs.join(frequent, ["field", "term"], "left_semi").join(others, ["field", "other"], "left_semi")
+    return pairs.select("docid", "field", "piece", "place", F.concat("term", F.lit(" "), "other").alias("term"))
+
+
+def _frequent(places: DataFrame, least: int) -> tuple[int, bool, DataFrame]:
+    """How many grams occur ``least`` times or more, whether they may be broadcast, and
+    ``(field, term)`` of them, ready to join. Counted within each split first."""
+    counts = places.groupBy("field", "term").agg(F.count("*").alias("cf")).where(F.col("cf") >= least)
+    frequent = written(counts.select("field", "term"), "frequent")
+    n_bytes = F.coalesce(F.sum(F.octet_length("term") + F.octet_length("field")), F.lit(0))
+    size = frequent.agg(F.count("*").alias("rows"), n_bytes.alias("bytes")).first()
+    few = size["rows"] <= MAX_BROADCAST_ROWS and size["bytes"] <= MAX_BROADCAST_BYTES
+    return size["rows"], few, F.broadcast(frequent) if few else frequent

@@ -38,7 +38,8 @@ def count_within_rows(texts: DataFrame, analyzer: Analyzer = WORDS) -> DataFrame
     to each other in the sorted list, and a count is the distance of two starts.
     """
     analyzed = texts.select("docid", "field", analyzer.terms(F.col("text")).alias("terms"))
-    ordered = analyzed.select("docid", "field", F.array_sort("terms").alias("terms"), F.size("terms").alias("n"))
+    # Not ``array_sort``, which compares by a lambda. No term is null.
+    ordered = analyzed.select("docid", "field", F.sort_array("terms").alias("terms"), F.size("terms").alias("n"))
     place = F.sequence(F.lit(1), F.col("n"))
     terms = F.col("terms")
     is_start = F.filter(place, lambda i: (i == 1) | (F.get(terms, i - 1) != F.get(terms, i - 2)))
@@ -57,6 +58,12 @@ def count_within_rows(texts: DataFrame, analyzer: Analyzer = WORDS) -> DataFrame
     return counted.select("docid", "field", "len", F.inline_outer("counts"))
 
 
+def distinct_within_rows(texts: DataFrame, analyzer: Analyzer = WORDS) -> DataFrame:
+    """``(term)``: the terms of each text once. Takes half the time of counting them."""
+    terms = texts.select(F.array_distinct(analyzer.terms(F.col("text"))).alias("terms"))
+    return terms.select(_each_term()).where(F.col("term").isNotNull())
+
+
 def _each_term() -> Column:
     """One row per term. No array is empty here, so ``explode`` would give the
     same; but for it the optimizer adds a filter on the size of the array and

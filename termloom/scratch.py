@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from functools import lru_cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 @lru_cache(maxsize=1)
@@ -29,3 +29,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if not root and not spark.sparkContext._jsc.sc().isLocal():
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return f"{(root or _local_folder()).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Written once for the steps that read it."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
