@@ -17,12 +17,14 @@ What is found is asked in place of the term, so it takes part in any search.
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.operators.build import Index
 from termloom.operators.retrieve import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, QueryTerms, query_terms
-from termloom.scratch import scratch_path
+from termloom.scratch import written
 
 #: Characters of a term from which deletions are made.
 PREFIX = 8
@@ -36,12 +38,11 @@ BEGIN, END = "\x02", "\x03"
 def vocabulary_terms(index: Index) -> DataFrame:
     """``(term)``: each term once, whatever its fields. Of an index that is not saved they
     are written once, or each step that reads them would analyse the texts again."""
-    terms = index.postings.select("term").distinct()
+    terms = index.postings.select("term") if index.terms is None else index.terms
+    terms = terms.distinct()
     if index.shards is not None:
         return terms
-    path = scratch_path(terms.sparkSession, "vocabulary")
-    terms.write.parquet(path)
-    return terms.sparkSession.read.schema("term string").parquet(path)
+    return written(terms, "vocabulary")
 
 
 # --- near terms -----------------------------------------------------------------------
@@ -49,18 +50,18 @@ def vocabulary_terms(index: Index) -> DataFrame:
 
 def deletion_keys(term: Column, distance: int) -> Column:
     """The strings left of the first ``PREFIX`` characters with up to ``distance`` left out."""
-    keys = F.array(F.left(term, F.lit(PREFIX)))
-    shorter = keys
-    for _ in range(distance):
-        shorter = F.array_distinct(F.flatten(F.transform(shorter, _one_left_out)))
-        keys = F.concat(keys, shorter)
-    return F.array_distinct(keys)
+    # A place beyond the end of a short term leaves out nothing, which gives a key of fewer
+    # deletions. Without lambdas, which are slow, over a vocabulary.
+    places = range(1, PREFIX + 1)
+    keys = [_without(term, left_out) for n in range(distance + 1) for left_out in combinations(places, n)]
+    return F.array_distinct(F.array(*keys))
 
 
-def _one_left_out(text: Column) -> Column:
-    places = F.when(F.length(text) > 0, F.sequence(F.lit(1), F.length(text)))
-    places = F.coalesce(places, F.array().cast("array<int>"))
-    return F.transform(places, lambda i: F.concat(F.substring(text, 1, i - 1), F.substring(text, i + 1, PREFIX)))
+def _without(term: Column, left_out: tuple[int, ...]) -> Column:
+    """The first ``PREFIX`` characters but those at the places ``left_out``."""
+    stretches = zip((0, *left_out), (*left_out, PREFIX + 1))
+    parts = [F.substring(term, start + 1, end - start - 1) for start, end in stretches if end - start > 1]
+    return F.concat(*parts)
 
 
 def deletion_table(terms: DataFrame, distance: int) -> DataFrame:
@@ -112,13 +113,15 @@ def matching_terms(patterns: DataFrame, table: DataFrame) -> DataFrame:
     marked = F.concat(F.lit(BEGIN), F.col("pattern"), F.lit(END))
     literals = F.split(marked, "[*?]")
     needed = F.array_distinct(F.concat(F.array(F.lit("")), F.flatten(F.transform(literals, grams))))
-    needed = _few(asked).select("pattern", F.explode(needed).alias("gram"))
+    needed = written(_few(asked).select("pattern", F.explode(needed).alias("gram")), "grams")
 
     counts = table.join(needed.select("gram").distinct(), "gram", "left_semi").groupBy("gram")
     counts = counts.agg(F.count("*").alias("n"))
     rarest = Window.partitionBy("pattern").orderBy("n", "gram")
     sized = needed.join(counts, "gram", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     keys = sized.withColumn("place", F.row_number().over(rarest)).where("place = 1").select("pattern", "gram")
+    # Or each step that reads them would make the grams of all terms again.
+    keys = written(keys, "keys")
     return table.join(_few(keys), "gram").where(F.rlike("term", _regex(F.col("pattern")))).select("pattern", "term")
 
 
@@ -138,7 +141,8 @@ def expanded(queries: DataFrame, found: DataFrame, asked: str) -> QueryTerms:
     several asked ones counts for each of them.
     """
     replaced = queries.select("query_id", F.col("term").alias(asked)).join(found.select(asked, "term"), asked)
-    return query_terms(replaced.select("query_id", "term"))
+    # Or each step that reads the queries would look through the vocabulary again.
+    return query_terms(written(replaced.select("query_id", "term"), "expanded"))
 
 
 def fuzzy_terms(index: Index, queries: DataFrame, distance: int = 1, table: DataFrame | None = None) -> QueryTerms:
