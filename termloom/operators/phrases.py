@@ -24,35 +24,47 @@ from termloom.functions.analyzer import analyzed_terms
 from termloom.functions.bm25f import FieldParams, check_length_norm
 from termloom.operators.build import Index
 from termloom.operators.retrieve import gather_fields, rounded, term_idf, top_k, with_field_scores
-from termloom.scratch import scratch_path
+from termloom.scratch import written as _kept
 from termloom.sources.corpus import Corpus
 from termloom.sources.store import shard_of
 
+#: Asked terms that are looked for within each text, at most; of more, all are placed.
+MAX_LISTED = 100
+
 POSITIONS_SCHEMA = "term string, docid string, piece bigint, positions array<int>, field string, shard int"
 
 
 @dataclass(frozen=True)
 class Positions:
-    """``postings(field, term, docid, piece, positions)``; a saved table has ``shards``."""
+    """``postings(field, term, docid, piece, positions)``; a saved table has ``shards``,
+    one that was built has the ``texts``, of which only the terms asked are placed."""
 
     postings: DataFrame
     shards: int | None = None
+    texts: DataFrame | None = None
 
 
 # --- build ------------------------------------------------------------------------
 
 
-def positional_postings(texts: DataFrame) -> DataFrame:
-    """``(field, term, docid, piece, positions)`` of ``texts(docid, field, text)``.
+def positional_postings(texts: DataFrame, terms: list[str] | None = None) -> DataFrame:
+    """``(field, term, docid, piece, positions)`` of ``texts(docid, field, text)``, with
+    ``terms`` of these only.
 
     Built within each row: in the sorted list of (term, place), equal terms lie next to
     each other. Nothing is shuffled.
     """
     analyzed = texts.select(
-        "docid", "field", F.monotonically_increasing_id().alias("piece"), analyzed_terms(F.col("text")).alias("terms")
+        "docid", "field", F.monotonically_increasing_id().alias("piece"), analyzed_terms(F.col("text")).alias("term")
     )
-    pairs = F.array_sort(F.transform("terms", lambda term, place: F.struct(term.alias("term"), place.alias("place"))))
-    ordered = analyzed.select("docid", "field", "piece", pairs.alias("pairs"), F.size("terms").alias("n")).where("n > 0")
+    place = F.when(F.size("term") > 0, F.sequence(F.lit(0), F.size("term") - 1))
+    placed = analyzed.select("docid", "field", "piece", "term", place.alias("place"))
+    pairs = F.arrays_zip("term", "place")
+    if terms is not None:
+        pairs = F.filter(pairs, lambda pair: pair["term"].isin(terms))
+    # Not ``array_sort``, which compares by a lambda.
+    sorted_pairs = placed.select("docid", "field", "piece", F.sort_array(pairs).alias("pairs"))
+    ordered = sorted_pairs.withColumn("n", F.size("pairs")).where("n > 0")
     pair = F.col("pairs")
     starts = F.filter(
         F.sequence(F.lit(1), F.col("n")),
@@ -65,7 +77,7 @@ def positional_postings(texts: DataFrame) -> DataFrame:
         ends,
         lambda low, high: F.struct(
             F.get(pair, low - 1)["term"].alias("term"),
-            F.transform(F.slice(pair, low, high - low), lambda x: x["place"]).alias("positions"),
+            F.slice(pair, low, high - low)["place"].alias("positions"),
         ),
     )
     # Not ``inline``: the optimizer would move a filter on the array to the scan.
@@ -76,7 +88,7 @@ def positional_postings(texts: DataFrame) -> DataFrame:
 
 def build_positions(corpus: Corpus) -> Positions:
     """The positions of a corpus, for an :class:`Index` of the same corpus."""
-    return Positions(positional_postings(corpus.texts))
+    return Positions(positional_postings(corpus.texts), texts=corpus.texts)
 
 
 def save_positions(positions: Positions, path: str, shards: int) -> None:
@@ -208,19 +220,16 @@ def _begins() -> Column:
 
 
 def _postings_of(positions: Positions, asked: DataFrame, fields: Iterable[str]) -> DataFrame:
-    postings = positions.postings.where(F.col("field").isin(sorted(fields)))
     terms = asked.select("term").distinct()
+    postings = positions.postings
+    if positions.texts is not None:
+        few = [row["term"] for row in terms.limit(MAX_LISTED + 1).collect()]
+        if len(few) <= MAX_LISTED:
+            postings = positional_postings(positions.texts, few)
+    postings = postings.where(F.col("field").isin(sorted(fields)))
     if positions.shards is not None:
         hit = asked.select(shard_of(F.col("term"), positions.shards).alias("shard")).distinct()
         # At most one number for each folder.
         postings = postings.where(F.col("shard").isin([row["shard"] for row in hit.collect()]))
     postings = postings.select("field", "term", "docid", "piece", "positions")
     return postings.join(terms, "term", "left_semi")
-
-
-def _kept(df: DataFrame, label: str) -> DataFrame:
-    """Written once for the steps that read it."""
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
