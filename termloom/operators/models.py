@@ -27,7 +27,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.operators.build import Index
-from termloom.operators.retrieve import QueryTerms, lookup, rounded, top_k
+from termloom.operators.retrieve import (
+    QueryTerms,
+    dealt_by_docid,
+    matches_once,
+    rounded,
+    tasks_by_docid,
+    top_k,
+)
 
 
 class Model(Protocol):
@@ -89,7 +96,7 @@ def score_by_model(
     for name, weight in weights.items():
         _check_positive(f"the weight of {name}", weight)
     weight = _weight_of_field(weights)
-    matches = lookup(index, query, weights).repartition("docid")
+    matches = dealt_by_docid(matches_once(index, query, weights), tasks_by_docid(index, query))
     # Both uses of the bags need all their columns, so they share one shuffle.
     bags = matches.groupBy("term", "docid").agg(
         F.sum(weight * F.col("tf")).alias("tf"), F.max("len").alias("len")

@@ -25,12 +25,18 @@ from termloom.functions.bm25f import (
 )
 from termloom.operators.build import Index
 from termloom.operators.tokens import tokenize
+from termloom.scratch import written
 from termloom.sources.store import shard_of
 
 # A table is broadcast only if it was measured to be within both.
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
+#: Pairs of a query and a document that one task adds up and ranks, at most.
+PAIRS_PER_TASK = 250_000
+#: Matches in one file, where they are written.
+ROWS_PER_FILE = 250_000
+
 
 # --- queries ----------------------------------------------------------------
 
@@ -44,6 +50,7 @@ class QueryTerms:
     ``terms`` lists the distinct terms of a query that was given as a list; they
     become a filter of the scan. Those of a table of queries are joined. ``analyzer`` is
     the label of the analyzer of query texts; tokens that were given have none.
+    ``n_queries`` counts the queries.
     """
 
     rows: DataFrame
@@ -51,6 +58,7 @@ class QueryTerms:
     few_terms: bool
     terms: tuple[str, ...] | None = None
     analyzer: str | None = None
+    n_queries: int = 1
 
     def per_row(self, df: DataFrame) -> DataFrame:
         """``df``, with at most one row per row of this table, ready to join."""
@@ -85,7 +93,9 @@ def query_terms(queries: DataFrame, analyzer: Analyzer | None = None) -> QueryTe
     )
     few_terms = _may_broadcast(size["terms"], size["term_bytes"])
     few_rows = _may_broadcast(size["rows"], size["row_bytes"])
-    return QueryTerms(rows, few_rows, few_terms, analyzer=analyzer.label if analyzer else None)
+    n_queries = rows.select("query_id").distinct().count()
+    label = analyzer.label if analyzer else None
+    return QueryTerms(rows, few_rows, few_terms, analyzer=label, n_queries=n_queries)
 
 
 def query_terms_from_texts(
@@ -149,16 +159,41 @@ def _shards_hit(query: QueryTerms, shards: int) -> list[int]:
     return [row["shard"] for row in hit.collect()]
 
 
+def matches_once(index: Index, query: QueryTerms, fields: Iterable[str]) -> DataFrame:
+    """What :func:`lookup` gives, for a search that reads it twice: of an index that is not
+    saved it is written, or each use would analyse the texts again."""
+    matches = lookup(index, query, fields)
+    return matches if index.shards is not None else written(matches, "matches", ROWS_PER_FILE)
+
+
 # --- scoring ----------------------------------------------------------------
 
 
-def gather_fields(matches: DataFrame, params: Mapping[str, FieldParams]) -> DataFrame:
+def tasks_by_docid(index: Index, query: QueryTerms) -> int | None:
+    """Into how many partitions the documents of a search are dealt.
+
+    A posting multiplies with the queries of its term behind the shuffle, so the bytes
+    shuffled do not tell what a task has to hold. The pairs of a query and a document do.
+    None where few partitions do, which adaptive execution may then choose.
+    """
+    n_docs = index.corpus_stats.first()["n_docs"] or 0
+    tasks = -(-n_docs * query.n_queries // PAIRS_PER_TASK)
+    return tasks if tasks > index.postings.sparkSession.sparkContext.defaultParallelism else None
+
+
+def dealt_by_docid(matches: DataFrame, tasks: int | None = None) -> DataFrame:
+    return matches.repartition(tasks, "docid") if tasks else matches.repartition("docid")
+
+
+def gather_fields(
+    matches: DataFrame, params: Mapping[str, FieldParams], tasks: int | None = None
+) -> DataFrame:
     """One row per term and document: ``(term, docid, tf0, len0, tf1, ...)``.
 
     The numbers follow the sorted field names. A field without a match is
-    null.
+    null. ``tasks`` is the number of partitions, if it must not be chosen by bytes.
     """
-    by_docid = matches.repartition("docid")
+    by_docid = dealt_by_docid(matches, tasks)
     names = sorted(params)
     if len(names) == 1:
         return by_docid.select(
@@ -211,7 +246,7 @@ def term_saturation(
     length_norm: str = "mean",
 ) -> DataFrame:
     """``(term, docid, saturation)``: the field scores added up."""
-    gathered = gather_fields(lookup(index, query, params), params)
+    gathered = gather_fields(matches_once(index, query, params), params, tasks_by_docid(index, query))
     scored = with_field_scores(gathered, index.field_stats, params, length_norm)
     total = F.lit(0.0)
     for i in range(len(params)):

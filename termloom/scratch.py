@@ -31,8 +31,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{(root or _local_folder()).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Written once for the steps that read it."""
+def written(df: DataFrame, label: str, rows_per_file: int = 0) -> DataFrame:
+    """Written once for the steps that read it. Small rows compress so well that a task
+    may read very many; files of ``rows_per_file`` (0: any number) count as 4 MB more each."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
