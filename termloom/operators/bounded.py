@@ -167,7 +167,9 @@ def score_pairs(
     """``(query_id, docid, block, score)`` over the terms needed in each block. ``few``
     says that the rows of ``needed`` may be broadcast."""
     pairs = _ready(needed.select("term", "block").distinct(), few)
-    postings = _postings(index, params).withColumn("block", block_of(F.col("docid"), bounds.n_blocks))
+    # Few of the postings have one of these terms; only their docids are hashed.
+    postings = _postings(index, params).join(_ready(needed.select("term").distinct(), few), "term", "left_semi")
+    postings = postings.withColumn("block", block_of(F.col("docid"), bounds.n_blocks))
     matches = postings.join(pairs, ["term", "block"], "left_semi")
     scored = _saturations(index, matches, params, length_norm)
     scored = scored.withColumn("block", block_of(F.col("docid"), bounds.n_blocks))
@@ -182,8 +184,11 @@ def completed(
     """``(query_id, docid, score)`` of ``wanted(query_id, docid, score, term, weight)``: the
     score so far, and the optional terms that the document has. A document without
     optional terms has one row, without a term."""
-    pairs = _ready(wanted.where(F.col("term").isNotNull()).select("term", "docid").distinct(), few)
-    matches = _postings(index, params).join(pairs, ["term", "docid"], "left_semi")
+    optional = wanted.where(F.col("term").isNotNull())
+    pairs = _ready(optional.select("term", "docid").distinct(), few)
+    # Few of the postings are of these documents.
+    postings = _postings(index, params).join(_ready(optional.select("docid").distinct(), few), "docid", "left_semi")
+    matches = postings.join(pairs, ["term", "docid"], "left_semi")
     scored = _saturations(index, matches, params, length_norm)
     more = F.coalesce(F.col("weight") * F.col("saturation"), F.lit(0.0))
     found = wanted.join(scored, ["term", "docid"], "left").groupBy("query_id", "docid")

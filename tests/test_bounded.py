@@ -96,6 +96,30 @@ def test_bounds_hold(saved):
     assert joined.count() > 5000
 
 
+def test_one_field_is_read_once_for_bounds_and_documents(spark, saved, tmp_path):
+    """Documents of a term are added up from the bounds, not counted in the postings again."""
+    path = saved_field_b(spark, tmp_path)
+    index = load_index(spark, path)
+    bounds = score_bounds(index, docs_per_block=4)
+    assert "n_docs" in bounds.bounds.columns and bounds.only_field == "b"
+    save_bounds(bounds, path)
+    loaded = load_bounds(spark, path)
+    want = index.postings.groupBy("term").agg(F.countDistinct("docid").alias("df"))
+    assert sorted(term_frequency_in(loaded, ["b"]).collect()) == sorted(want.collect())
+    assert sorted(term_frequency_in(bounds, ["b"]).collect()) == sorted(want.collect())
+    query = query_terms(spark.createDataFrame([(1, "w1"), (1, "w2"), (2, "w9")], "query_id int, term string"))
+    assert rows_of(search_batch_bounded(index, loaded, query, ONE, 3, decimals=6)) == rows_of(
+        search_batch(index, query, ONE, 3, decimals=6)
+    )
+
+
+def saved_field_b(spark, tmp_path):
+    rnd = random.Random(9)
+    df = spark.createDataFrame([(f"d{i}", zipf_words(rnd, 12)) for i in range(40)], "id string, x string")
+    save_index(build_index(corpus_from_columns(df, "id", {"x": "b"})), str(tmp_path / "one"))
+    return str(tmp_path / "one")
+
+
 @pytest.mark.parametrize("fields", [["a"], ["b"], ["a", "b"]])
 def test_document_frequencies(saved, fields):
     index, bounds = saved
