@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from termloom.llm.common import column, crc_remainder, documents, slices, with_record
+from termloom.llm.common import column, crc_remainder, documents, forget, slices, with_record, with_text
 
 PROFILE_SIZE = 400
 TEXT_PROFILE_SIZE = 400
@@ -124,6 +124,7 @@ def profiles(labelled: DataFrame, size: int = PROFILE_SIZE) -> DataFrame:
 
 
 def _count_ngrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget()
     sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     for batch in slices(batches, "text", SLICE_BYTES):
         grams, alphabet = ngrams(column(batch, "text").to_pylist())
@@ -196,8 +197,9 @@ def identify_rows(docs: DataFrame, identifier: Identifier) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(identifier)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         model = shared.value
-        for batch in slices(batches, "text", SLICE_BYTES):
+        for batch in slices(with_text(batches), "text", SLICE_BYTES):
             found = model.predict(column(batch, "text").to_pylist())
             yield pa.record_batch(
                 [

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm.common import column, documents, ids_and_texts, shared_table, slices, utf8
+from termloom.llm.common import column, documents, forget, ids_and_texts, shared_table, slices, utf8
 from termloom.llm.graph import components
 from termloom.llm.words import mixed, shingle_sets
 
@@ -38,6 +38,8 @@ LEAST_AGREEING = 152
 PLACES_BITS = 20
 #: Classes compared with one centre in a task, and classes in a tile.
 STAR_SIZE, TILE_SIZE = 64, 96
+#: Text taken at a time; the arrays made of it are some fifty times as large.
+SLICE_BYTES = 1 << 20
 SEED = 3
 
 
@@ -81,7 +83,8 @@ def _described(docs: DataFrame, *more: str) -> DataFrame:
     coordinate. Columns named in ``more`` (longs) come along."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 4 << 20):
+        forget()
+        for batch in slices(batches, "text", SLICE_BYTES):
             sets = shingle_sets(utf8(batch, "text"), SHINGLE)
             signatures = [signature(s) if len(s) else None for s in sets]
             yield pa.record_batch(
@@ -109,7 +112,8 @@ def _class_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``(class, text)``: one text of each class of ``wanted(class)``."""
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 4 << 20):
+        forget()
+        for batch in slices(batches, "text", SLICE_BYTES):
             sets = shingle_sets(utf8(batch, "text"), SHINGLE)
             numbers = pa.array([set_number(s) if len(s) else None for s in sets], pa.int64())
             yield pa.record_batch([numbers, column(batch, "text")], names=["class", "text"])
@@ -137,7 +141,7 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     centre = np.empty(0, np.uint64)
-    for batch in slices(batches, "text", 4 << 20):
+    for batch in slices(batches, "text", SLICE_BYTES):
         links = []
         sets = shingle_sets(utf8(batch, "text"), SHINGLE)
         for a, b, own in zip(column(batch, "a").to_pylist(), column(batch, "b").to_pylist(), sets):
@@ -201,7 +205,7 @@ def _tile_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     key: tuple | None = None
     rest: list[pa.RecordBatch] = []
     table: _Tile | None = None
-    for batch in slices(batches, "text", 4 << 20):
+    for batch in slices(batches, "text", SLICE_BYTES):
         keys = np.stack([column(batch, c).to_numpy() for c in ("cluster", "left", "right", "side")], axis=1)
         cuts = [0, *(np.flatnonzero((np.diff(keys, axis=0) != 0).any(axis=1)) + 1).tolist(), len(keys)]
         for start, end in zip(cuts, cuts[1:]):

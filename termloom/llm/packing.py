@@ -16,14 +16,23 @@ import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from termloom.llm.common import column, documents, ids_and_texts, one_thread, shared_table, slices, tokenizer_path, utf8
+from termloom.llm.common import (
+    column,
+    documents,
+    ids_and_texts,
+    one_thread,
+    remembered,
+    shared_table,
+    slices,
+    tokenizer_path,
+    utf8,
+)
 
 CAPACITY = 4096
 END_ID = 1
@@ -102,10 +111,10 @@ class WordEncoder:
         return {word: packed[4 * start : 4 * end] for word, start, end in zip(words, [0, *ends], ends)}
 
 
-@lru_cache(maxsize=1)
 def word_encoder(path: str) -> WordEncoder:
-    """One encoder for all tasks of a Python worker, which Spark uses again."""
-    return WordEncoder(path)
+    """One encoder for all tasks of a Python worker, which Spark uses again. Operators
+    that take as much memory have the worker forget it."""
+    return remembered(("word encoder", path), lambda: WordEncoder(path))
 
 
 def _is_letters(word: bytes) -> bool:
@@ -126,7 +135,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(tokenizer)
         end, width = _packed([END_ID]), 4 * capacity
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 2 << 20):
             rows = []
             for doc_id, ids in zip(column(batch, "doc_id").to_pylist(), encoder.encode(utf8(batch, "text"))):
                 ids += end

@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm.common import column, documents, ids_and_texts, shared_table, slices, utf8
+from termloom.llm.common import column, documents, forget, ids_and_texts, shared_table, slices, utf8, with_record, with_text
 from termloom.llm.words import mixed
 
 LENGTH = 200
@@ -135,6 +135,7 @@ def _text_rows(docs: DataFrame) -> DataFrame:
 
 def _all_segments(texts: DataFrame) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in slices(batches, "text", 2 << 20):
             refs = column(batch, "ref").to_pylist()
             found = [segments(np.frombuffer(text, np.uint8)) for text in utf8(batch, "text")]
@@ -169,7 +170,7 @@ def _packed_texts(texts: DataFrame, with_id: bool) -> DataFrame:
     """Texts compressed for the shuffle: ``(ref, packed[, doc_id])``."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 2 << 20):
             packed = pa.array([_packed(text) for text in utf8(batch, "text")], pa.binary())
             ids = [column(batch, "doc_id")] if with_id else []
             yield pa.record_batch([column(batch, "ref"), packed, *ids], names=["ref", "packed", "doc_id"][: 2 + with_id])
@@ -384,14 +385,14 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     ``n_chars``, if there is such a column, is counted anew for changed texts.
     """
     runs = repeated_places(docs).distinct().groupBy("ref").agg(F.collect_list(F.struct("first", "n")).alias("runs"))
-    rows = docs.select(
-        F.struct(*[docs[f"`{name}`"] for name in docs.columns]).alias("record"),
-        F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))).alias("ref"),
-    )
-    joined = rows.join(runs, "ref", "left").select("record", F.col("record.text").cast("string").alias("text"), "runs")
+    rows = with_record(docs)
+    text = "text" if "text" in rows.columns else "record.text"
+    rows = rows.withColumn("ref", F.xxhash64(F.coalesce(text, F.lit(""))))
+    joined = rows.join(runs, "ref", "left").drop("ref")
 
     def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 4 << 20):
+        forget()
+        for batch in slices(with_text(batches), "text", 2 << 20):
             kept = []
             for text, own in zip(utf8(batch, "text"), column(batch, "runs").to_pylist()):
                 if text and own:

@@ -27,7 +27,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm.common import column, crc_remainder, documents, ids_and_texts, shared_table, slices, with_record
+from termloom.llm.common import (
+    column,
+    crc_remainder,
+    documents,
+    forget,
+    ids_and_texts,
+    shared_table,
+    slices,
+    with_record,
+    with_text,
+)
 
 #: Labelled texts to learn from, at most.
 MAX_LABELLED = 60_000
@@ -204,6 +214,7 @@ def _partial_counts(sample: DataFrame, items) -> DataFrame:
     """``(item, toxic, clean)``: in how many texts of either kind each item occurs."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         kinds: tuple[Counter, Counter] = Counter(), Counter()
         for batch in slices(batches, "text", SLICE_BYTES):
             for text, toxic in zip(column(batch, "text").to_pylist(), column(batch, "toxic").to_pylist()):
@@ -272,6 +283,7 @@ def _density_counts(sample: DataFrame, lexicon: Lexicon) -> list[tuple[float, in
     """``(log(1 + density), texts, toxic texts)`` in bins of the density."""
 
     def bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in slices(batches, "text", SLICE_BYTES):
             x = [min(LENGTH_BINS, round(20 * math.log1p(lexicon.density(t)))) for t in column(batch, "text").to_pylist()]
             yield pa.record_batch([pa.array(x, pa.int32()), column(batch, "toxic")], names=["bin", "toxic"])
@@ -302,8 +314,9 @@ def score_rows(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         model = shared.value
-        for batch in slices(batches, "text", SLICE_BYTES):
+        for batch in slices(with_text(batches), "text", SLICE_BYTES):
             scores = [model.score(text) for text in column(batch, "text").to_pylist()]
             yield pa.record_batch([column(batch, "record"), pa.array(scores, pa.float64())], names=["record", "score"])
 

@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from termloom.llm import fingerprint, gru, language, lm, minhash, packing, repeats, sampling, shards, topk, toxicity
+from termloom.llm import common, fingerprint, gru, language, lm, minhash, packing, repeats, sampling, shards, topk, toxicity
 from termloom.llm.common import documents, tokenizer_path
 from termloom.llm.graph import components
 from termloom.llm.words import shingle_sets
@@ -608,6 +608,36 @@ def test_a_word_encoder_is_shared_and_forgets_what_it_may_not_remember(monkeypat
         assert len(encoder.known) == 2
 
 
+def test_a_worker_keeps_one_thing_and_forgets_it():
+    made = []
+
+    def make():
+        made.append(1)
+        return object()
+
+    first = common.remembered("a", make)
+    assert common.remembered("a", make) is first
+    common.remembered("b", make)
+    assert list(common._remembered) == ["b"]
+    # Operators that take as much memory drop what another one has left.
+    list(language._count_ngrams(iter([])))
+    assert not common._remembered and len(made) == 2
+
+
+def test_operators_that_keep_rows_move_their_text_once(spark):
+    docs = spark.createDataFrame([(1, "a ñ"), (2, None), (3, "")], "doc_id long, text string")
+    assert common.with_record(docs).columns == ["record"]
+    other = docs.select("doc_id", F.encode("text", "utf-8").alias("text"))
+    assert common.with_record(other).columns == ["record", "text"]
+    record = pa.array(docs.toArrow().to_pylist())
+    (batch,) = common.with_text(iter([pa.record_batch([record], names=["record"]).slice(1)]))
+    assert batch.column("text").to_pylist() == [None, ""]
+    for rows in (docs, other):
+        found = language.identify(rows, language.Identifier([]))
+        assert sorted(r["doc_id"] for r in found.collect()) == [1, 2, 3]
+        assert repeats.without_repeats(rows).count() == 3
+
+
 def test_evolution_never_loses_a_piece_and_gets_better():
     rng = np.random.default_rng(11)
     lengths = np.sort(rng.integers(1200, 1500, 200))[::-1].astype(np.int32)
