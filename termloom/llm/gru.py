@@ -24,6 +24,10 @@ CLASS_SIZE = 32
 TRAIN_STEPS, TRAIN_LANES = 20, 96
 SCORE_STEPS, SCORE_LANES = 32, 384
 RATE, FIRST_SQUARES = 0.12, 0.05
+#: Choices taken at a time in scoring, and rows of one class of words.
+SCORE_COLUMNS, TILE = 2048, 16
+#: Exponentials of numbers within this, and their sums, are within a float's range.
+LARGEST = 60.0
 
 
 @dataclass(frozen=True)
@@ -81,6 +85,7 @@ class Model:
         self.weights = np.array(weights, np.float32)
         #: Sums of squared slopes, from which Adagrad's steps continue.
         self.squares = np.full_like(self.weights, FIRST_SQUARES) if squares is None else np.array(squares, np.float32)
+        self.class_of = shape.class_of(np.arange(shape.n_tokens))
         self.parts, start = [], 0
         for size in shape.sizes():
             end = start + int(np.prod(size))
@@ -88,44 +93,68 @@ class Model:
             start = end
 
     # --- forward ------------------------------------------------------------
+    # Within a window values lie by place and lane, so that a step is a few calls on whole rows.
+
+    def _given(self, token: np.ndarray) -> np.ndarray:
+        """What the inputs give to the gates (negated) and the candidate, by step, place and lane."""
+        given = np.ascontiguousarray(self.parts[0][token].transpose(0, 2, 1))
+        np.negative(given[:, : 2 * HIDDEN], out=given[:, : 2 * HIDDEN])
+        return given
+
+    def _signed(self) -> np.ndarray:
+        """Weights of the state, negated for the gates, by place."""
+        signed = self.parts[1].T.copy()
+        signed[: 2 * HIDDEN] *= -1
+        return signed
 
     def _step(self, token: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, ...]:
-        h = HIDDEN
-        given = self.parts[0][token]
-        own = state @ self.parts[1]
-        gates = 1.0 / (1.0 + np.exp(-(given[:, : 2 * h] + own[:, : 2 * h])))
-        update, reset = gates[:, :h], gates[:, h:]
-        candidate = np.tanh(given[:, 2 * h :] + reset * own[:, 2 * h :])
-        return candidate + update * (state - candidate), update, reset, candidate, own[:, 2 * h :]
+        """One step of lanes in rows."""
+        before, h = np.ascontiguousarray(state.T, np.float32), HIDDEN
+        own, gates, candidate, after = (np.empty((n * h, len(token)), np.float32) for n in (3, 2, 1, 1))
+        _advance(self._given(token[None])[0], self._signed(), before, own, gates, candidate, after)
+        return after.T, gates[:h].T, gates[h:].T, candidate.T, own[2 * h :].T
 
     def _class_logits(self, states: np.ndarray) -> np.ndarray:
-        logits = states @ self.parts[2]
-        logits += self.parts[3]
-        return logits
-
-    def _by_word_class(self, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
-        """Rows that have a frequent word, class by class, their places within the
-        class, and for each class its number and where its rows begin and end."""
+        """By class; ``states`` by place, with ones below. Weights and biases lie next to each other."""
+        start = self.parts[0].size + self.parts[1].size
+        both = self.weights[start : start + self.parts[2].size + self.parts[3].size]
+        return both.reshape(HIDDEN + 1, -1).T @ states
+
+    def _by_word_class(self, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Rows that have a frequent word, their places within the class, and where they
+        lie class by class, in tiles of ``TILE`` rows; and the class of each tile."""
+        size = self.shape.class_size
         rows = np.flatnonzero((targets > 0) & (targets <= self.shape.n_frequent))
-        number = (targets[rows] - 1) // self.shape.class_size
-        order = np.argsort(number, kind="stable")
-        rows, number = rows[order], number[order]
-        cuts = np.flatnonzero(np.diff(number, prepend=-1))
-        parts = list(zip(number[cuts].tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(rows)]))
-        return rows, (targets[rows] - 1) % self.shape.class_size, parts
-
-    def _within(self, parts: list[tuple[int, int, int]], states: np.ndarray) -> np.ndarray:
-        logits = np.empty((len(states), self.shape.class_size), np.float32)
-        for number, start, end in parts:
-            np.matmul(states[start:end], self.parts[4][number], out=logits[start:end])
-            logits[start:end] += self.parts[5][number]
-        return logits
+        word = targets[rows] - 1
+        number = word // size
+        order = _order(number, self.shape.n_word_classes)
+        rows, word, number = rows[order], word[order], number[order]
+        counts = np.bincount(number, minlength=self.shape.n_word_classes)
+        tiles = -(-counts // TILE)
+        shift = (np.cumsum(tiles) - tiles) * TILE - (np.cumsum(counts) - counts)
+        return rows, word % size, np.arange(len(rows)) + shift[number], np.repeat(np.arange(len(tiles)), tiles)
+
+    def _within(self, states: np.ndarray, lie: np.ndarray, tiles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``states``, by row and with a one at the end, as tiles, and their logits. What is
+        left of a tile holds zeros."""
+        tiled = np.zeros((len(tiles) * TILE, HIDDEN + 1), np.float32)
+        tiled[lie] = states
+        tiled = tiled.reshape(len(tiles), TILE, HIDDEN + 1)
+        return tiled, tiled @ np.concatenate([self.parts[4], self.parts[5][:, None]], axis=1)[tiles]
 
     def log_probabilities(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural logarithms, for each row the probability of its target."""
-        found = _log_probability(self._class_logits(states), self.shape.class_of(targets))
-        rows, place, parts = self._by_word_class(targets)
-        found[rows] += _log_probability(self._within(parts, states[rows].astype(np.float32)), place)
+        return self._log_probabilities(_with_ones(states.T), targets)
+
+    def _log_probabilities(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
+        found = np.empty(len(targets), np.float32)
+        classes = self.class_of[targets]
+        for at in range(0, len(targets), SCORE_COLUMNS):
+            some = slice(at, at + SCORE_COLUMNS)
+            found[some] = _log_probability(self._class_logits(states[:, some]), classes[some], 0)
+        rows, place, lie, tiles = self._by_word_class(targets)
+        logits = self._within(np.ascontiguousarray(states.T)[rows], lie, tiles)[1]
+        found[rows] += _log_probability(logits.reshape(-1, self.shape.class_size)[lie], place, 1)
         return found
 
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
@@ -136,18 +165,24 @@ class Model:
         """
         found = np.zeros(len(texts))
         token, target, text, length = _lanes(texts, SCORE_LANES)
-        state = np.zeros((len(length), HIDDEN), np.float32)
+        signed, h = self._signed(), HIDDEN
+        state = np.zeros((h, len(length)), np.float32)
         for start in range(0, int(length.max(initial=0)), SCORE_STEPS):
             alive = int(np.searchsorted(-length, -start))  # lanes are in falling order of length
-            state = state[:alive]
             end = min(start + SCORE_STEPS, token.shape[0])
-            states = np.empty((end - start, alive, HIDDEN), np.float32)
-            for t in range(start, end):
-                own = token[t, :alive]
-                state = self._step(np.abs(own) - 1, state * (own > 0)[:, None])[0]
-                states[t - start] = state
+            state = np.ascontiguousarray(state[:, :alive])
+            goes = token[start:end, :alive] > 0
+            begins = ~goes.all(axis=1)
+            given = self._given(np.abs(token[start:end, :alive]) - 1)
+            states = np.empty((end - start, h, alive), np.float32)
+            own, gates, candidate = (np.empty((n * h, alive), np.float32) for n in (3, 2, 1))
+            for t in range(end - start):
+                if begins[t]:
+                    state = state * goes[t]
+                _advance(given[t], signed, state, own, gates, candidate, states[t])
+                state = states[t]
             used = target[start:end, :alive] >= 0
-            logs = self.log_probabilities(states[used], target[start:end, :alive][used])
+            logs = self._log_probabilities(_columns(states, used), target[start:end, :alive][used])
             found += np.bincount(text[start:end, :alive][used], logs, minlength=len(texts))
         return found
 
@@ -167,15 +202,23 @@ class Model:
 
     def _train_window(self, token: np.ndarray, target: np.ndarray, state: np.ndarray, rate: float):
         steps, lanes = token.shape
-        kept = []
-        states = np.empty((steps, lanes, HIDDEN), np.float32)
+        h, signed = HIDDEN, self._signed()
+        goes = token > 0
+        begins = ~goes.all(axis=1)
+        flat = np.abs(token) - 1
+        given = self._given(flat)
+        befores, candidates, states = (np.empty((steps, h, lanes), np.float32) for _ in range(3))
+        gates, owns = (np.empty((steps, n * h, lanes), np.float32) for n in (2, 3))
+        befores[0] = state.T
         for t in range(steps):
-            before = state * (token[t] > 0)[:, None]
-            state, *rest = self._step(np.abs(token[t]) - 1, before)
-            states[t] = state
-            kept.append((before, *rest))
+            if t:
+                befores[t] = states[t - 1]
+            if begins[t]:
+                befores[t] *= goes[t]
+            _advance(given[t], signed, befores[t], owns[t], gates[t], candidates[t], states[t])
         used = target >= 0
-        rows = states[used]
+        columns = _columns(states, used)
+        rows = np.ascontiguousarray(columns.T)
         sizes = self.shape.sizes()[1:]
         slopes = np.zeros(self.weights.size - self.parts[0].size, np.float32)
         parts, at = [], 0
@@ -184,49 +227,63 @@ class Model:
             parts.append(slopes[at : at + n].reshape(size))
             at += n
         own, out, bias, inner, inner_bias = parts
+        out_and_bias = slopes[own.size : own.size + out.size + bias.size].reshape(h + 1, -1)
 
         # Output layer: probabilities less the target.
         wanted = target[used]
-        error = _probabilities(self._class_logits(rows))
-        error[np.arange(len(wanted)), self.shape.class_of(wanted)] -= 1
-        out += rows.T @ error
-        bias += error.sum(axis=0)
-        back = error @ self.parts[2].T
-        some, place, classes = self._by_word_class(wanted)
-        chosen = rows[some]
-        error = _probabilities(self._within(classes, chosen))
-        error[np.arange(len(some)), place] -= 1
-        to_chosen = np.empty_like(chosen)
-        for number, start, end in classes:
-            np.matmul(chosen[start:end].T, error[start:end], out=inner[number])
-            np.matmul(error[start:end], self.parts[4][number].T, out=to_chosen[start:end])
-        if classes:
-            touched = [number for number, _, _ in classes]
-            inner_bias[touched] = np.add.reduceat(error, [start for _, start, _ in classes], axis=0)
-        back[some] += to_chosen
-        to_state = np.zeros((steps, lanes, HIDDEN), np.float32)
-        to_state[used] = back
+        error = _probabilities(self._class_logits(columns), 0)
+        error[self.class_of[wanted], np.arange(len(wanted))] -= 1
+        np.matmul(columns, error.T, out=out_and_bias)
+        back = self.parts[2] @ error
+        some, place, lie, tiles = self._by_word_class(wanted)
+        tiled, error = self._within(rows[some], lie, tiles)
+        error = _probabilities(error.reshape(-1, self.shape.class_size), 1)
+        error[lie, place] -= 1
+        error = error.reshape(-1, TILE, self.shape.class_size)
+        back[:, some] += (error @ self.parts[4].transpose(0, 2, 1)[tiles]).reshape(-1, h)[lie].T
+        # Zeros of a tile give no slope.
+        both = tiled.transpose(0, 2, 1) @ error
+        firsts = np.flatnonzero(np.diff(tiles, prepend=-1))
+        touched, n_tiles = tiles[firsts], np.diff(firsts, append=len(tiles))
+        inner[touched], inner_bias[touched] = both[firsts, :h], both[firsts, h]
+        for further in range(1, n_tiles.max(initial=0)):
+            more = n_tiles > further
+            inner[touched[more]] += both[firsts[more] + further, :h]
+            inner_bias[touched[more]] += both[firsts[more] + further, h]
+        if not used.all():
+            every = np.zeros((h, steps * lanes), np.float32)
+            every[:, used.ravel()] = back
+            back = every
+        to_state = np.ascontiguousarray(back.reshape(h, steps, lanes).transpose(1, 0, 2))
 
         # Back through the steps of this window.
-        h, carried = HIDDEN, np.zeros((lanes, HIDDEN), np.float32)
-        back_weights = np.ascontiguousarray(self.parts[1].T)
-        gate_slopes = np.empty((steps, lanes, 3 * h), np.float32)
+        update, reset = gates[:, :h], gates[:, h:]
+        by_candidate = (1 - update) * (1 - candidates * candidates)
+        by_update = (befores - candidates) * update * (1 - update)
+        by_reset = owns[:, 2 * h :] * reset * (1 - reset)
+        inner_slopes = np.empty((steps, 3 * h, lanes), np.float32)
+        to_candidate = np.empty((steps, h, lanes), np.float32)
+        carried = np.zeros((h, lanes), np.float32)
         for t in range(steps - 1, -1, -1):
-            before, update, reset, candidate, own_part = kept[t]
-            slope = to_state[t] + carried
-            to_candidate = slope * (1 - update) * (1 - candidate * candidate)
-            to_update = slope * (before - candidate) * update * (1 - update)
-            to_reset = to_candidate * own_part * reset * (1 - reset)
-            gate_slopes[t, :, :h], gate_slopes[t, :, h : 2 * h] = to_update, to_reset
-            gate_slopes[t, :, 2 * h :] = to_candidate
-            inner_slopes = np.concatenate([to_update, to_reset, to_candidate * reset], axis=1)
-            own += before.T @ inner_slopes
-            carried = (slope * update + inner_slopes @ back_weights) * (token[t] > 0)[:, None]
-        flat = (np.abs(token) - 1).ravel()
-        order = np.argsort(flat, kind="stable")
+            slope, slopes_in = to_state[t], inner_slopes[t]
+            slope += carried
+            np.multiply(slope, by_update[t], out=slopes_in[:h])
+            np.multiply(slope, by_candidate[t], out=to_candidate[t])
+            np.multiply(to_candidate[t], by_reset[t], out=slopes_in[h : 2 * h])
+            np.multiply(to_candidate[t], reset[t], out=slopes_in[2 * h :])
+            np.matmul(self.parts[1], slopes_in, out=carried)
+            slope *= update[t]
+            carried += slope
+            if begins[t]:
+                carried *= goes[t]
+        own += np.matmul(befores, inner_slopes.transpose(0, 2, 1)).sum(axis=0)
+        inner_slopes[:, 2 * h :] = to_candidate
+        gate_slopes = inner_slopes.transpose(0, 2, 1).reshape(-1, 3 * h)
+        flat = flat.ravel()
+        order = _order(flat, self.shape.n_tokens)
         first = np.flatnonzero(np.diff(flat[order], prepend=-1))
         met = flat[order][first]
-        met_slopes = np.add.reduceat(gate_slopes.reshape(-1, 3 * h)[order], first, axis=0)
+        met_slopes = np.add.reduceat(gate_slopes[order], first, axis=0)
 
         # Inputs that were not met have no slope, and keep their weights and squares.
         n_given = self.parts[0].size
@@ -235,7 +292,7 @@ class Model:
         self.parts[0][met] -= _step_down(met_slopes, rows_squares, rate)
         given_squares[met] = rows_squares
         self.weights[n_given:] -= _step_down(slopes, self.squares[n_given:], rate)
-        return state, len(wanted)
+        return states[-1].T, len(wanted)
 
 
 def _step_down(slopes: np.ndarray, squares: np.ndarray, rate: float) -> np.ndarray:
@@ -248,20 +305,63 @@ def _step_down(slopes: np.ndarray, squares: np.ndarray, rate: float) -> np.ndarr
     return slopes
 
 
-def _log_probability(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """For each row the logarithm of the share of one place; ``logits`` are used up."""
-    own = logits[np.arange(len(chosen)), chosen]
-    most = logits.max(axis=1)
-    logits -= most[:, None]
+def _advance(given, signed, before, own, gates, candidate, after) -> None:
+    """One step of all lanes: fills the last four from the first three."""
+    h = HIDDEN
+    np.matmul(signed, before, out=own)
+    np.add(own[: 2 * h], given[: 2 * h], out=gates)
+    np.minimum(gates, LARGEST, out=gates)
+    np.exp(gates, out=gates)
+    gates += 1
+    np.reciprocal(gates, out=gates)
+    np.multiply(gates[h:], own[2 * h :], out=candidate)
+    candidate += given[2 * h :]
+    np.tanh(candidate, out=candidate)
+    np.subtract(before, candidate, out=after)
+    after *= gates[:h]
+    after += candidate
+
+
+def _order(numbers: np.ndarray, n: int) -> np.ndarray:
+    """A stable order of numbers below ``n``; short ones are sorted by their digits."""
+    return np.argsort(numbers.astype(np.uint16) if n <= 1 << 16 else numbers, kind="stable")
+
+
+def _with_ones(states: np.ndarray) -> np.ndarray:
+    """States by place, and a row of ones for the biases."""
+    found = np.ones((HIDDEN + 1, states.shape[1]), np.float32)
+    found[:HIDDEN] = states
+    return found
+
+
+def _columns(states: np.ndarray, used: np.ndarray) -> np.ndarray:
+    """States by step, place and lane as columns with a one below, where ``used``."""
+    found = np.ones((HIDDEN + 1, used.size), np.float32)
+    found[:HIDDEN].reshape(HIDDEN, *used.shape)[:] = states.transpose(1, 0, 2)
+    return found if used.all() else found[:, used.ravel()]
+
+
+def _shifted(logits: np.ndarray, axis: int) -> np.ndarray:
+    """In place, less the greatest of each choice if exponentials might leave the floats' range."""
+    if logits.size and not (-LARGEST < logits.min() and logits.max() < LARGEST):
+        logits -= logits.max(axis=axis, keepdims=True)
+    return logits
+
+
+def _log_probability(logits: np.ndarray, chosen: np.ndarray, axis: int) -> np.ndarray:
+    """For each choice the logarithm of the share of one place; ``logits``, whose places
+    lie along ``axis``, are used up."""
+    each = np.arange(len(chosen))
+    _shifted(logits, axis)
+    own = logits[(each, chosen) if axis else (chosen, each)]
     np.exp(logits, out=logits)
-    return own - most - np.log(logits.sum(axis=1))
+    return own - np.log(logits.sum(axis=axis))
 
 
-def _probabilities(logits: np.ndarray) -> np.ndarray:
+def _probabilities(logits: np.ndarray, axis: int) -> np.ndarray:
     """Shares of all places, in place of ``logits``."""
-    logits -= logits.max(axis=1, keepdims=True)
-    np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
+    np.exp(_shifted(logits, axis), out=logits)
+    logits *= 1 / logits.sum(axis=axis, keepdims=True)
     return logits
 
 

@@ -1,9 +1,10 @@
 """Log likelihoods of whole documents under a recurrent language model.
 
-The texts are written once as slices of bounded size. Word counts cover all
+The texts are cut into words once and written as slices of bounded size: the
+distinct words of a slice, and its texts as their numbers. Word counts cover all
 training texts: every slice gives the counts of its own words, the sums are
 shuffled by word, and each slice gets back the sums of just the words it holds,
-so neither the driver nor any task holds the vocabulary. The most frequent words
+by their numbers, so neither the driver nor any task holds the vocabulary. The most frequent words
 are modelled one by one, the others as classes by their ending, within which a
 word has its share of the corpus.
 
@@ -18,11 +19,11 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -55,7 +56,7 @@ def rare_class(word: bytes) -> int:
 
 # --- slices -----------------------------------------------------------------
 
-_SLICE = "slice bigint, round int, n_training bigint, ids binary, marks binary, sizes binary, texts binary"
+_SLICE = "slice bigint, round int, n_training bigint, ids binary, marks binary, sizes binary, numbers binary, words binary"
 
 
 def round_count(text_bytes: int, slice_bytes: int) -> int:
@@ -93,23 +94,48 @@ def _slices(docs: DataFrame, slice_bytes: int, rounds: int) -> DataFrame:
 
 
 def _slice_row(number: int, of_round: int, ids: list[int], marks: list[int], texts: list[bytes]) -> pa.RecordBatch:
-    packed = zstandard.ZstdCompressor(level=1).compress(b"".join(texts))
-    sizes = np.array([len(text) for text in texts], np.int64).tobytes()
+    """``sizes`` are the texts' words, ``numbers`` their places among ``words``, the distinct ones."""
+    numbers, words, sizes = words_of(texts)
+    pack = zstandard.ZstdCompressor(level=1).compress
     values = [
         pa.array([number], pa.int64()),
         pa.array([of_round], pa.int32()),
         pa.array([sum(mark == 1 for mark in marks)], pa.int64()),
-        *(pa.array([v], pa.binary()) for v in (np.array(ids, np.int64).tobytes(), bytes(marks), sizes, packed)),
+        pa.array([np.array(ids, np.int64).tobytes()], pa.binary()),
+        pa.array([bytes(marks)], pa.binary()),
+        pa.array([sizes.tobytes()], pa.binary()),
+        pa.array([pack(numbers.tobytes())], pa.binary()),
+        pa.array([pack(b" ".join(words))], pa.binary()),
     ]
-    return pa.record_batch(values, names=["slice", "round", "n_training", "ids", "marks", "sizes", "texts"])
+    return pa.record_batch(values, names=["slice", "round", "n_training", "ids", "marks", "sizes", "numbers", "words"])
 
 
-def _texts(row: dict) -> Iterator[bytes]:
-    joined = zstandard.ZstdDecompressor().decompress(row["texts"])
-    at = 0
-    for size in np.frombuffer(row["sizes"], np.int64).tolist():
-        yield joined[at : at + size]
-        at += size
+def words_of(texts: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """The words of texts as numbers, the distinct words, and how many each text has."""
+    split = pa.compute.ascii_split_whitespace(pa.compute.ascii_lower(pa.array(texts, pa.binary()).cast(pa.string())))
+    coded = split.flatten().dictionary_encode()
+    numbers, words = coded.indices.to_numpy(), coded.dictionary.cast(pa.binary()).to_pylist()
+    ends = split.offsets.to_numpy() - split.offsets[0].as_py()
+    # White space at the start or end of a text leaves an empty word.
+    if b"" in words:
+        empty = words.index(b"")
+        words[empty] = words[-1]
+        kept = numbers != empty
+        ends = np.concatenate([[0], np.cumsum(kept)])[ends]
+        numbers = numbers[kept]
+        numbers = np.where(numbers == len(words) - 1, empty, numbers).astype(np.int32)
+        words.pop()
+    return numbers, words, np.diff(ends).astype(np.int64)
+
+
+def _words(row: dict) -> list[bytes]:
+    return zstandard.ZstdDecompressor().decompress(row["words"]).split()
+
+
+def _numbers(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """The words of a slice's texts one after the other, as numbers, and the texts' ends among them."""
+    numbers = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["numbers"]), np.int32)
+    return numbers, np.cumsum(np.frombuffer(row["sizes"], np.int64))
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -123,17 +149,14 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 
 def word_counts(slices: DataFrame) -> DataFrame:
     """``(word, c, slices)``: how often each word occurs in training texts, and
-    which slices hold it. Words of held-out texts alone have 0."""
+    which slices hold it, under which number. Words of held-out texts alone have 0."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            counts: Counter[bytes] = Counter()
-            others: set[bytes] = set()
-            for mark, text in zip(row["marks"], _texts(row)):
-                (counts if mark == 1 else others).update(tokens_of(text))
-            words = [*counts, *others.difference(counts)]
-            values = np.zeros(len(words), np.int64)
-            values[: len(counts)] = list(counts.values())
+            words, (numbers, ends) = _words(row), _numbers(row)
+            training = np.frombuffer(row["marks"], np.uint8) == 1
+            learned = np.repeat(training, np.diff(ends, prepend=0))
+            values = np.bincount(numbers[learned], minlength=len(words))
             for at in range(0, len(words), 20_000):
                 part = words[at : at + 20_000]
                 yield pa.record_batch(
@@ -141,12 +164,15 @@ def word_counts(slices: DataFrame) -> DataFrame:
                         pa.array(part, pa.binary()).cast(pa.string()),
                         pa.array(values[at : at + 20_000]),
                         pa.array(np.full(len(part), row["slice"], np.int64)),
+                        pa.array(np.arange(at, at + len(part), dtype=np.int32)),
                     ],
-                    names=["word", "n", "slice"],
+                    names=["word", "n", "slice", "number"],
                 )
 
-    rows = slices.select("slice", "marks", "sizes", "texts").mapInArrow(count, "word string, n bigint, slice bigint")
-    return rows.groupBy("word").agg(F.sum("n").alias("c"), F.collect_list("slice").alias("slices"))
+    schema = "word string, n bigint, slice bigint, number int"
+    rows = slices.select("slice", "marks", "sizes", "numbers", "words").mapInArrow(count, schema)
+    places = F.collect_list(F.struct("slice", "number")).alias("slices")
+    return rows.groupBy("word").agg(F.sum("n").alias("c"), places)
 
 
 class Vocabulary:
@@ -226,26 +252,21 @@ def vocabulary(counts: DataFrame, n_texts: int) -> Vocabulary:
 # --- training ---------------------------------------------------------------
 
 
-class _Tokens(dict):
-    """Words to tokens of the model, remembered for one slice."""
+def _tokens(words: list[bytes], vocab: Vocabulary) -> np.ndarray:
+    """The tokens of the model for the words of a slice."""
+    return np.fromiter(map(vocab.model_token, words), np.int32, len(words))
 
-    def __init__(self, vocab: Vocabulary) -> None:
-        super().__init__()
-        self.vocab = vocab
 
-    def __missing__(self, word: bytes) -> int:
-        token = self[word] = self.vocab.model_token(word)
-        return token
+def _texts(tokens: np.ndarray, numbers: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """Texts as tokens, each with its end."""
+    every = np.insert(tokens[numbers], ends, np.int32(0))
+    return np.split(every, (ends + np.arange(1, len(ends) + 1))[:-1])
 
 
 def lessons(row: dict, vocab: Vocabulary) -> list[np.ndarray]:
     """The training texts of a slice, each whole."""
-    tokens = _Tokens(vocab)
-    return [
-        np.array([*map(tokens.__getitem__, tokens_of(text)), 0], np.int32)
-        for mark, text in zip(row["marks"], _texts(row))
-        if mark == 1
-    ]
+    texts = _texts(_tokens(_words(row), vocab), *_numbers(row))
+    return [text for mark, text in zip(row["marks"], texts) if mark == 1]
 
 
 def _trained(slices: DataFrame, vocab: Vocabulary, weights: np.ndarray, squares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -268,7 +289,7 @@ def _trained(slices: DataFrame, vocab: Vocabulary, weights: np.ndarray, squares:
             for piece, at in enumerate(range(0, len(total), _PIECE)):
                 yield _weights_row(piece, salt, seen, total[at : at + _PIECE])
 
-    columns = slices.select("marks", "sizes", "texts")
+    columns = slices.select("marks", "sizes", "numbers", "words")
     sums = columns.mapInArrow(train, _WEIGHTS)
     # Added up in two steps, so that no task gets a row of every slice.
     sums = sums.repartition("piece", "salt").sortWithinPartitions("piece", "salt").mapInArrow(_added, _WEIGHTS)
@@ -310,14 +331,14 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _scored(slices: DataFrame, counts: DataFrame, vocab: Vocabulary, weights: np.ndarray) -> DataFrame:
     shared = slices.sparkSession.sparkContext.broadcast((vocab, weights))
-    nothing = {name: F.lit(None).cast("binary").alias(name) for name in ("ids", "marks", "sizes", "texts")}
-    words = counts.select(
-        F.explode("slices").alias("slice"), F.lit(0).alias("kind"), "word", "c", *nothing.values()
+    nothing = {name: F.lit(None).cast("binary").alias(name) for name in ("ids", "marks", "sizes", "numbers", "words")}
+    words = counts.select(F.explode("slices").alias("at"), "c").select(
+        "at.slice", F.lit(0).alias("kind"), "at.number", "c", *nothing.values()
     )
     texts = slices.select(
         "slice",
         F.lit(1).alias("kind"),
-        F.lit(None).cast("string").alias("word"),
+        F.lit(None).cast("int").alias("number"),
         F.lit(None).cast("bigint").alias("c"),
         *nothing,
     )
@@ -326,7 +347,7 @@ def _scored(slices: DataFrame, counts: DataFrame, vocab: Vocabulary, weights: np
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, start = shared.value
         model = Model(own.shape, start)
-        place: dict[bytes, int] = {}
+        places: list[np.ndarray] = []
         values: list[np.ndarray] = []
         for batch in batches:
             kinds = column(batch, "kind").to_numpy()
@@ -334,14 +355,15 @@ def _scored(slices: DataFrame, counts: DataFrame, vocab: Vocabulary, weights: np
             for low, high in zip(cuts, cuts[1:]):
                 part = batch.slice(low, high - low)
                 if high > low and kinds[low] == 0:
-                    found = utf8(part, "word")
-                    place.update(zip(found, range(len(place), len(place) + len(found))))
+                    places.append(column(part, "number").to_numpy())
                     values.append(column(part, "c").to_numpy())
                     continue
                 for row in _rows([part]):
-                    counted = np.concatenate(values) if values else np.empty(0, np.int64)
-                    yield _score_slice(row, own, model, place, counted)
-                    place, values = {}, []
+                    counted = np.zeros(sum(map(len, places)), np.int64)
+                    if places:
+                        counted[np.concatenate(places)] = np.concatenate(values)
+                    yield _score_slice(row, own, model, counted)
+                    places, values = [], []
 
     schema = (
         "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
@@ -350,16 +372,13 @@ def _scored(slices: DataFrame, counts: DataFrame, vocab: Vocabulary, weights: np
     return met.mapInArrow(score, schema)
 
 
-def _score_slice(row: dict, vocab: Vocabulary, model: Model, place: dict[bytes, int], c: np.ndarray) -> pa.RecordBatch:
-    """``place`` numbers the words of the slice; ``c`` has their counts."""
-    words = list(place)
-    token = np.fromiter(map(vocab.model_token, words), np.int32, len(words))
-    base, within = vocab.base(c), vocab.within_rare(token, c)
+def _score_slice(row: dict, vocab: Vocabulary, model: Model, c: np.ndarray) -> pa.RecordBatch:
+    """``c`` has the counts of the words of the slice."""
+    tokens, (numbers, ends) = _tokens(_words(row), vocab), _numbers(row)
+    base, within = vocab.base(c), vocab.within_rare(tokens, c)
     end_base = float(vocab.base(np.array([vocab.n_texts]))[0])
-    texts, n_known, base_scores, extra = [], [], [], []
-    for text in _texts(row):
-        at = np.fromiter(map(place.__getitem__, tokens_of(text)), np.int64)
-        texts.append(np.append(token[at], np.int32(0)))
+    texts, n_known, base_scores, extra = _texts(tokens, numbers, ends), [], [], []
+    for at in np.split(numbers, ends[:-1]):
         n_known.append(int((c[at] > 0).sum()) + int(vocab.n_texts > 0))
         base_scores.append(float(base[at].sum()) + end_base)
         extra.append(float(within[at].sum()))

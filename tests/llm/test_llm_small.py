@@ -180,6 +180,51 @@ def test_lm_rounds_and_words_grow_with_the_corpus(spark, monkeypatch):
     assert vocab.shape.n_frequent == sum(c >= 0.25 * math.sqrt(total) for _, c, _ in words) > 2
 
 
+def test_lm_cuts_texts_into_words_once(spark, monkeypatch):
+    texts = [None, "", "  ", " B\x0ba  a\n", "É \x1c \xa0 a\x00b", "b\t", "x y a"]
+    for some in (texts, texts[1:3], texts[6:], []):
+        encoded = [(text or "").encode() for text in some]
+        numbers, words, sizes = lm.words_of(encoded)
+        split = [[words[i] for i in part] for part in np.split(numbers, np.cumsum(sizes)[:-1])] if some else []
+        assert split == [lm.tokens_of(text) for text in encoded]
+        assert len(words) == len(set(words).intersection(*[{word for text in split for word in text}]))
+    # Slices hold each word once, and counting, training and scoring do not cut texts again.
+    table = spark.createDataFrame([(i, f"a b{i} a c " * 50) for i in range(1, 40)], "doc_id bigint, text string").coalesce(1)
+    (row,) = lm._slices(table, 1 << 20, 1).collect()
+    assert sorted(lm._words(row.asDict())) == sorted({b"a", b"c"} | {b"b%d" % i for i in range(1, 40)})
+    counts = {r["word"]: (r["c"], [tuple(at) for at in r["slices"]]) for r in lm.word_counts(lm._slices(table, 1 << 20, 1)).collect()}
+    n_training = sum(zlib.crc32(str(i).encode()) % 10 > 0 for i in range(1, 40))
+    assert counts["a"][0] == 100 * n_training and counts["c"][0] == 50 * n_training
+    words = lm._words(row.asDict())
+    assert all(words[number] == word.encode() for word, (_, places) in counts.items() for _, number in places)
+
+
+def test_lm_word_classes_in_tiles_have_the_slopes_of_single_rows():
+    # One class has many tiles, one a part of a tile, one none.
+    shape = gru.Shape(90, 2)
+    model = gru.Model(shape, gru.first_weights(shape, np.full(shape.n_classes, 1.0), np.full(90, 1.0)))
+    rng = np.random.default_rng(2)
+    targets = np.concatenate([rng.integers(1, 33, 100), rng.integers(65, 91, 5), [0, 91, 92]])
+    rng.shuffle(targets)
+    rows, place, lie, tiles = model._by_word_class(targets)
+    assert sorted(targets[rows]) == sorted(t for t in targets if 0 < t <= 90)
+    assert tiles.tolist() == [0] * 7 + [2] and len(set(lie.tolist())) == len(rows)
+    assert (tiles[lie // gru.TILE] * shape.class_size + place + 1 == targets[rows]).all()
+    states = rng.normal(size=(len(rows), gru.HIDDEN + 1)).astype(np.float32)
+    states[:, -1] = 1
+    tiled, logits = model._within(states, lie, tiles)
+    for state, at in zip(states, lie):
+        number = tiles[at // gru.TILE]
+        want = state[:-1] @ model.parts[4][number] + model.parts[5][number]
+        assert np.allclose(logits.reshape(-1, shape.class_size)[at], want, atol=1e-5)
+    assert not tiled.reshape(-1, gru.HIDDEN + 1)[np.setdiff1d(np.arange(8 * gru.TILE), lie)].any()
+    # Numbers beyond the range of exponentials keep their shares.
+    for axis in (0, 1):
+        big = np.array([[1000.0, 999.0], [0.0, -1000.0]], np.float32)
+        shares = gru._probabilities(big.copy(), axis)
+        assert np.isfinite(shares).all() and np.allclose(shares.sum(axis=axis), 1)
+
+
 def test_lm_trains_on_whole_texts_with_the_state_carried(spark, monkeypatch):
     docs = [(i, f"first{i} " + f"inner{i} " * ((i * 7) % 300)) for i in range(1, 200)]
     table = spark.createDataFrame(docs, "doc_id bigint, text string").coalesce(1)
