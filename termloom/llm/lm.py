@@ -23,13 +23,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm.common import column, crc_remainder, documents, ids_and_texts, shared_table, utf8
+from termloom.llm.common import column, crc_remainder, documents, ids_and_texts, shared_table, utf8, words_of
 from termloom.llm.gru import CLASS_SIZE, FIRST_SQUARES, Model, Shape, first_weights
 
 #: Held out: a tenth of the documents.
@@ -95,7 +94,7 @@ def _slices(docs: DataFrame, slice_bytes: int, rounds: int) -> DataFrame:
 
 def _slice_row(number: int, of_round: int, ids: list[int], marks: list[int], texts: list[bytes]) -> pa.RecordBatch:
     """``sizes`` are the texts' words, ``numbers`` their places among ``words``, the distinct ones."""
-    numbers, words, sizes = words_of(texts)
+    numbers, words, sizes = words_of([text.lower() for text in texts])
     pack = zstandard.ZstdCompressor(level=1).compress
     values = [
         pa.array([number], pa.int64()),
@@ -110,24 +109,6 @@ def _slice_row(number: int, of_round: int, ids: list[int], marks: list[int], tex
     return pa.record_batch(values, names=["slice", "round", "n_training", "ids", "marks", "sizes", "numbers", "words"])
 
 
-def words_of(texts: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
-    """The words of texts as numbers, the distinct words, and how many each text has."""
-    split = pa.compute.ascii_split_whitespace(pa.compute.ascii_lower(pa.array(texts, pa.binary()).cast(pa.string())))
-    coded = split.flatten().dictionary_encode()
-    numbers, words = coded.indices.to_numpy(), coded.dictionary.cast(pa.binary()).to_pylist()
-    ends = split.offsets.to_numpy() - split.offsets[0].as_py()
-    # White space at the start or end of a text leaves an empty word.
-    if b"" in words:
-        empty = words.index(b"")
-        words[empty] = words[-1]
-        kept = numbers != empty
-        ends = np.concatenate([[0], np.cumsum(kept)])[ends]
-        numbers = numbers[kept]
-        numbers = np.where(numbers == len(words) - 1, empty, numbers).astype(np.int32)
-        words.pop()
-    return numbers, words, np.diff(ends).astype(np.int64)
-
-
 def _words(row: dict) -> list[bytes]:
     return zstandard.ZstdDecompressor().decompress(row["words"]).split()
 

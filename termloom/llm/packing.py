@@ -14,8 +14,9 @@ from __future__ import annotations
 
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,7 @@ from termloom.llm.common import (
     slices,
     tokenizer_path,
     utf8,
+    words_of,
 )
 
 CAPACITY = 4096
@@ -40,6 +42,8 @@ TOKENIZER = "word_bpe_49k.json"
 #: Words whose ids a Python worker remembers, from one task to the next; the
 #: others are encoded when they come.
 REMEMBERED_WORDS = 500_000
+#: Signs that are cut off the end of a word; an apostrophe may belong to a contraction.
+SIGNS = b".,!?;:*#&%$+=/_~^@()[]{}-"
 
 BLOCK_PIECES = 4096
 ISLANDS, EPOCHS, GENERATIONS, POPULATION = 3, 3, 12, 6
@@ -72,24 +76,24 @@ class WordEncoder:
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         # Case does not matter to this vocabulary, except in its special tokens.
-        split = [(t if b"<|" in t else t.lower()).split() if t else [] for t in texts]
-        missing = set().union(*split).difference(self.known)
+        numbers, words, sizes = words_of([(t if b"<|" in t else t.lower()) if t else b"" for t in texts])
+        missing = [word for word in words if word not in self.known]
         extra = self._encode_words(missing) if missing else {}
-        room = max(0, REMEMBERED_WORDS - len(self.known))
-        later = list(extra)[room:]
-        self.known.update(extra)
-        get = self.known.__getitem__
-        try:
-            return [b"".join(map(get, words)) for words in split]
-        finally:
-            for word in later:
-                del self.known[word]
-
-    def _encode_words(self, words: set[bytes]) -> dict[bytes, bytes]:
+        get = self.known.get
+        own = [extra[word] if ids is None else ids for word, ids in zip(words, map(get, words))]
+        self.known.update(islice(extra.items(), max(0, REMEMBERED_WORDS - len(self.known))))
+        starts = np.zeros(len(own) + 1, np.int32)
+        np.cumsum([len(ids) // 4 for ids in own], out=starts[1:])
+        lists = pa.ListArray.from_arrays(pa.array(starts), pa.array(np.frombuffer(b"".join(own), "<u4")))
+        picked = lists.take(pa.array(numbers))
+        every, ends = picked.flatten().to_numpy(), picked.offsets.to_numpy()[np.cumsum(sizes)].tolist()
+        return [every[start:end].tobytes() for start, end in zip([0, *ends], ends)]
+
+    def _encode_words(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
         # "word." is the ids of "word" and of "."
         parts = {}
         for word in words:
-            stem = word.rstrip(b".,!?;:")
+            stem = word.rstrip(SIGNS)
             parts[word] = (stem, word[len(stem) :]) if stem and stem != word and _is_letters(stem) else (word,)
         single = {part for own in parts.values() for part in own}
         letters = [part for part in single if _is_letters(part)]
@@ -103,7 +107,8 @@ class WordEncoder:
 
     def _encode_letters(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Words of letters only, each of which ends with its only word end, in one text."""
-        ids = np.array(self.tokenizer.encode(b" ".join(words).decode(), add_special_tokens=False).ids, "<u4")
+        (encoded,) = self.tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)
+        ids = np.array(encoded.ids, "<u4")
         ends = (np.flatnonzero(self.ends_word[ids]) + 1).tolist()
         if len(ends) != len(words):
             return {}

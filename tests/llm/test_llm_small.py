@@ -183,8 +183,8 @@ def test_lm_rounds_and_words_grow_with_the_corpus(spark, monkeypatch):
 def test_lm_cuts_texts_into_words_once(spark, monkeypatch):
     texts = [None, "", "  ", " B\x0ba  a\n", "É \x1c \xa0 a\x00b", "b\t", "x y a"]
     for some in (texts, texts[1:3], texts[6:], []):
-        encoded = [(text or "").encode() for text in some]
-        numbers, words, sizes = lm.words_of(encoded)
+        encoded = [(text or "").encode().lower() for text in some]
+        numbers, words, sizes = common.words_of(encoded)
         split = [[words[i] for i in part] for part in np.split(numbers, np.cumsum(sizes)[:-1])] if some else []
         assert split == [lm.tokens_of(text) for text in encoded]
         assert len(words) == len(set(words).intersection(*[{word for text in split for word in text}]))
@@ -600,6 +600,23 @@ def test_words_have_the_ids_of_the_whole_text():
         assert np.frombuffer(ids, "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_words_are_encoded_once_in_a_batch(monkeypatch):
+    encoder, asked = packing.WordEncoder(tokenizer_path(packing.TOKENIZER)), []
+    encode = packing.WordEncoder._encode_words
+    monkeypatch.setattr(packing.WordEncoder, "_encode_words", lambda self, words: asked.extend(words) or encode(self, words))
+    texts = ["Word*** word### (word) word's word%&!? été### ét\u00e9*", " ", "\u3000 word*** \u3000", "", "x<|endoftext|> Word***"] * 3
+    for _ in range(2):
+        found = encoder.encode([text.encode() for text in texts] + [None])
+        for text, ids in zip([*texts, ""], found, strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert len(asked) == len(set(asked)) == len(encoder.known)
+    # Signs at the end of a word are taken off, whatever ASCII signs they are.
+    words = []
+    monkeypatch.setattr(packing.WordEncoder, "_encode_letters", lambda self, some: words.extend(some) or {})
+    encode(encoder, {b"one***", b"two%&!?", b"three###", b"four's"})
+    assert sorted(words) == [b"one", b"three", b"two"]
+
+
 def test_packing_many_pieces_needs_few_sequences(spark):
     rng = np.random.default_rng(10)
     lengths = np.minimum(4096, rng.lognormal(6, 1, 6000).astype(int) + 1).tolist()
