@@ -25,7 +25,7 @@ TRAIN_STEPS, TRAIN_LANES = 20, 96
 SCORE_STEPS, SCORE_LANES = 32, 384
 RATE, FIRST_SQUARES = 0.12, 0.05
 #: Choices taken at a time in scoring, and rows of one class of words.
-SCORE_COLUMNS, TILE = 2048, 16
+SCORE_COLUMNS, TILE = 512, 16
 #: Exponentials of numbers within this, and their sums, are within a float's range.
 LARGEST = 60.0
 
@@ -85,7 +85,15 @@ class Model:
         self.weights = np.array(weights, np.float32)
         #: Sums of squared slopes, from which Adagrad's steps continue.
         self.squares = np.full_like(self.weights, FIRST_SQUARES) if squares is None else np.array(squares, np.float32)
-        self.class_of = shape.class_of(np.arange(shape.n_tokens))
+        every = np.arange(shape.n_tokens)
+        self.class_of = shape.class_of(every)
+        #: For each token its class of words, or the number of them if it is in none, and its place there.
+        frequent = (every > 0) & (every <= shape.n_frequent)
+        self.word_class_of = np.where(frequent, (every - 1) // shape.class_size, shape.n_word_classes)
+        if shape.n_word_classes < 1 << 16:  # short numbers are sorted by their digits
+            self.word_class_of = self.word_class_of.astype(np.uint16)
+        self.place_of = (every - 1) % shape.class_size
+        self.slopes = np.empty(self.weights.size - int(np.prod(shape.sizes()[0])), np.float32)
         self.parts, start = [], 0
         for size in shape.sizes():
             end = start + int(np.prod(size))
@@ -114,46 +122,56 @@ class Model:
         _advance(self._given(token[None])[0], self._signed(), before, own, gates, candidate, after)
         return after.T, gates[:h].T, gates[h:].T, candidate.T, own[2 * h :].T
 
-    def _class_logits(self, states: np.ndarray) -> np.ndarray:
-        """By class; ``states`` by place, with ones below. Weights and biases lie next to each other."""
+    def _class_weights(self) -> np.ndarray:
+        """Weights of the classes, and their biases, which lie next to them."""
         start = self.parts[0].size + self.parts[1].size
-        both = self.weights[start : start + self.parts[2].size + self.parts[3].size]
-        return both.reshape(HIDDEN + 1, -1).T @ states
+        return self.weights[start : start + self.parts[2].size + self.parts[3].size].reshape(HIDDEN + 1, -1)
+
+    def _class_logits(self, states: np.ndarray) -> np.ndarray:
+        """By class; ``states`` by place, with ones below."""
+        return self._class_weights().T @ states
+
+    def _small(self) -> bool:
+        """Whether no state of this network, whose places lie within -1 and 1, gives classes large logits."""
+        return bool(np.abs(self._class_weights()).sum(axis=0).max() < 0.99 * LARGEST)
 
     def _by_word_class(self, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Rows that have a frequent word, their places within the class, and where they
         lie class by class, in tiles of ``TILE`` rows; and the class of each tile."""
-        size = self.shape.class_size
-        rows = np.flatnonzero((targets > 0) & (targets <= self.shape.n_frequent))
-        word = targets[rows] - 1
-        number = word // size
-        order = _order(number, self.shape.n_word_classes)
-        rows, word, number = rows[order], word[order], number[order]
-        counts = np.bincount(number, minlength=self.shape.n_word_classes)
+        n = self.shape.n_word_classes
+        number = self.word_class_of[targets]
+        counts = np.bincount(number, minlength=n)[:n]
+        # Those in no class come last.
+        rows = np.argsort(number, kind="stable")[: counts.sum()]
         tiles = -(-counts // TILE)
         shift = (np.cumsum(tiles) - tiles) * TILE - (np.cumsum(counts) - counts)
-        return rows, word % size, np.arange(len(rows)) + shift[number], np.repeat(np.arange(len(tiles)), tiles)
+        return rows, self.place_of[targets[rows]], np.arange(len(rows)) + np.repeat(shift, counts), np.repeat(np.arange(n), tiles)
+
+    def _tile_weights(self, tiles: np.ndarray) -> np.ndarray:
+        return np.concatenate([self.parts[4], self.parts[5][:, None]], axis=1)[tiles]
 
-    def _within(self, states: np.ndarray, lie: np.ndarray, tiles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _within(
+        self, states: np.ndarray, lie: np.ndarray, tiles: np.ndarray, weights: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
         """``states``, by row and with a one at the end, as tiles, and their logits. What is
         left of a tile holds zeros."""
         tiled = np.zeros((len(tiles) * TILE, HIDDEN + 1), np.float32)
         tiled[lie] = states
         tiled = tiled.reshape(len(tiles), TILE, HIDDEN + 1)
-        return tiled, tiled @ np.concatenate([self.parts[4], self.parts[5][:, None]], axis=1)[tiles]
+        return tiled, tiled @ (self._tile_weights(tiles) if weights is None else weights)
 
     def log_probabilities(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural logarithms, for each row the probability of its target."""
         return self._log_probabilities(_with_ones(states.T), targets)
 
-    def _log_probabilities(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    def _log_probabilities(self, states: np.ndarray, targets: np.ndarray, small: bool = False) -> np.ndarray:
         found = np.empty(len(targets), np.float32)
         classes = self.class_of[targets]
         for at in range(0, len(targets), SCORE_COLUMNS):
             some = slice(at, at + SCORE_COLUMNS)
-            found[some] = _log_probability(self._class_logits(states[:, some]), classes[some], 0)
+            found[some] = _log_probability(self._class_logits(states[:, some]), classes[some], 0, small)
         rows, place, lie, tiles = self._by_word_class(targets)
-        logits = self._within(np.ascontiguousarray(states.T)[rows], lie, tiles)[1]
+        logits = self._within(states.T[rows], lie, tiles)[1]
         found[rows] += _log_probability(logits.reshape(-1, self.shape.class_size)[lie], place, 1)
         return found
 
@@ -165,7 +183,7 @@ class Model:
         """
         found = np.zeros(len(texts))
         token, target, text, length = _lanes(texts, SCORE_LANES)
-        signed, h = self._signed(), HIDDEN
+        signed, h, small = self._signed(), HIDDEN, self._small()
         state = np.zeros((h, len(length)), np.float32)
         for start in range(0, int(length.max(initial=0)), SCORE_STEPS):
             alive = int(np.searchsorted(-length, -start))  # lanes are in falling order of length
@@ -182,7 +200,7 @@ class Model:
                 _advance(given[t], signed, state, own, gates, candidate, states[t])
                 state = states[t]
             used = target[start:end, :alive] >= 0
-            logs = self._log_probabilities(_columns(states, used), target[start:end, :alive][used])
+            logs = self._log_probabilities(_columns(states, used), target[start:end, :alive][used], small)
             found += np.bincount(text[start:end, :alive][used], logs, minlength=len(texts))
         return found
 
@@ -219,32 +237,33 @@ class Model:
         used = target >= 0
         columns = _columns(states, used)
         rows = np.ascontiguousarray(columns.T)
-        sizes = self.shape.sizes()[1:]
-        slopes = np.zeros(self.weights.size - self.parts[0].size, np.float32)
-        parts, at = [], 0
-        for size in sizes:
-            n = int(np.prod(size))
-            parts.append(slopes[at : at + n].reshape(size))
-            at += n
+        slopes, parts, at = self.slopes, [], 0
+        slopes.fill(0)
+        for part in self.parts[1:]:
+            parts.append(slopes[at : at + part.size].reshape(part.shape))
+            at += part.size
         own, out, bias, inner, inner_bias = parts
         out_and_bias = slopes[own.size : own.size + out.size + bias.size].reshape(h + 1, -1)
 
         # Output layer: probabilities less the target.
         wanted = target[used]
-        error = _probabilities(self._class_logits(columns), 0)
-        error[self.class_of[wanted], np.arange(len(wanted))] -= 1
-        np.matmul(columns, error.T, out=out_and_bias)
+        error = _probabilities(self._class_logits(columns), 0, self._small())
+        error.ravel()[self.class_of[wanted] * len(wanted) + np.arange(len(wanted))] -= 1
+        out_and_bias[:] = (error @ columns.T).T
         back = self.parts[2] @ error
         some, place, lie, tiles = self._by_word_class(wanted)
-        tiled, error = self._within(rows[some], lie, tiles)
+        tile_weights = self._tile_weights(tiles)
+        tiled, error = self._within(rows[some], lie, tiles, tile_weights)
         error = _probabilities(error.reshape(-1, self.shape.class_size), 1)
-        error[lie, place] -= 1
+        error.ravel()[lie * self.shape.class_size + place] -= 1
         error = error.reshape(-1, TILE, self.shape.class_size)
-        back[:, some] += (error @ self.parts[4].transpose(0, 2, 1)[tiles]).reshape(-1, h)[lie].T
+        more_back = np.zeros((len(wanted), h), np.float32)
+        more_back[some] = (error @ tile_weights[:, :h].transpose(0, 2, 1)).reshape(-1, h)[lie]
+        back += more_back.T
         # Zeros of a tile give no slope.
         both = tiled.transpose(0, 2, 1) @ error
-        firsts = np.flatnonzero(np.diff(tiles, prepend=-1))
-        touched, n_tiles = tiles[firsts], np.diff(firsts, append=len(tiles))
+        firsts, n_tiles = _runs(tiles)
+        touched = tiles[firsts]
         inner[touched], inner_bias[touched] = both[firsts, :h], both[firsts, h]
         for further in range(1, n_tiles.max(initial=0)):
             more = n_tiles > further
@@ -280,10 +299,7 @@ class Model:
         inner_slopes[:, 2 * h :] = to_candidate
         gate_slopes = inner_slopes.transpose(0, 2, 1).reshape(-1, 3 * h)
         flat = flat.ravel()
-        order = _order(flat, self.shape.n_tokens)
-        first = np.flatnonzero(np.diff(flat[order], prepend=-1))
-        met = flat[order][first]
-        met_slopes = np.add.reduceat(gate_slopes[order], first, axis=0)
+        met, met_slopes = _added_up(flat, gate_slopes, self.shape.n_tokens)
 
         # Inputs that were not met have no slope, and keep their weights and squares.
         n_given = self.parts[0].size
@@ -322,6 +338,30 @@ def _advance(given, signed, before, own, gates, candidate, after) -> None:
     after += candidate
 
 
+def _runs(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of equal numbers start, and their lengths."""
+    ends = np.flatnonzero(np.append(numbers[1:] != numbers[:-1], True)[: len(numbers)]) + 1
+    sizes = ends.copy()
+    sizes[1:] -= ends[:-1]
+    return ends - sizes, sizes
+
+
+def _added_up(numbers: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ones of numbers below ``n``, and the sums of their rows."""
+    order = _order(numbers, n)
+    ordered = numbers[order]
+    first, sizes = _runs(ordered)
+    sums = rows[order[first]]
+    # Most numbers come once or twice; the others are added up one by one.
+    twice = sizes == 2
+    sums[twice] += rows[order[first[twice] + 1]]
+    often = sizes > 2
+    if often.any():
+        starts = np.cumsum(sizes[often]) - sizes[often]
+        sums[often] = np.add.reduceat(rows[order[np.repeat(often, sizes)]], starts, axis=0)
+    return ordered[first], sums
+
+
 def _order(numbers: np.ndarray, n: int) -> np.ndarray:
     """A stable order of numbers below ``n``; short ones are sorted by their digits."""
     return np.argsort(numbers.astype(np.uint16) if n <= 1 << 16 else numbers, kind="stable")
@@ -341,26 +381,27 @@ def _columns(states: np.ndarray, used: np.ndarray) -> np.ndarray:
     return found if used.all() else found[:, used.ravel()]
 
 
-def _shifted(logits: np.ndarray, axis: int) -> np.ndarray:
-    """In place, less the greatest of each choice if exponentials might leave the floats' range."""
-    if logits.size and not (-LARGEST < logits.min() and logits.max() < LARGEST):
+def _shifted(logits: np.ndarray, axis: int, small: bool) -> np.ndarray:
+    """In place, less the greatest of each choice if exponentials might leave the floats' range;
+    ``small`` says that they do not."""
+    if not small and logits.size and not (-LARGEST < logits.min() and logits.max() < LARGEST):
         logits -= logits.max(axis=axis, keepdims=True)
     return logits
 
 
-def _log_probability(logits: np.ndarray, chosen: np.ndarray, axis: int) -> np.ndarray:
+def _log_probability(logits: np.ndarray, chosen: np.ndarray, axis: int, small: bool = False) -> np.ndarray:
     """For each choice the logarithm of the share of one place; ``logits``, whose places
     lie along ``axis``, are used up."""
     each = np.arange(len(chosen))
-    _shifted(logits, axis)
+    _shifted(logits, axis, small)
     own = logits[(each, chosen) if axis else (chosen, each)]
     np.exp(logits, out=logits)
     return own - np.log(logits.sum(axis=axis))
 
 
-def _probabilities(logits: np.ndarray, axis: int) -> np.ndarray:
+def _probabilities(logits: np.ndarray, axis: int, small: bool = False) -> np.ndarray:
     """Shares of all places, in place of ``logits``."""
-    np.exp(_shifted(logits, axis), out=logits)
+    np.exp(_shifted(logits, axis, small), out=logits)
     logits *= 1 / logits.sum(axis=axis, keepdims=True)
     return logits
 

@@ -2,11 +2,11 @@
 
 The texts are cut into words once and written as slices of bounded size: the
 distinct words of a slice, and its texts as their numbers. Word counts cover all
-training texts: every slice gives the counts of its own words, the sums are
-shuffled by word, and each slice gets back the sums of just the words it holds,
-by their numbers, so neither the driver nor any task holds the vocabulary. The most frequent words
-are modelled one by one, the others as classes by their ending, within which a
-word has its share of the corpus.
+training texts: every slice gives the counts of its own words, dealt to buckets by their
+hashes, a bucket adds up its words, and each slice gets back the sums of just the
+words it holds, by their numbers, so neither the driver nor any task holds the
+vocabulary. The most frequent words are modelled one by one, the others as classes
+by their ending, within which a word has its share of the corpus.
 
 The network is trained on every token of every training document, in rounds with
 other slices each: the slices of a round train from the same weights, and what
@@ -20,6 +20,8 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm.common import column, crc_remainder, documents, ids_and_texts, shared_table, utf8, words_of
+from termloom.llm.common import column, crc_remainder, documents, ids_and_texts, joined_words_of, shared_table, utf8
 from termloom.llm.gru import CLASS_SIZE, FIRST_SQUARES, Model, Shape, first_weights
 
 #: Held out: a tenth of the documents.
@@ -40,6 +42,10 @@ FREQUENT, RARE_CLASSES = 3072, 32
 FREQUENT_ROOT = 0.25
 #: Added to every count.
 ADDED = 0.1
+#: Buckets of words at least, and slices for each in a large corpus.
+BUCKETS, BUCKET_SLICES = 128, 2
+#: Counts that go back to the slices in one go.
+_PAIRS = 1 << 20
 _PIECE = 8192
 
 
@@ -53,6 +59,20 @@ def rare_class(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % RARE_CLASSES
 
 
+@lru_cache(maxsize=1)
+def _class_of_ending() -> np.ndarray:
+    """Classes by last byte but one and last byte; with a space before a word of one byte."""
+    endings = (bytes([a, b]) for a in range(256) for b in range(256))
+    return np.fromiter((rare_class(ending.removeprefix(b" ")) for ending in endings), np.int32, 1 << 16)
+
+
+def rare_classes(words: list[bytes]) -> np.ndarray:
+    """:func:`rare_class` of words without white space."""
+    raw = np.frombuffer(b" ".join([b"", *words, b""]), np.uint8)
+    ends = np.flatnonzero(raw == 0x20)[1:]
+    return _class_of_ending()[raw[ends - 2].astype(np.int32) << 8 | raw[ends - 1]]
+
+
 # --- slices -----------------------------------------------------------------
 
 _SLICE = "slice bigint, round int, n_training bigint, ids binary, marks binary, sizes binary, numbers binary, words binary"
@@ -94,7 +114,7 @@ def _slices(docs: DataFrame, slice_bytes: int, rounds: int) -> DataFrame:
 
 def _slice_row(number: int, of_round: int, ids: list[int], marks: list[int], texts: list[bytes]) -> pa.RecordBatch:
     """``sizes`` are the texts' words, ``numbers`` their places among ``words``, the distinct ones."""
-    numbers, words, sizes = words_of([text.lower() for text in texts])
+    numbers, words, sizes = joined_words_of([text.lower() for text in texts])
     pack = zstandard.ZstdCompressor(level=1).compress
     values = [
         pa.array([number], pa.int64()),
@@ -104,7 +124,7 @@ def _slice_row(number: int, of_round: int, ids: list[int], marks: list[int], tex
         pa.array([bytes(marks)], pa.binary()),
         pa.array([sizes.tobytes()], pa.binary()),
         pa.array([pack(numbers.tobytes())], pa.binary()),
-        pa.array([pack(b" ".join(words))], pa.binary()),
+        pa.array([pack(words)], pa.binary()),
     ]
     return pa.record_batch(values, names=["slice", "round", "n_training", "ids", "marks", "sizes", "numbers", "words"])
 
@@ -128,32 +148,71 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 # --- counts -----------------------------------------------------------------
 
 
-def word_counts(slices: DataFrame) -> DataFrame:
+def word_counts(slices: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """``(word, c, slices)``: how often each word occurs in training texts, and
-    which slices hold it, under which number. Words of held-out texts alone have 0."""
+    which slices hold it, under which number. Words of held-out texts alone have 0.
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    A slice gives one row for each of the ``buckets`` into which words fall by their hashes.
+    """
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             words, (numbers, ends) = _words(row), _numbers(row)
+            if not words:
+                continue
             training = np.frombuffer(row["marks"], np.uint8) == 1
             learned = np.repeat(training, np.diff(ends, prepend=0))
-            values = np.bincount(numbers[learned], minlength=len(words))
-            for at in range(0, len(words), 20_000):
-                part = words[at : at + 20_000]
-                yield pa.record_batch(
-                    [
-                        pa.array(part, pa.binary()).cast(pa.string()),
-                        pa.array(values[at : at + 20_000]),
-                        pa.array(np.full(len(part), row["slice"], np.int64)),
-                        pa.array(np.arange(at, at + len(part), dtype=np.int32)),
-                    ],
-                    names=["word", "n", "slice", "number"],
-                )
-
-    schema = "word string, n bigint, slice bigint, number int"
-    rows = slices.select("slice", "marks", "sizes", "numbers", "words").mapInArrow(count, schema)
-    places = F.collect_list(F.struct("slice", "number")).alias("slices")
-    return rows.groupBy("word").agg(F.sum("n").alias("c"), places)
+            bucket = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)).astype(np.int64) % buckets
+            order, cuts = _groups(bucket)
+            values = np.bincount(numbers[learned], minlength=len(words))[order]
+            words, number = np.array(words, object)[order].tolist(), order.astype(np.int32)
+            yield pa.record_batch(
+                [
+                    pa.array(bucket[order][cuts[:-1]]),
+                    pa.array(np.full(len(cuts) - 1, row["slice"], np.int64)),
+                    pa.array([b" ".join(words[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary()),
+                    _cut(number, cuts),
+                    _cut(values, cuts),
+                ],
+                names=["bucket", "slice", "words", "numbers", "values"],
+            )
+
+    def add(table: pa.Table) -> pa.Table:
+        split = [words.split() for words in table.column("words").to_pylist()]
+        coded = pa.array(list(chain.from_iterable(split)), pa.binary()).dictionary_encode()
+        order, cuts = _groups(coded.indices.to_numpy())
+        numbers, values = _joined(table, "numbers", np.int32), _joined(table, "values", np.int64)
+        number_of_slice = np.repeat(table.column("slice").to_numpy(), [len(words) for words in split])
+        places = pa.StructArray.from_arrays([pa.array(number_of_slice[order]), pa.array(numbers[order])], names=["slice", "number"])
+        return pa.table(
+            {
+                "word": coded.dictionary.cast(pa.string()),
+                "c": np.add.reduceat(values[order], cuts[:-1]),
+                "slices": pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), places),
+            }
+        )
+
+    rows = slices.select("slice", "marks", "sizes", "numbers", "words").mapInArrow(
+        deal, "bucket bigint, slice bigint, words binary, numbers binary, values binary"
+    )
+    return rows.groupBy("bucket").applyInArrow(add, "word string, c bigint, slices array<struct<slice:bigint,number:int>>")
+
+
+def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A stable order of ``keys`` below 2^32, and where each key starts in it, with the end of all."""
+    # Short numbers are sorted by their digits.
+    order = np.argsort(keys.astype(np.uint16), kind="stable")
+    if keys.max(initial=0) >= 1 << 16:
+        order = order[np.argsort((keys[order] >> 16).astype(np.uint16), kind="stable")]
+    return order, np.append(np.flatnonzero(np.diff(keys[order], prepend=-1)), len(keys))
+
+
+def _cut(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    return pa.array([values[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())
+
+
+def _joined(rows: pa.Table | pa.RecordBatch, name: str, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(rows.column(name).to_pylist()), kind)
 
 
 class Vocabulary:
@@ -186,8 +245,11 @@ class Vocabulary:
         """Base log10 probability of tokens with these counts."""
         return np.log10((c + ADDED) / (self.total + ADDED * (self.distinct + 1)))
 
-    def model_token(self, word: bytes) -> int:
-        return self.token.get(word) or 1 + self.shape.n_frequent + rare_class(word)
+    def model_tokens(self, words: list[bytes]) -> np.ndarray:
+        found = np.fromiter(map(self.token.get, words, repeat(0)), np.int32, len(words))
+        rare = found == 0
+        found[rare] = 1 + self.shape.n_frequent + rare_classes(words)[rare]
+        return found
 
     def within_rare(self, tokens: np.ndarray, c: np.ndarray) -> np.ndarray:
         """log10 share of a rare word in its class; 0 for other tokens. All
@@ -208,24 +270,16 @@ def vocabulary(counts: DataFrame, n_texts: int) -> Vocabulary:
     that root over ``FREQUENT_ROOT``), and ``FREQUENT`` at least.
     """
     known = counts.where(F.col("c") > 0)
-    total, distinct = known.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    ending = F.crc32(F.substring(F.col("word").cast("binary"), -2, 2)) % RARE_CLASSES
+    by_class = known.groupBy(ending.alias("class")).agg(F.sum("c").alias("c"), F.count("*").alias("n"))
+    rare = {row["class"]: (row["c"], row["n"]) for row in by_class.collect()}
+    total, distinct = (sum(row[i] for row in rare.values()) for i in (0, 1))
     n_frequent = max(FREQUENT, known.where(F.col("c") >= FREQUENT_ROOT * math.sqrt(total)).count())
     top = known.select("word", "c").orderBy(F.desc("c"), "word").limit(n_frequent).collect()
     frequent = {row["word"].encode(): row["c"] for row in top}
-
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_class = np.zeros((RARE_CLASSES, 2), np.int64)
-        for batch in batches:
-            for word, c in zip(utf8(batch, "word"), column(batch, "c").to_pylist()):
-                if word not in frequent:
-                    by_class[rare_class(word)] += (c, 1)
-        yield pa.record_batch(
-            [pa.array(np.arange(RARE_CLASSES)), pa.array(by_class[:, 0]), pa.array(by_class[:, 1])],
-            names=["class", "c", "n"],
-        )
-
-    partial = known.select("word", "c").mapInArrow(sums, "class bigint, c bigint, n bigint")
-    rare = {r["class"]: (r["c"], r["n"]) for r in partial.groupBy("class").agg(F.sum("c").alias("c"), F.sum("n").alias("n")).collect()}
+    for word, c in frequent.items():
+        of_class, n = rare[rare_class(word)]
+        rare[rare_class(word)] = of_class - c, n - 1
     has_texts = int(n_texts > 0)
     return Vocabulary(frequent, rare, n_texts, total + n_texts, distinct + has_texts)
 
@@ -233,11 +287,6 @@ def vocabulary(counts: DataFrame, n_texts: int) -> Vocabulary:
 # --- training ---------------------------------------------------------------
 
 
-def _tokens(words: list[bytes], vocab: Vocabulary) -> np.ndarray:
-    """The tokens of the model for the words of a slice."""
-    return np.fromiter(map(vocab.model_token, words), np.int32, len(words))
-
-
 def _texts(tokens: np.ndarray, numbers: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
     """Texts as tokens, each with its end."""
     every = np.insert(tokens[numbers], ends, np.int32(0))
@@ -246,7 +295,7 @@ def _texts(tokens: np.ndarray, numbers: np.ndarray, ends: np.ndarray) -> list[np
 
 def lessons(row: dict, vocab: Vocabulary) -> list[np.ndarray]:
     """The training texts of a slice, each whole."""
-    texts = _texts(_tokens(_words(row), vocab), *_numbers(row))
+    texts = _texts(vocab.model_tokens(_words(row)), *_numbers(row))
     return [text for mark, text in zip(row["marks"], texts) if mark == 1]
 
 
@@ -310,19 +359,39 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # --- scoring ----------------------------------------------------------------
 
 
+def _by_slice(counts: DataFrame) -> DataFrame:
+    """``(slice, places, c)``: counts of words that a slice holds, and the words' numbers in it."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            lists = column(batch, "slices")
+            slices, numbers = lists.flatten().flatten()
+            c = np.repeat(column(batch, "c").to_numpy(), np.diff(lists.offsets.to_numpy()))
+            held.append((slices.to_numpy(), numbers.to_numpy(), c))
+            size += len(c)
+            if size >= _PAIRS:
+                yield packed(held)
+                held, size = [], 0
+        if size:
+            yield packed(held)
+
+    def packed(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        slices, numbers, c = (np.concatenate(parts) for parts in zip(*held))
+        coded = pa.array(slices).dictionary_encode()
+        order, cuts = _groups(coded.indices.to_numpy())
+        values = [coded.dictionary, _cut(numbers[order], cuts), _cut(c[order], cuts)]
+        return pa.record_batch(values, names=["slice", "places", "c"])
+
+    return counts.select("c", "slices").mapInArrow(gather, "slice bigint, places binary, c binary")
+
+
 def _scored(slices: DataFrame, counts: DataFrame, vocab: Vocabulary, weights: np.ndarray) -> DataFrame:
     shared = slices.sparkSession.sparkContext.broadcast((vocab, weights))
-    nothing = {name: F.lit(None).cast("binary").alias(name) for name in ("ids", "marks", "sizes", "numbers", "words")}
-    words = counts.select(F.explode("slices").alias("at"), "c").select(
-        "at.slice", F.lit(0).alias("kind"), "at.number", "c", *nothing.values()
-    )
-    texts = slices.select(
-        "slice",
-        F.lit(1).alias("kind"),
-        F.lit(None).cast("int").alias("number"),
-        F.lit(None).cast("bigint").alias("c"),
-        *nothing,
-    )
+    contents = ("ids", "marks", "sizes", "numbers", "words")
+    nothing = F.lit(None).cast("binary")
+    words = _by_slice(counts).select("slice", F.lit(0).alias("kind"), "places", "c", *[nothing.alias(name) for name in contents])
+    texts = slices.select("slice", F.lit(1).alias("kind"), nothing.alias("places"), nothing.alias("c"), *contents)
     met = words.unionByName(texts).repartition("slice").sortWithinPartitions("slice", "kind")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,8 +405,8 @@ def _scored(slices: DataFrame, counts: DataFrame, vocab: Vocabulary, weights: np
             for low, high in zip(cuts, cuts[1:]):
                 part = batch.slice(low, high - low)
                 if high > low and kinds[low] == 0:
-                    places.append(column(part, "number").to_numpy())
-                    values.append(column(part, "c").to_numpy())
+                    places.append(_joined(part, "places", np.int32))
+                    values.append(_joined(part, "c", np.int64))
                     continue
                 for row in _rows([part]):
                     counted = np.zeros(sum(map(len, places)), np.int64)
@@ -355,15 +424,13 @@ def _scored(slices: DataFrame, counts: DataFrame, vocab: Vocabulary, weights: np
 
 def _score_slice(row: dict, vocab: Vocabulary, model: Model, c: np.ndarray) -> pa.RecordBatch:
     """``c`` has the counts of the words of the slice."""
-    tokens, (numbers, ends) = _tokens(_words(row), vocab), _numbers(row)
+    tokens, (numbers, ends) = vocab.model_tokens(_words(row)), _numbers(row)
     base, within = vocab.base(c), vocab.within_rare(tokens, c)
     end_base = float(vocab.base(np.array([vocab.n_texts]))[0])
-    texts, n_known, base_scores, extra = _texts(tokens, numbers, ends), [], [], []
-    for at in np.split(numbers, ends[:-1]):
-        n_known.append(int((c[at] > 0).sum()) + int(vocab.n_texts > 0))
-        base_scores.append(float(base[at].sum()) + end_base)
-        extra.append(float(within[at].sum()))
-    scores = model.score(texts) / math.log(10) + np.array(extra)
+    texts = _texts(tokens, numbers, ends)
+    text_of = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+    known, base_scores, extra = (np.bincount(text_of, of_word[numbers], len(ends)) for of_word in (c > 0, base, within))
+    scores = model.score(texts) / math.log(10) + extra
     marks = np.frombuffer(row["marks"], np.uint8)
     no_id = marks == 4
     return pa.record_batch(
@@ -371,9 +438,9 @@ def _score_slice(row: dict, vocab: Vocabulary, model: Model, c: np.ndarray) -> p
             pa.array(np.frombuffer(row["ids"], np.int64), mask=no_id),
             pa.array(marks == 2, mask=no_id),
             pa.array([len(text) for text in texts], pa.int64()),
-            pa.array(n_known, pa.int64()),
+            pa.array(known.astype(np.int64) + int(vocab.n_texts > 0)),
             pa.array([vocab.total] * len(texts), pa.int64()),
-            pa.array(base_scores, pa.float64()),
+            pa.array(base_scores + end_base, pa.float64()),
             pa.array(scores, pa.float64()),
         ],
         names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
@@ -391,7 +458,8 @@ def score_documents(docs: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFram
     text_bytes = ids_and_texts(docs).agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     rounds = round_count(text_bytes, slice_bytes)
     slices = shared_table(_slices(docs, slice_bytes, rounds), "slices", ("round",))
-    counts = shared_table(word_counts(slices), "word-counts")
+    buckets = max(BUCKETS, -(-text_bytes // (BUCKET_SLICES * slice_bytes)))
+    counts = shared_table(word_counts(slices, buckets), "word-counts")
     n_texts = slices.agg(F.coalesce(F.sum("n_training"), F.lit(0))).first()[0]
     vocab = vocabulary(counts, n_texts)
     weights = vocab.first_weights()

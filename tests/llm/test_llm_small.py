@@ -225,6 +225,73 @@ def test_lm_word_classes_in_tiles_have_the_slopes_of_single_rows():
         assert np.isfinite(shares).all() and np.allclose(shares.sum(axis=axis), 1)
 
 
+def test_lm_counts_move_in_buckets_and_by_slice(spark, monkeypatch):
+    words = [f"w{i}" for i in range(400)] + ["x", "É", "é", "日本", "y" * 300]
+    docs = [(i, " ".join(words[(i * j) % 405] for j in range(i % 90))) for i in range(300)]
+    table = spark.createDataFrame(docs, "doc_id bigint, text string").coalesce(1)
+    slices = common.shared_table(lm._slices(table, 2000, 4), "slices")
+    of_slice = {row["slice"]: row.asDict() for row in slices.collect()}
+    want, held = Counter(), {}
+    for number, row in of_slice.items():
+        own, (numbers, ends) = lm._words(row), lm._numbers(row)
+        held[number] = len(own)
+        for mark, text in zip(row["marks"], np.split(numbers, ends[:-1])):
+            for i in text.tolist():
+                want[own[i].decode()] += mark == 1
+    for buckets in (1, 7, 1000):
+        counts = common.shared_table(lm.word_counts(slices, buckets), "counts")
+        assert {row["word"]: row["c"] for row in counts.collect()} == dict(want)
+        # A slice gets rows of many counts back, and each of its words once.
+        for pairs in (50, 1 << 20):
+            monkeypatch.setattr(lm, "_PAIRS", pairs)
+            rows_back = lm._by_slice(counts).collect()
+            assert len(rows_back) < sum(held.values())
+            got = {number: {} for number in of_slice}
+            for row in rows_back:
+                at, c = np.frombuffer(row["places"], np.int32).tolist(), np.frombuffer(row["c"], np.int64).tolist()
+                assert not set(at) & set(got[row["slice"]])
+                got[row["slice"]].update(zip(at, c))
+            for number, row in of_slice.items():
+                assert [got[number][i] for i in range(held[number])] == [want[word.decode()] for word in lm._words(row)]
+
+
+def test_lm_words_become_tokens_at_once(spark):
+    words = [b"a", b"b", b"abc", b"xbc", "É".encode(), "日本".encode(), b"\x00", b"q\x1c"]
+    assert lm.rare_classes(words).tolist() == [lm.rare_class(word) for word in words]
+    assert lm.rare_classes([]).tolist() == []
+    vocab = lm.Vocabulary({b"abc": 5, b"b": 2}, {}, 1, 10, 2)
+    want = [vocab.token.get(word) or 3 + lm.rare_class(word) for word in words]
+    assert vocab.model_tokens(words).tolist() == want
+    # Sums of the classes leave out words with outputs of their own.
+    counts = spark.createDataFrame([(word.decode(), i, []) for i, word in enumerate(words)], "word string, c bigint, slices array<bigint>")
+    vocab = lm.vocabulary(counts, 3)
+    assert len(vocab.frequent) == len(words) - 1 and vocab.total == 28 + 3 and vocab.distinct == len(words)
+    assert not vocab.rare_sum.any() and not vocab.rare_distinct.any()
+
+
+def test_lm_sums_of_rare_words_by_class(spark, monkeypatch):
+    monkeypatch.setattr(lm, "FREQUENT", 3)
+    monkeypatch.setattr(lm, "FREQUENT_ROOT", 100)
+    words = ["a", "b", "ab", "cab", "É", "日本"] + [f"w{i}" for i in range(60)]
+    counts = [(word, (i * 7) % 11, []) for i, word in enumerate(words)]
+    vocab = lm.vocabulary(spark.createDataFrame(counts, "word string, c bigint, slices array<bigint>"), 1)
+    sums = np.zeros((2, lm.RARE_CLASSES))
+    for word, c, _ in counts:
+        if c and word.encode() not in vocab.frequent:
+            sums[:, lm.rare_class(word.encode())] += (c, 1)
+    assert vocab.rare_sum.tolist() == sums[0].tolist() and vocab.rare_distinct.tolist() == sums[1].tolist()
+
+
+def test_lm_slopes_of_inputs_are_added_up():
+    rng = np.random.default_rng(3)
+    for n, size in ((5, 0), (5, 40), (300, 200), (1 << 17, 50)):
+        numbers, rows_ = rng.integers(0, n, size), rng.normal(size=(size, 6)).astype(np.float32)
+        met, sums = gru._added_up(numbers, rows_, n)
+        assert met.tolist() == sorted(set(numbers.tolist()))
+        for number, found in zip(met, sums):
+            assert np.allclose(found, rows_[numbers == number].sum(axis=0), atol=1e-4)
+
+
 def test_lm_trains_on_whole_texts_with_the_state_carried(spark, monkeypatch):
     docs = [(i, f"first{i} " + f"inner{i} " * ((i * 7) % 300)) for i in range(1, 200)]
     table = spark.createDataFrame(docs, "doc_id bigint, text string").coalesce(1)
