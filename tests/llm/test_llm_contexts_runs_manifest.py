@@ -104,6 +104,20 @@ def test_contexts_find_what_has_no_form(spark, tmp_path):
     assert no_id[0]["base_sha256"] == sha("email:4:11,phone:15:32")
 
 
+def test_addresses_without_at_signs_and_digits_are_read(spark, tmp_path):
+    rows = [(i, f"Please write to a{i}@host.org tonight", "en", "s", 1, "x") for i in range(8)]
+    hidden = ["bob at host.org", "bob (at) host.org", "bob [at] host (.) org", "bob\u00a0at\u00a0host\u2003dot\u2003org"]
+    texts = [f"Please write to {one} tonight" for one in hidden]
+    rows += [(20 + i, text, "en", "s", 1, "x") for i, text in enumerate(texts)]
+    at = folder(spark, tmp_path, rows)
+    found = {row["doc_id"]: row for row in op11_private(spark, at).collect()}
+    for i, one in enumerate(hidden):
+        assert found[20 + i]["spans"] == f"email:16:{16 + len(one)}" and found[20 + i]["n_added"] == 1, one
+    read = {row["doc_id"]: row for row in private.read_mentions(spark.read.parquet(f"{at}/documents.parquet")).collect()}
+    for i, text in enumerate(texts):
+        assert [x.asDict() for x in read[20 + i]["mentions"]] == private.mentions_in(text)[1]
+
+
 def test_bootstrap_equals_plain_loops(spark):
     rnd = random.Random(5)
     mentions = []
