@@ -10,7 +10,8 @@ counted within the texts, and the grams of two are read off them, so that neithe
 or moved before it is known to be frequent. From there on the places that are left at a level
 are a written table. Neighbours meet in stretches of a text, so that a very long one is not
 a single key, and the first place of a stretch is also sent to the stretch before. Grams
-never run across rows of a corpus, whose order is not known.
+never run across rows of a corpus, whose order is not known. Where only counts are asked
+for, no place is written or moved, see :mod:`termloom.operators.gram_counts`.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 
 from termloom.functions.analyzers import WORDS, Analyzer
 from termloom.operators.build import Index, corpus_statistics, field_statistics, has_repeats
+from termloom.operators.gram_counts import count_grams
 from termloom.operators.retrieve import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS
 from termloom.operators.tokens import count_within_rows, text_lengths, tokenize
 from termloom.scratch import written
@@ -36,8 +38,7 @@ def ngram_postings(
 ) -> DataFrame:
     """``(n, field, term, docid, tf)`` of the grams of up to ``longest`` terms that occur
     ``least`` times or more in a field of the corpus. Overlapping occurrences count."""
-    if longest < 1 or least < 1:
-        raise ValueError(f"longest and least must be 1 or more, got {longest!r} and {least!r}")
+    _check(longest, least)
     texts = corpus.texts
     n_frequent, few, frequent = _frequent(tokenize(texts, analyzer), least)
     counts = count_within_rows(texts, analyzer).where(F.col("term").isNotNull())
@@ -70,8 +71,8 @@ def frequent_ngrams(
     corpus: Corpus, longest: int, least: int, analyzer: Analyzer = WORDS
 ) -> DataFrame:
     """``(n, field, term, df, cf)``: documents and occurrences of each frequent gram."""
-    postings = ngram_postings(corpus, longest, least, analyzer)
-    return postings.groupBy("n", "field", "term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
+    _check(longest, least)
+    return count_grams(corpus, longest, least, analyzer)
 
 
 def build_ngram_index(
@@ -93,6 +94,11 @@ def build_ngram_index(
     )
 
 
+def _check(longest: int, least: int) -> None:
+    if longest < 1 or least < 1:
+        raise ValueError(f"longest and least must be 1 or more, got {longest!r} and {least!r}")
+
+
 def _first_places(texts: DataFrame, analyzer: Analyzer) -> DataFrame:
     """``(docid, field, piece, place, term)``; a piece is a row of the texts."""
     analyzed = texts.select(
