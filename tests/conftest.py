@@ -24,6 +24,8 @@ def spark(tmp_path_factory):
         .config("spark.default.parallelism", "2")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Plans tell their filters in full, however long the numbers of their columns are.
+        .config("spark.sql.maxMetadataStringLength", "1000")
         .config("spark.driver.memory", "4g")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
